@@ -421,7 +421,8 @@ def user_product_features(spark, folder):
 
 def department_reorder_rate(spark, folder):
     lake = Lake(spark, folder)
-    return gold.department_reorder_rate(lake.orders(), lake.lines(), lake.products())
+    orders = lake.scratch.stage(lake.orders(), "orders")
+    return gold.department_reorder_rate(orders, lake.lines(), lake.products())
 
 
 # ---- model ------------------------------------------------------------------

@@ -45,8 +45,3 @@ def event_instant(name: str) -> Column:
 def utc_date(instant: Column) -> Column:
     """Calendar date in UTC, whatever the session's time zone is."""
     return F.to_date(F.to_utc_timestamp(instant, F.current_timezone()))
-
-
-def same(left: Column, right: Column) -> Column:
-    """Equality that treats NULL as a value, as GROUP BY does."""
-    return left.eqNullSafe(right)

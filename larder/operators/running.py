@@ -33,7 +33,8 @@ def block_offsets(
     Adds ``<m>_before`` and ``<m>_total`` for each measure and drops ``<m>``.
     """
     whole = Window.partitionBy(*group)
-    before = whole.orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    in_order = [F.col(c).asc_nulls_last() for c in by]
+    before = whole.orderBy(*in_order).rowsBetween(Window.unboundedPreceding, -1)
     added = []
     for m in measures:
         zero = F.lit(0).cast(blocks.schema[m].dataType)
@@ -54,7 +55,8 @@ def running_totals(
 
     Rows that tie on ``order`` share one running value (SQL RANGE semantics), so
     they are added up before any window sees them. ``order`` is an integer
-    column; rows whose group key or order is NULL get no running value.
+    column. A row without an order has no running value, and counts only in its
+    group's total; a row without a group key has neither.
     """
     group = list(group)
     points = (

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from larder.operators.contract import Contract
-from larder.plans import silver
+from larder.operators.metrics import auc_by_rank, confusion
+from larder.plans import model, silver
 from larder.plans.gold import user_product_features
 from larder.sources import tables as t
 from larder.sources.storage import Scratch
@@ -69,3 +70,38 @@ def build_gold(spark: SparkSession, root: str) -> int:
         return t.write_checked(features, f"{root}/{t.GOLD_FEATURES}", contract)
     finally:
         scratch.remove()
+
+
+def build_predictions(
+    spark: SparkSession, root: str, k: int = model.DEFAULT_TOP, rounds: int = 20
+) -> dict[str, float]:
+    """Train on train users, save the model, write test users' recommendations.
+
+    Returns AUC and F1 on the validation users, and the users written.
+    """
+    scratch = Scratch(spark)
+    try:
+        features = t.read_table(
+            spark, f"{root}/{t.GOLD_FEATURES}", Contract.named("gold/user_product_features")
+        )
+        orders = silver_table(spark, root, "orders")
+        train_lines = silver_table(spark, root, "order_products_train")
+        labelled = scratch.stage(model.training_set(features, orders, train_lines), "labelled")
+        fitted = model.fit(labelled.filter("NOT is_validation"), rounds)
+        model.save(fitted, f"{root}/{t.GOLD_MODEL}")
+        validation = scratch.stage(
+            model.score(fitted, labelled.filter("is_validation")), "validation"
+        )
+        scored = model.score(fitted, model.candidates(features, orders, "test"))
+        users = t.write_checked(
+            model.recommend(scored, k),
+            f"{root}/{t.GOLD_PREDICTIONS}",
+            Contract.named("gold/predictions"),
+        )
+        return {
+            "auc": auc_by_rank(validation, "score", "label").first()["auc"],
+            "f1": confusion(validation, "score", "label", 0.5).first()["f1"],
+            "users": users,
+        }
+    finally:
+        scratch.remove()

@@ -24,6 +24,9 @@ NAME_FEATURES = ("aisle_name", "department_name")
 VALIDATION_FOLDS = 5
 DEFAULT_TOP = 10
 SEED = 7
+# A name column with more values than this is left out of the model: indexing
+# brings all values to the driver, and a tree split keeps a bin for each.
+MAX_NAMES = 1000
 
 
 def train_purchases(orders: DataFrame, train_lines: DataFrame) -> DataFrame:
@@ -55,15 +58,25 @@ def training_set(
     )
 
 
+def usable_names(training: DataFrame, limit: int = MAX_NAMES) -> list[str]:
+    """Name columns with at most ``limit`` values, known without counting further."""
+    return [
+        c
+        for c in NAME_FEATURES
+        if training.select(c).distinct().limit(limit + 1).count() <= limit
+    ]
+
+
 def fit(training: DataFrame, rounds: int = 20, depth: int = 5) -> PipelineModel:
-    """M3, M4: gradient-boosted trees over six numbers and two names."""
+    """M3, M4: gradient-boosted trees over six numbers and the usable names."""
     named = training.fillna("unknown", list(NAME_FEATURES))
-    indexed = [f"{c}_index" for c in NAME_FEATURES]
-    indexer = StringIndexer(
-        inputCols=list(NAME_FEATURES), outputCols=indexed, handleInvalid="keep"
-    ).fit(named)
-    # A split on a name needs a bin per name; 32 is the classifier's default.
-    most_names = max(len(labels) for labels in indexer.labelsArray)
+    names = usable_names(named)
+    indexed = [f"{c}_index" for c in names]
+    stages, most_names = [], 0
+    if names:
+        indexer = StringIndexer(inputCols=names, outputCols=indexed, handleInvalid="keep")
+        stages.append(indexer.fit(named))
+        most_names = max(len(labels) for labels in stages[0].labelsArray)
     assembler = VectorAssembler(
         inputCols=[*NUMERIC_FEATURES, *indexed], outputCol="features", handleInvalid="error"
     )
@@ -72,11 +85,12 @@ def fit(training: DataFrame, rounds: int = 20, depth: int = 5) -> PipelineModel:
         featuresCol="features",
         maxIter=rounds,
         maxDepth=depth,
-        maxBins=max(32, most_names + 2),
+        # A bin per name, and one for names not seen in training; 32 is the default.
+        maxBins=max(32, most_names + 1),
         checkpointInterval=5,
         seed=SEED,
     )
-    return Pipeline(stages=[indexer, assembler, trees]).fit(named)
+    return Pipeline(stages=[*stages, assembler, trees]).fit(named)
 
 
 def save(model: PipelineModel, path: str) -> None:

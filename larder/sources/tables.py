@@ -28,6 +28,7 @@ SILVER_PRODUCTS = "silver/products"
 SILVER_ORDER_PRODUCTS_TRAIN = "silver/order_products_train"
 SILVER_STREAM_EVENTS = "silver/stream_events"
 GOLD_FEATURES = "gold/user_product_features"
+GOLD_MODEL = "models/reorder"
 GOLD_PREDICTIONS = "gold/predictions"
 
 
