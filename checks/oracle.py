@@ -64,9 +64,8 @@ WITH o AS (
                                ELSE 'product' END AS kind FROM part) k
 ), catalog_parsed AS (
   SELECT body, type,
-         CASE WHEN type IS NULL THEN 'request body must be valid JSON'
-              WHEN type = 'store'
-                THEN '''type'' must be one of aisle, department, product' END AS reason,
+         CASE WHEN type IS NULL THEN 'invalid_json'
+              WHEN type = 'store' THEN 'invalid_type' END AS reason,
          CASE WHEN type IS NULL OR type = 'store' THEN 'failed' ELSE 'ok' END AS status,
          2024 AS year, 1 AS month, 15 AS day
   FROM bronze_catalog_events

@@ -14,8 +14,8 @@ from larder.sources.tables import is_missing_path
 # The catalog event types that are accepted.
 EVENT_TYPES = ("aisle", "department", "product")
 # Reasons for which an event is rejected.
-INVALID_JSON = "request body must be valid JSON"
-INVALID_TYPE = "'type' must be one of aisle, department, product"
+INVALID_JSON = "invalid_json"
+INVALID_TYPE = "invalid_type"
 
 
 # ---- catalog events ---------------------------------------------------------
@@ -80,7 +80,7 @@ def land_full_load(
     for name, df in tables.items():
         stamped = df.withColumn("load_ts", loaded_at)
         writer = stamped.write.mode("overwrite").option("header", header)
-        writer.option("compression", "gzip").csv(f"{folder}/{name}")
+        writer.option("escape", '"').option("compression", "gzip").csv(f"{folder}/{name}")
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -99,7 +99,7 @@ def reconcile_load(
     spark: SparkSession, tables: Mapping[str, DataFrame], folder: str, header: bool = True
 ) -> DataFrame:
     """Source rows against rows found in the landed files."""
-    reader = spark.read.option("header", header)
+    reader = spark.read.option("header", header).option("escape", '"')
     landed = {name: reader.csv(f"{folder}/{name}") for name in tables}
     return reconcile(table_counts(tables), table_counts(landed))
 

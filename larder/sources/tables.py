@@ -50,7 +50,7 @@ def read_csv(
     split, so one task reads it; ``spread`` redistributes the rows afterwards
     where no later step does.
     """
-    reader = spark.read.option("header", header).option("nullValue", "")
+    reader = spark.read.option("header", header).option("nullValue", "").option("escape", '"')
     if header:
         df = reader.csv(path)
     else:
