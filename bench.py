@@ -16,7 +16,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from checks.compare import local_session  # noqa: E402
-from checks.queries import Lake, _stream_silver  # noqa: E402
+from checks.queries import Lake, stream_events_silver  # noqa: E402
 from larder.operators.contract import Contract  # noqa: E402
 from larder.operators.metrics import auc_by_rank  # noqa: E402
 from larder.plans import gold, medallion, model, silver  # noqa: E402
@@ -52,7 +52,8 @@ def main() -> None:
     def stored(name):
         return medallion.silver_table(spark, root, name)
 
-    timed("land_bronze", lambda: lake.land_bronze(complete=True))
+    timed("land_orders_and_lines", lake.land_orders)
+    timed("land_catalog", lambda: lake.land_catalog(complete=True))
     timed("silver_orders", lambda: rows.update(orders=t.write_checked(
         silver.clean_orders(t.read_bronze_orders(spark, root)),
         f"{root}/{t.SILVER_ORDERS}", Contract.named("silver/orders"))))
@@ -82,7 +83,7 @@ def main() -> None:
     timed("topk_recommendations", lambda: run_all(model.recommend(scored)))
     labelled = model.training_set(features, orders, stored("order_products_train"))
     timed("auc_by_rank", lambda: auc_by_rank(labelled, "reorder_rate", "label").collect())
-    timed("order_event_stream", lambda: _stream_silver(spark, folder))
+    timed("order_event_stream", lambda: run_all(stream_events_silver(spark, folder)))
     silver_steps = [s for s in seconds if s.startswith("silver_")]
     silver_seconds = sum(seconds[s] for s in silver_steps)
     print(json.dumps({

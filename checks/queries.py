@@ -58,17 +58,22 @@ class Lake:
         pairs = gold.user_product_stats(orders, self.lines())
         return model.training_set(pairs, orders, self.train_lines())
 
-    def land_bronze(self, complete: bool = False) -> str:
-        """Write the Bronze folders as the sources would, and return their root."""
+    def land_orders(self) -> str:
+        """Write the historical Bronze folders as the full load would; the root."""
         g, root = self.given, self.scratch.root
         public = f"{root}/bronze/historical/public"
         loads = {"orders": g.bronze_orders(), "order_products": g.bronze_order_products("prior")}
         landing.land_full_load(loads, public, arrival())
-        landing.land_full_load(
-            {"order_products_train": g.bronze_order_products("train")},
-            f"{root}/bronze/historical/manual",
-            arrival(),
-        )
+        self.land_train_lines(root)
+        return root
+
+    def land_train_lines(self, root: str) -> None:
+        lines = {"order_products_train": self.given.bronze_order_products("train")}
+        landing.land_full_load(lines, f"{root}/bronze/historical/manual", arrival())
+
+    def land_catalog(self, complete: bool = False) -> str:
+        """Write the catalog folders as the event landing would; the root."""
+        g, root = self.given, self.scratch.root
         for name, rows in {
             "product": g.bronze_products(),
             "aisle": g.bronze_aisles(complete),
@@ -149,7 +154,7 @@ def lines_roundtrip(spark, folder):
 
 
 def catalog_json_scan(spark, folder):
-    root = Lake(spark, folder).land_bronze()
+    root = Lake(spark, folder).land_catalog()
     return silver.build_products(
         t.read_bronze_products(spark, root),
         t.read_bronze_aisles(spark, root),
@@ -170,11 +175,7 @@ def orders_per_bucket(spark, folder):
 def optional_source_missing(spark, folder):
     lake = Lake(spark, folder)
     there, gone = lake.scratch.path("there"), lake.scratch.path("gone")
-    landing.land_full_load(
-        {"order_products_train": lake.given.bronze_order_products("train")},
-        f"{there}/bronze/historical/manual",
-        arrival(),
-    )
+    lake.land_train_lines(there)
     found = t.read_bronze_order_products_train(spark, there)
     missing = t.read_bronze_order_products_train(spark, gone)
     counted = landing.table_counts({"there": found})
@@ -208,7 +209,9 @@ def seed_load_skip_force(spark, folder):
 
 
 def medallion_features(spark, folder):
-    root = Lake(spark, folder).land_bronze(complete=True)
+    lake = Lake(spark, folder)
+    root = lake.land_orders()
+    lake.land_catalog(complete=True)
     medallion.build_silver(spark, root)
     medallion.build_gold(spark, root)
     contract = Contract.named("gold/user_product_features")
@@ -355,25 +358,23 @@ def catalog_events_landed(spark, folder):
     return spark.read.text(landed).withColumnRenamed("value", "body")
 
 
-def _stream_silver(spark, folder) -> Lake:
-    lake = Lake(spark, folder)
-    events = lake.given.order_events(with_arrival=True)
+def land_order_events(lake: Lake) -> str:
+    """Order events as gzip JSON in one folder per arrival date."""
     incoming = lake.scratch.path("incoming")
+    events = lake.given.order_events(with_arrival=True)
     events.write.partitionBy("arrived").option("compression", "gzip").json(incoming)
-    order_events.build_stream_silver(
-        spark,
-        incoming,
-        lake.scratch.path("events"),
-        lake.scratch.path("bad"),
-        lake.scratch.path("checkpoint"),
-    )
-    return lake
+    return incoming
 
 
 def stream_events_silver(spark, folder):
-    lake = _stream_silver(spark, folder)
-    rows = spark.read.parquet(lake.scratch.path("events"))
-    return rows.select(
+    lake = Lake(spark, folder)
+    good, _ = order_events.split_events(
+        order_events.read_order_events(spark, land_order_events(lake))
+    )
+    rows = order_events.explode_products(order_events.first_events(good))
+    path = lake.scratch.path("events")
+    order_events.write_stream_events(rows, path, lake.scratch.path("state")).awaitTermination()
+    return spark.read.parquet(path).select(
         "order_id",
         "user_id",
         F.coalesce("position", F.lit(0)).alias("position"),
@@ -384,9 +385,14 @@ def stream_events_silver(spark, folder):
 
 
 def stream_bad_rows(spark, folder):
-    lake = _stream_silver(spark, folder)
+    lake = Lake(spark, folder)
+    _, bad = order_events.split_events(
+        order_events.read_order_events(spark, land_order_events(lake))
+    )
+    path = lake.scratch.path("bad")
+    order_events.write_rejected(bad, path, lake.scratch.path("state")).awaitTermination()
     schema = "event_time string, order_id int, user_id int, reason string"
-    return spark.read.schema(schema).json(lake.scratch.path("bad"))
+    return spark.read.schema(schema).json(path)
 
 
 # ---- Gold -------------------------------------------------------------------

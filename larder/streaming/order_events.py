@@ -95,6 +95,16 @@ def write_stream_events(rows: DataFrame, folder: str, checkpoint: str) -> Stream
     )
 
 
+def write_rejected(bad: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
+    """Unusable events as JSON, with their reason; stops when all input is read."""
+    return (
+        bad.writeStream.format("json")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start(folder)
+    )
+
+
 def build_stream_silver(
     spark: SparkSession,
     source: str,
@@ -109,10 +119,7 @@ def build_stream_silver(
     rows = explode_products(first_events(good))
     queries = [
         write_stream_events(rows, folder, f"{checkpoint}/events"),
-        bad.writeStream.format("json")
-        .option("checkpointLocation", f"{checkpoint}/rejected")
-        .trigger(availableNow=True)
-        .start(rejected),
+        write_rejected(bad, rejected, f"{checkpoint}/rejected"),
     ]
     for query in queries:
         query.awaitTermination()
