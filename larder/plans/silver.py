@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.columns import bucket_of, filled, try_bool, try_int
-from larder.operators.dedupe import first_per_key
+from larder.operators.dedupe import first_pair_per_key, first_per_key
 
 
 def clean_orders(bronze: DataFrame) -> DataFrame:
@@ -32,7 +32,9 @@ def clean_order_products(bronze: DataFrame) -> DataFrame:
         try_int("add_to_cart_order"),
         try_bool("reordered"),
     )
-    unique = first_per_key(typed, ["order_id", "product_id"])
+    unique = first_pair_per_key(
+        typed, ["order_id", "product_id"], "add_to_cart_order", "reordered"
+    )
     return unique.withColumn("order_id_bucket", bucket_of(F.col("order_id")))
 
 

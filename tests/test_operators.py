@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from larder.functions.columns import bucket_of, event_instant, filled, try_bool, try_int, utc_date
 from larder.operators import quality as q
-from larder.operators.dedupe import distinct_rows, first_per_key
+from larder.operators.dedupe import distinct_rows, first_pair_per_key, first_per_key
 from larder.operators.metrics import auc_by_rank, confusion
 from larder.operators.ranking import ranked_lists, top_k
 from larder.operators.running import running_totals
@@ -45,6 +45,17 @@ def test_first_per_key_is_the_smallest_row_with_nulls_last(spark):
     assert first_per_key(df.limit(0), ["k"]).isEmpty()
 
 
+def test_packed_pairs_choose_as_whole_rows_do(spark):
+    rng = random.Random(3)
+    values = [None, -(2**31), -5, -1, 0, 1, 7, 2**31 - 1]
+    data = [(rng.choice([None, 1, 2, 3]), rng.randint(1, 9), rng.choice(values), rng.choice([None, True, False])) for _ in range(400)]
+    df = spark.createDataFrame(data, "a int, b int, n int, f boolean")
+    packed = first_pair_per_key(df, ["a", "b"], "n", "f")
+    assert rows(packed) == rows(first_per_key(df, ["a", "b"]))
+    assert packed.dtypes == df.dtypes
+    assert "SortAggregate" not in plan_of(packed) and "Sort [" not in plan_of(packed)
+
+
 def test_copies_are_dropped_before_the_shuffle(spark):
     df = spark.range(1000).selectExpr("id % 3 AS k", "id AS v")
     plan = plan_of(first_per_key(df, ["k"]))
