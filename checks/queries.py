@@ -30,9 +30,8 @@ class Lake:
     """Bronze and Silver frames over one folder of given tables."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = spark
-        self.given = DriverTables(spark, folder)
         self.scratch = Scratch(spark)
+        self.given = DriverTables(spark, folder, self.scratch)
 
     def orders(self) -> DataFrame:
         return silver.clean_orders(self.given.bronze_orders())
@@ -50,19 +49,25 @@ class Lake:
         )
 
     def features(self) -> DataFrame:
-        orders = self.scratch.stage(self.orders(), "orders")
-        return gold.user_product_features(orders, self.lines(), self.products(), self.scratch)
+        lines = self.lines()
+        orders = self.stored_orders()
+        return gold.user_product_features(orders, lines, self.products(), self.scratch)
+
+    def stored_orders(self) -> DataFrame:
+        """Silver orders as a stored table: they are read several times."""
+        return self.given.once("silver_orders", self.orders)
 
     def training_set(self) -> DataFrame:
-        orders = self.scratch.stage(self.orders(), "train_orders")
-        pairs = gold.user_product_stats(orders, self.lines())
+        lines = self.lines()
+        orders = self.stored_orders()
+        pairs = gold.user_product_stats(orders, lines)
         return model.training_set(pairs, orders, self.train_lines())
 
     def land_orders(self) -> str:
         """Write the historical Bronze folders as the full load would; the root."""
         g, root = self.given, self.scratch.root
         public = f"{root}/bronze/historical/public"
-        loads = {"orders": g.bronze_orders(), "order_products": g.bronze_order_products("prior")}
+        loads = {"order_products": g.bronze_order_products("prior"), "orders": g.bronze_orders()}
         landing.land_full_load(loads, public, arrival())
         self.land_train_lines(root)
         return root
@@ -186,8 +191,8 @@ def optional_source_missing(spark, folder):
 def landing_reconciliation(spark, folder):
     lake = Lake(spark, folder)
     sources = {
-        "orders": lake.given.bronze_orders(),
         "order_products": lake.given.bronze_order_products("prior"),
+        "orders": lake.given.bronze_orders(),
     }
     public = lake.scratch.path("public")
     landing.land_full_load(sources, public, arrival())
@@ -222,12 +227,12 @@ def medallion_features(spark, folder):
 
 
 def contract_violations_orders(spark, folder):
-    bronze = DriverTables(spark, folder).bronze_orders()
+    bronze = Lake(spark, folder).given.bronze_orders()
     return Contract.named("silver/orders").rule_counts(bronze)
 
 
 def contract_violations_lines(spark, folder):
-    bronze = DriverTables(spark, folder).bronze_order_products("prior")
+    bronze = Lake(spark, folder).given.bronze_order_products("prior")
     return Contract.named("bronze/order_products").rule_counts(bronze)
 
 
@@ -254,35 +259,36 @@ def contract_schema(spark, folder):
 
 def contract_declared_rules(spark, folder):
     contract = Contract.named("silver/orders")
-    bronze = DriverTables(spark, folder).bronze_orders()
+    bronze = Lake(spark, folder).given.bronze_orders()
     return contract.apply_derived(bronze).select(*[f.name for f in contract.fields])
 
 
 def contract_default_values(spark, folder):
-    bronze = DriverTables(spark, folder).bronze_orders()
+    bronze = Lake(spark, folder).given.bronze_orders()
     return Contract.named("silver/orders").fill_defaults(bronze)
 
 
 def dq_null_ids(spark, folder):
-    bronze = DriverTables(spark, folder).bronze_orders()
+    bronze = Lake(spark, folder).given.bronze_orders()
     rules = {c: q.not_null(c) for c in bronze.columns}
     return q.count_broken(bronze, rules | {"eval_set length": q.longer_than("eval_set", 10)})
 
 
 def dq_duplicate_ids(spark, folder):
-    return q.duplicate_keys(DriverTables(spark, folder).bronze_orders(), ["order_id"])
+    return q.duplicate_keys(Lake(spark, folder).given.bronze_orders(), ["order_id"])
 
 
 def dq_duplicate_composite_key(spark, folder):
-    lines = DriverTables(spark, folder).bronze_order_products("prior")
+    lines = Lake(spark, folder).given.bronze_order_products("prior")
     return q.duplicate_keys(lines, ["order_id", "product_id"])
 
 
 def dq_orphan_lines(spark, folder):
     """Train lines do not belong to prior orders; aisle 13 is not known."""
     lake = Lake(spark, folder)
+    train_lines = lake.train_lines()
     prior = gold.of_set(lake.orders(), "prior")
-    lines = q.orphan_keys(lake.train_lines(), "order_id", prior, "order_id")
+    lines = q.orphan_keys(train_lines, "order_id", prior, "order_id")
     g = lake.given
     aisles = q.orphan_keys(g.bronze_products(), "aisle_id", g.bronze_aisles(), "aisle_id")
     return lines.select(F.lit("order_id").alias("fk"), F.col("order_id").alias("key"), "n").union(
@@ -291,7 +297,7 @@ def dq_orphan_lines(spark, folder):
 
 
 def dq_range_rules(spark, folder):
-    bronze = DriverTables(spark, folder).bronze_orders()
+    bronze = Lake(spark, folder).given.bronze_orders()
     return q.count_broken(
         bronze,
         {
@@ -305,25 +311,25 @@ def dq_range_rules(spark, folder):
 
 
 def dq_allowed_values(spark, folder):
-    g = DriverTables(spark, folder)
-    sets = q.count_broken(
-        g.bronze_orders(), {"eval_set": q.not_in("eval_set", ["prior", "train", "test"])}
-    )
+    g = Lake(spark, folder).given
     flags = q.count_broken(
         g.bronze_order_products("prior"), {"reordered": q.not_in("reordered", ["0", "1"])}
     )
+    sets = q.count_broken(
+        g.bronze_orders(), {"eval_set": q.not_in("eval_set", ["prior", "train", "test"])}
+    )
     return sets.union(flags)
 
 
 def rows_split_valid_rejected(spark, folder):
     """Every Bronze order with the first Silver rule it breaks."""
-    bronze = DriverTables(spark, folder).bronze_orders()
+    bronze = Lake(spark, folder).given.bronze_orders()
     marked = Contract.named("silver/orders").with_reason(bronze)
     return marked.select("order_id", "user_id", F.coalesce("reason", F.lit("ok")).alias("reason"))
 
 
 def drop_null_keys(spark, folder):
-    bronze = DriverTables(spark, folder).bronze_orders()
+    bronze = Lake(spark, folder).given.bronze_orders()
     accepted, rejected = q.drop_null_keys(bronze, ["order_id", "days_since_prior_order"])
     columns = ["order_id", "order_number"]
     return accepted.select(*columns, F.lit("ok").alias("reason")).union(
@@ -335,7 +341,7 @@ def drop_null_keys(spark, folder):
 
 
 def catalog_events_routed(spark, folder):
-    events = DriverTables(spark, folder).catalog_events()
+    events = Lake(spark, folder).given.catalog_events()
     return landing.parse_catalog_events(events, arrival())
 
 
@@ -404,8 +410,8 @@ def user_order_timeline(spark, folder):
 
 def user_product_stats(spark, folder):
     lake = Lake(spark, folder)
-    orders = lake.scratch.stage(lake.orders(), "orders")
-    return gold.user_product_stats(orders, lake.lines())
+    lines = lake.lines()
+    return gold.user_product_stats(lake.stored_orders(), lines)
 
 
 def user_totals(spark, folder):
@@ -427,8 +433,8 @@ def user_product_features(spark, folder):
 
 def department_reorder_rate(spark, folder):
     lake = Lake(spark, folder)
-    orders = lake.scratch.stage(lake.orders(), "orders")
-    return gold.department_reorder_rate(orders, lake.lines(), lake.products())
+    lines = lake.lines()
+    return gold.department_reorder_rate(lake.stored_orders(), lines, lake.products())
 
 
 # ---- model ------------------------------------------------------------------
@@ -464,7 +470,7 @@ def model_scores_topk(spark, folder):
     """Train on train users, save and load, recommend to test users."""
     lake = Lake(spark, folder)
     features = lake.scratch.stage(lake.features(), "features")
-    orders = lake.scratch.stage(lake.orders(), "all_orders")
+    orders = lake.stored_orders()
     labelled = lake.scratch.stage(
         model.training_set(features, orders, lake.train_lines()), "labelled"
     )

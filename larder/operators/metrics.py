@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.operators.running import running_totals
-
 # Scores are compared at this many decimals, which bounds the score histogram.
 SCORE_DECIMALS = 6
 
@@ -14,9 +12,9 @@ SCORE_DECIMALS = 6
 def auc_by_rank(df: DataFrame, score: str, label: str) -> DataFrame:
     """Exact AUC-ROC by the rank formula; ties count half.
 
-    Sorting every row globally would end in one task. Scores in [0, 1] are
-    counted per distinct value at six decimals (at most 1,000,001 of them), and
-    the running count of negatives is taken over that histogram in blocks.
+    Sorting every row globally would end in one task. Scores in [0, 1] are first
+    counted per distinct value at six decimals. The global window then reads that
+    histogram, which has at most 1,000,001 rows however many were scored.
     """
     scale = 10**SCORE_DECIMALS
     positive = (F.col(label) == 1).cast("long")
@@ -25,20 +23,18 @@ def auc_by_rank(df: DataFrame, score: str, label: str) -> DataFrame:
         .groupBy(F.round(F.col(score) * scale).cast("int").alias("_bin"))
         .agg(F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg"))
     )
-    points = running_totals(
-        histogram.withColumn("_all", F.lit(1)),
-        ["_all"],
-        "_bin",
-        {"pos": F.col("pos"), "neg": F.col("neg")},
-        bits=10,
-    ).join(histogram, "_bin")
-    below = F.col("neg_running") - F.col("neg")
-    wins = F.sum(F.col("pos") * (below + F.col("neg") / 2))
-    pairs = F.max("pos_total").cast("double") * F.max("neg_total")
-    return points.agg(
-        F.coalesce(F.max("pos_total"), F.lit(0)).alias("positives"),
-        F.coalesce(F.max("neg_total"), F.lit(0)).alias("negatives"),
-        F.round(F.try_divide(wins, pairs), SCORE_DECIMALS).alias("auc"),
+    lower = Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("neg").over(lower), F.lit(0))
+    counted = histogram.select("pos", "neg", below.alias("below"))
+    wins = F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2))
+    positives = F.coalesce(F.sum("pos"), F.lit(0))
+    negatives = F.coalesce(F.sum("neg"), F.lit(0))
+    return counted.agg(
+        positives.alias("positives"),
+        negatives.alias("negatives"),
+        F.round(F.try_divide(wins, positives.cast("double") * negatives), SCORE_DECIMALS).alias(
+            "auc"
+        ),
     )
 
 

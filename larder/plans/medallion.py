@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import logging
+from collections.abc import Callable, Sequence
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from larder.operators.contract import Contract
 from larder.operators.metrics import auc_by_rank, confusion
@@ -11,6 +16,36 @@ from larder.plans.gold import user_product_features
 from larder.sources import tables as t
 from larder.sources.storage import Scratch
 
+log = logging.getLogger(__name__)
+
+
+def clean_and_write(
+    name: str,
+    sources: Sequence[DataFrame],
+    clean: Callable[..., DataFrame],
+    path: str,
+    contract: Contract,
+) -> int:
+    """Clean, check and write one table; log rows read, return rows written (A4, K2).
+
+    Rows read are observed during the same job. They are for the log only: a task
+    before a shuffle that has to run again counts its rows again.
+    """
+    seen = [Observation() for _ in sources]
+    counted = [df.observe(o, F.count(F.lit(1)).alias("rows")) for df, o in zip(sources, seen)]
+    written = t.write_checked(clean(*counted), path, contract)
+    read = ", ".join(_observed_rows(o) for o in seen)
+    log.info("%s: %s rows read, %d rows written", name, read, written)
+    return written
+
+
+def _observed_rows(seen: Observation) -> str:
+    """Rows observed; unknown where Spark skipped the source, its result being empty."""
+    try:
+        return str(seen.get["rows"])
+    except Py4JJavaError:
+        return "unknown"
+
 
 def build_silver(spark: SparkSession, root: str, header: bool = True) -> dict[str, int]:
     """Read, clean, check and write every Silver table; rows written per table.
@@ -18,34 +53,46 @@ def build_silver(spark: SparkSession, root: str, header: bool = True) -> dict[st
     The first broken contract stops the run; tables written before it stay.
     Train labels are optional and pass the same check as the order lines.
     """
-    lines_contract = Contract.named("silver/order_products")
+    orders, lines, products = (
+        Contract.named(f"silver/{name}") for name in ("orders", "order_products", "products")
+    )
     rows = {
-        "orders": t.write_checked(
-            silver.clean_orders(t.read_bronze_orders(spark, root, header)),
+        "orders": clean_and_write(
+            "orders",
+            [t.read_bronze_orders(spark, root, header)],
+            silver.clean_orders,
             f"{root}/{t.SILVER_ORDERS}",
-            Contract.named("silver/orders"),
+            orders,
         ),
-        "order_products": t.write_checked(
-            silver.clean_order_products(t.read_bronze_order_products(spark, root, header)),
+        "order_products": clean_and_write(
+            "order_products",
+            [t.read_bronze_order_products(spark, root, header)],
+            silver.clean_order_products,
             f"{root}/{t.SILVER_ORDER_PRODUCTS}",
-            lines_contract,
+            lines,
         ),
-        "products": t.write_checked(
-            silver.build_products(
+        "products": clean_and_write(
+            "products",
+            [
                 t.read_bronze_products(spark, root),
                 t.read_bronze_aisles(spark, root),
                 t.read_bronze_departments(spark, root),
-            ),
+            ],
+            silver.build_products,
             f"{root}/{t.SILVER_PRODUCTS}",
-            Contract.named("silver/products"),
+            products,
         ),
     }
     train = t.read_bronze_order_products_train(spark, root, header)
-    if train is not None:
-        rows["order_products_train"] = t.write_checked(
-            silver.clean_order_products(train),
+    if train is None:
+        log.warning("order_products_train: no source, skipped")
+    else:
+        rows["order_products_train"] = clean_and_write(
+            "order_products_train",
+            [train],
+            silver.clean_order_products,
             f"{root}/{t.SILVER_ORDER_PRODUCTS_TRAIN}",
-            lines_contract,
+            lines,
         )
     return rows
 

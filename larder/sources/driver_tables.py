@@ -7,10 +7,13 @@ lines, catalog records sent many times with other contents, malformed events.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from larder.operators.running import block_of, block_offsets
+from larder.sources.storage import Scratch
 
 # Ids per block when orders of one user and day are numbered.
 ID_BLOCK_BITS = 20
@@ -19,13 +22,22 @@ PARTS_PER_PRODUCT = 20
 
 
 class DriverTables:
-    def __init__(self, spark: SparkSession, folder: str):
+    """Orders and lines that several tables derive from are written to ``scratch`` once."""
+
+    def __init__(self, spark: SparkSession, folder: str, scratch: Scratch):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self.scratch = scratch
+        self.written: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self.written:
+            self.written[name] = self.scratch.stage(build(), f"given/{name}")
+        return self.written[name]
+
     # ---- orders -------------------------------------------------------------
 
     def true_orders(self) -> DataFrame:
@@ -77,22 +89,32 @@ class DriverTables:
 
     def bronze_orders(self) -> DataFrame:
         """Every tenth order arrives twice."""
-        return _sent_twice(self.true_orders(), F.col("order_id") % 10 == 0)
+        orders = self.written["orders"] if "orders" in self.written else self.true_orders()
+        return _sent_twice(orders, F.col("order_id") % 10 == 0)
 
     # ---- order lines --------------------------------------------------------
 
-    def _lines(self) -> DataFrame:
-        """Lines with their order's set, and whether the user had the product before."""
-        pair = ["user_id", "product_id", "_block"]
+    def _placed(self) -> DataFrame:
+        """Lines with their order's user, set and number."""
         lines = self.table("lineitem").select(
             F.col("l_orderkey").cast("int").alias("order_id"),
             product_of("l_partkey").alias("product_id"),
             F.col("l_linenumber").cast("int").alias("add_to_cart_order"),
         )
+        orders = self.once("orders", self.true_orders)
         placed = lines.join(
-            self.true_orders().select("order_id", "user_id", "eval_set", "order_number"),
-            "order_id",
-        ).withColumn("_block", block_of("order_number"))
+            orders.select("order_id", "user_id", "eval_set", "order_number"), "order_id"
+        )
+        return placed.withColumn("_block", block_of("order_number"))
+
+    def _lines(self) -> DataFrame:
+        """Lines with whether the user had the product in an earlier order.
+
+        A pair's first order is taken per block of order numbers, then over the
+        blocks, and meets the lines on pair and block, not on the pair alone.
+        """
+        pair = ["user_id", "product_id", "_block"]
+        placed = self.once("placed", self._placed)
         first_in_block = placed.groupBy(*pair).agg(F.min("order_number").alias("n"))
         of_pair = Window.partitionBy("user_id", "product_id")
         first = first_in_block.select(*pair, F.min("n").over(of_pair).alias("first_order"))
@@ -106,7 +128,7 @@ class DriverTables:
         word = F.when(F.col("again"), "true").otherwise("false")
         digit = F.when(F.col("again"), "1").otherwise("0")
         return (
-            self._lines()
+            self.once("lines", self._lines)
             .filter(F.col("eval_set") == eval_set)
             .select(
                 "order_id",

@@ -156,7 +156,7 @@ def test_seed_skips_a_populated_table(spark, tmp_path):
     assert spark.read.parquet(path).count() == 9
 
 
-def test_whole_run_on_hand_made_files(spark, tmp_path):
+def test_whole_run_on_hand_made_files(spark, tmp_path, caplog):
     root = str(tmp_path)
     public = tmp_path / "bronze/historical/public"
     (public / "orders").mkdir(parents=True)
@@ -177,7 +177,12 @@ def test_whole_run_on_hand_made_files(spark, tmp_path):
         d.mkdir(parents=True)
         for i, body in enumerate(bodies):
             (d / f"{i}.json").write_text(json.dumps({**body, "type": kind}))
-    assert medallion.build_silver(spark, root) == {"orders": 4, "order_products": 4, "products": 2}
+    with caplog.at_level("INFO", "larder"):
+        written = medallion.build_silver(spark, root)
+    assert written == {"orders": 4, "order_products": 4, "products": 2}
+    assert "orders: 5 rows read, 4 rows written" in caplog.text
+    assert "products: 2, 1, 1 rows read, 2 rows written" in caplog.text
+    assert "order_products_train: no source, skipped" in caplog.text
     assert medallion.build_gold(spark, root) == 3
     got = t.read_table(spark, f"{root}/{t.GOLD_FEATURES}", Contract.named("gold/user_product_features"))
     assert rows(got.drop("aisle_name", "department_name")) == [
@@ -194,6 +199,17 @@ def test_whole_run_on_hand_made_files(spark, tmp_path):
     assert medallion.silver_table(spark, root, "products").count() == 2
 
 
+def test_a_run_without_products_writes_an_empty_table(spark, tmp_path):
+    text = "product_id string, product_name string, aisle_id string, department_id string"
+    products = spark.createDataFrame([("1", "Salt", "1", "1")], text).filter("product_id > '5'")
+    aisles = spark.createDataFrame([("1", "spices")], "aisle_id string, aisle string")
+    departments = spark.createDataFrame([("1", "pantry")], "department_id string, department string")
+    contract, path = Contract.named("silver/products"), str(tmp_path / "products")
+    sources = [products, aisles, departments]
+    assert medallion.clean_and_write("products", sources, silver.build_products, path, contract) == 0
+    assert t.read_table(spark, path, contract).count() == 0
+
+
 def test_scratch_lives_in_the_shared_folder(spark):
     scratch = Scratch(spark)
     assert scratch.root.startswith(spark.conf.get("spark.checkpoint.dir"))
