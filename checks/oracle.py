@@ -183,6 +183,13 @@ SILVER_ORDERS = "SELECT * FROM silver_orders"
 SILVER_LINES = "SELECT * FROM silver_lines"
 SILVER_PRODUCTS = "SELECT * FROM silver_products"
 
+STREAM_ROWS = """
+    SELECT order_id, user_id, CAST(coalesce(pos, 0) AS INTEGER) AS position,
+           CAST(CASE WHEN pos IS NULL THEN -1 ELSE product_ids[pos] END AS INTEGER) AS product_id,
+           'stream' AS source, event_time[1:10] AS event_date
+    FROM (SELECT DISTINCT * FROM stream WHERE event_time <> 'bad' {late}) s
+    LEFT JOIN (SELECT unnest([1, 2]) AS pos) c ON pos <= len(product_ids)"""
+
 ORDER_RULES = [
     ("eval_set", "allowed_values", "train,test,prior",
      "eval_set NOT IN ('train', 'test', 'prior')"),
@@ -311,13 +318,8 @@ SELECTS = {
         SELECT type, status, count(*) AS n FROM catalog_parsed GROUP BY 1, 2""",
     "catalog_events_landed": """
         SELECT body, type, year, month, day FROM catalog_parsed WHERE status = 'ok'""",
-    "stream_events_silver": """
-        SELECT order_id, user_id, CAST(coalesce(pos, 0) AS INTEGER) AS position,
-               CAST(CASE WHEN pos IS NULL THEN -1 ELSE product_ids[pos] END AS INTEGER)
-                 AS product_id,
-               'stream' AS source, event_time[1:10] AS event_date
-        FROM (SELECT DISTINCT * FROM stream WHERE event_time <> 'bad') s
-        LEFT JOIN (SELECT unnest([1, 2]) AS pos) c ON pos <= len(product_ids)""",
+    "stream_events_silver": STREAM_ROWS.replace("{late}", ""),
+    "stream_late_events": STREAM_ROWS.replace("{late}", "AND event_time >= '2024-01-16'"),
     "stream_bad_rows": """
         SELECT event_time, order_id, user_id, 'unreadable event_time' AS reason
         FROM stream WHERE event_time = 'bad'""",
