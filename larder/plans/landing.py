@@ -31,8 +31,9 @@ def parse_catalog_events(events: DataFrame, arrived_at: Column) -> DataFrame:
     body = F.coalesce(F.nullif(F.trim("body"), F.lit("")), F.lit("{}"))
     wrapped = F.concat(F.lit("["), body, F.lit("]"))
     objects = F.from_json(wrapped, "array<struct<type:string>>")
-    valid = (F.size(objects) == 1) & F.element_at(objects, 1).isNotNull()
-    kind = F.try_element_at(objects, F.lit(1)).getField("type")
+    first = F.try_element_at(objects, F.lit(1))
+    valid = (F.size(objects) == 1) & first.isNotNull()
+    kind = first.getField("type")
     reason = F.when(~F.coalesce(valid, F.lit(False)), INVALID_JSON).when(
         ~F.coalesce(kind.isin(*EVENT_TYPES), F.lit(False)), INVALID_TYPE
     )

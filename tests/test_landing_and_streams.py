@@ -23,6 +23,10 @@ BODIES = [
     ('"product"', landing.INVALID_JSON),
     ("[1]", landing.INVALID_JSON),
     ("7", landing.INVALID_JSON),
+    ("\t", landing.INVALID_JSON),
+    ("[]", landing.INVALID_JSON),
+    ('{"type":"product"', landing.INVALID_JSON),
+    ('{"type":"product",}', landing.INVALID_JSON),
 ]
 
 
