@@ -26,7 +26,7 @@ class Scratch:
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` once and return it as read back."""
         path = self.path(name)
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def remove(self) -> None:
