@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import exact_dedup, hyperminhash
+from larder.llm import boosted_trees, exact_dedup, hyperminhash, toxicity
 from larder.sources.storage import Scratch
 
 
@@ -15,6 +15,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op4_fuzzy_lexicon_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op5_hyperminhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return hyperminhash.near_duplicates(table(spark, folder, "documents"), Scratch(spark), percent=85)
 
@@ -26,12 +30,19 @@ def op6_perfect_hash_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(docs.filter(earlier), docs.filter(~earlier), Scratch(spark))
 
 
+def op7_boosted_trees_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return boosted_trees.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_fuzzy_lexicon_toxicity": op4_fuzzy_lexicon_toxicity,
     "op5_hyperminhash_near_dedup": op5_hyperminhash_near_dedup,
     "op6_perfect_hash_exact_dedup": op6_perfect_hash_exact_dedup,
+    "op7_boosted_trees_quality": op7_boosted_trees_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_fuzzy_lexicon_toxicity": op4_fuzzy_lexicon_toxicity,
     "op5_hyperminhash_near_dedup": r"""
         WITH RECURSIVE words AS (
             SELECT doc_id, regexp_extract_all(
