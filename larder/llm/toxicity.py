@@ -30,9 +30,11 @@ from pyspark.sql.types import DoubleType
 
 from larder.llm.samples import FIT_ROWS, id_remainder, labelled
 
-# Terms: at most so many, in at least so many toxic texts, so many times likelier there.
+# Terms: at most so many, in toxic texts after at least so many different words (also as
+# a share of the toxic texts), and so many times likelier there.
 TERMS = 500
-LEAST_TEXTS = 8
+LEAST_CONTEXTS = 8
+LEAST_SHARE = 0.01
 LEAST_RATIO = 8.0
 SHORTEST = 4
 WINDOW = 8
@@ -225,19 +227,29 @@ def fit_logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def tokens_of(text: str = "text") -> Column:
-    return F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+"))
+def words_after(text: str = "text") -> Column:
+    """Distinct pairs of a word and the word before it."""
+    words = F.split(F.lower(text), r"[^\p{L}\p{N}]+")
+    before = F.concat(F.array(F.lit("")), words)
+    return F.array_distinct(F.slice(F.arrays_zip(words.alias("word"), before.alias("before")), 1, F.size(words)))
 
 
 def fit_detector(docs: DataFrame, labels: DataFrame, usable: Column, rows: int = FIT_ROWS) -> Detector:
     """Learn terms, ordinary words and weights. At most ``TERMS`` terms and ``rows`` short rows reach the driver."""
     sample = labelled(docs, labels, "toxic", usable, rows)
-    words = sample.select("label", F.explode(tokens_of()).alias("word")).filter(F.length("word") >= 3)
+    words = sample.select("label", F.explode(words_after()).alias("w")).select("label", "w.*").filter(F.length("word") >= 3)
     sizes = sample.agg(F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)).first()
     toxic, clean = (n or 0 for n in sizes)
-    counts = words.groupBy("word").agg(F.count_if(F.col("label") == 1).alias("t"), F.count_if(F.col("label") == 0).alias("c"))
+    # A copied text has the same words in the same places, so its rare words have one context each.
+    counts = (
+        words.groupBy("word", "before")
+        .agg(F.count_if(F.col("label") == 1).alias("t"), F.count_if(F.col("label") == 0).alias("c"))
+        .groupBy("word")
+        .agg(F.sum("t").alias("t"), F.sum("c").alias("c"), F.count_if(F.col("t") > 0).alias("contexts"))
+    )
     ratio = ((F.col("t") + 0.5) / (toxic + 1)) / ((F.col("c") + 0.5) / (clean + 1))
-    strong = counts.filter((F.col("t") >= LEAST_TEXTS) & (ratio >= LEAST_RATIO))
+    least = max(LEAST_CONTEXTS, math.ceil(LEAST_SHARE * toxic))
+    strong = counts.filter((F.col("contexts") >= least) & (ratio >= LEAST_RATIO))
     terms = [r.word for r in strong.orderBy(F.desc(ratio), "word").select("word").limit(TERMS).collect()]
     finder = Detector(terms)
     usual = sample.filter("label = 0").mapInArrow(_near_words(finder), "word string").distinct()
