@@ -63,9 +63,9 @@ def linked_components(
     every = ["id", *carried]
     first = (
         spread.groupBy("key")
-        .agg(F.min(F.struct(*every)).alias("first"), F.count("*").alias("n"))
+        .agg((F.min(F.struct(*every)) if carried else F.min("id")).alias("first"), F.count("*").alias("n"))
         .filter("n > 1")
-        .select("key", *[F.col(f"first.{c}").alias(f"f_{c}") for c in every])
+        .select("key", *[(F.col(f"first.{c}") if carried else F.col("first")).alias(f"f_{c}") for c in every])
     )
     under = scratch.stage(spread.join(first, "key"), f"{name}-keys")
     star = under.filter((F.col("id") != F.col("f_id")) & alike("", "f_"))

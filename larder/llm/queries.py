@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import boosted_trees, exact_dedup, hyperminhash, toxicity
+from larder.llm import (
+    boosted_trees,
+    exact_dedup,
+    hyperminhash,
+    line_dedup,
+    packing,
+    sharding,
+    toxicity,
+)
 from larder.sources.storage import Scratch
 
 
@@ -15,6 +23,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """The place of a public tokenizer file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op4_fuzzy_lexicon_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -34,11 +49,35 @@ def op7_boosted_trees_quality(spark: SparkSession, folder: str) -> DataFrame:
     return boosted_trees.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op8_minimax_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.sharded(table(spark, folder, "documents"), Scratch(spark))
+
+
+def op9_first_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"), Scratch(spark))
+
+
+def op10_fuzzy_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    lines = F.when(F.length("text") > 0, F.size(F.split("text", "\n"))).otherwise(0)
+    kept = line_dedup.deduplicated(docs, Scratch(spark), "n_removed")
+    return kept.select(
+        "doc_id",
+        lines.cast("long").alias("n_lines"),
+        F.col("n_removed").cast("long"),
+        F.octet_length("text").cast("long").alias("text_bytes"),
+        F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_fuzzy_lexicon_toxicity": op4_fuzzy_lexicon_toxicity,
     "op5_hyperminhash_near_dedup": op5_hyperminhash_near_dedup,
     "op6_perfect_hash_exact_dedup": op6_perfect_hash_exact_dedup,
     "op7_boosted_trees_quality": op7_boosted_trees_quality,
+    "op8_minimax_sharding": op8_minimax_sharding,
+    "op9_first_fit_packing": op9_first_fit_packing,
+    "op10_fuzzy_line_dedup": op10_fuzzy_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
