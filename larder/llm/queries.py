@@ -13,6 +13,7 @@ from larder.llm import (
     hyperminhash,
     line_dedup,
     packing,
+    sentencepiece_scan,
     sharding,
     toxicity,
 )
@@ -30,6 +31,11 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_maxplus_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    model = tokenizer_file("piece_bpe_32k.model")
+    return sentencepiece_scan.round_trips(table(spark, folder, "documents"), model, Scratch(spark))
+
+
 def op4_fuzzy_lexicon_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -71,6 +77,7 @@ def op10_fuzzy_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_maxplus_sentencepiece": op1_maxplus_sentencepiece,
     "op4_fuzzy_lexicon_toxicity": op4_fuzzy_lexicon_toxicity,
     "op5_hyperminhash_near_dedup": op5_hyperminhash_near_dedup,
     "op6_perfect_hash_exact_dedup": op6_perfect_hash_exact_dedup,
@@ -81,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_maxplus_sentencepiece": op1_maxplus_sentencepiece,
     "op4_fuzzy_lexicon_toxicity": op4_fuzzy_lexicon_toxicity,
     "op5_hyperminhash_near_dedup": r"""
         WITH RECURSIVE words AS (
