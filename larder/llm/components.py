@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larder.llm.text import string_parts
 from larder.sources.storage import Scratch
 
+# Rows of a key that are compared in one task: two blocks of this size.
+BLOCK_ROWS = 2_000
+
 
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b); root is the smallest node reached.
@@ -39,57 +45,96 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
 
 def linked_components(
     members: DataFrame,
-    keys: str,
-    carried: list[str],
-    alike: Callable[[str, str], Column],
+    alike: Callable[[np.ndarray, np.ndarray], np.ndarray],
     verify: Callable[[DataFrame, str], DataFrame],
     scratch: Scratch,
     name: str,
+    narrow: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Components of the rows ``id`` of ``members`` that share a key and are truly alike.
+    """Components of the rows that share a key and are truly alike: (node, root), for joined rows only.
 
-    ``members`` has one row per ``id``, an array column ``keys``, and the columns
-    ``carried`` that ``alike(left, right)`` compares inside the join.
-    ``verify(pairs, name)`` keeps the pairs (a, b) that hold on full data.
+    ``members`` has one row per ``id`` (long), an array of longs ``keys`` and a
+    binary ``sketch`` of fixed width. ``alike(a, b)`` compares sketches, as rows of
+    bytes, and may only reject pairs that are not alike. ``verify(pairs, name)``
+    keeps the pairs (a, b) that hold on full data. ``narrow(ids)`` may leave out
+    rows that cannot be alike to any other of ``ids``.
 
     First every row is compared with the smallest row under each of its keys, so a
     group of n rows costs n pairs. Rows that this already joins need no other
     proof. What is left are keys whose rows lie in several components: there, rows
     outside the smallest row's component are compared with every row of another
-    component. So each pair under a shared key is compared, or its rows are known
-    to be joined; no link between components is lost.
+    component, in blocks of bounded size. So each pair under a shared key is
+    compared, or its rows are known to be joined; no link between components is
+    lost, and only pairs that may be alike leave their block.
     """
-    spread = members.select(F.explode(F.array_distinct(keys)).alias("key"), "id", *carried)
-    every = ["id", *carried]
-    first = (
-        spread.groupBy("key")
-        .agg((F.min(F.struct(*every)) if carried else F.min("id")).alias("first"), F.count("*").alias("n"))
-        .filter("n > 1")
-        .select("key", *[(F.col(f"first.{c}") if carried else F.col("first")).alias(f"f_{c}") for c in every])
-    )
-    under = scratch.stage(spread.join(first, "key"), f"{name}-keys")
-    star = under.filter((F.col("id") != F.col("f_id")) & alike("", "f_"))
-    edges = verify(star.select(F.col("f_id").alias("a"), F.col("id").alias("b")).distinct(), f"{name}-star")
+    spread = members.select(F.explode(F.array_distinct("keys")).alias("key"), "id")
+    first = spread.groupBy("key").agg(F.min("id").alias("f_id"), F.count("*").alias("n")).filter("n > 1")
+    under = scratch.stage(spread.join(first.select("key", "f_id"), "key"), f"{name}-keys")
+    sketches = members.select("id", "sketch")
+    star = under.filter("id <> f_id").select(F.col("f_id").alias("a"), F.col("id").alias("b")).distinct()
+    for side in "ab":
+        star = star.join(sketches.select(F.col("id").alias(side), F.col("sketch").alias(f"{side}_sketch")), side)
+    star = star.select("a", "b", "a_sketch", "b_sketch").mapInArrow(_rows_alike(alike), "a long, b long")
+    edges = verify(scratch.stage(star, f"{name}-star-pairs"), f"{name}-star")
     reached = scratch.stage(components(edges, scratch, f"{name}-c1"), f"{name}-roots")
     firsts = reached.select(F.col("node").alias("f_id"), F.col("root").alias("f_root"))
+    # The smallest row of a key was compared with all others above.
     marked = (
-        under.select("key", *every, "f_id")
+        under.filter("id <> f_id")
         .join(reached.withColumnRenamed("node", "id"), "id", "left")
         .join(firsts, "f_id", "left")
-        .withColumns({"root": F.coalesce("root", "id"), "f_root": F.coalesce("f_root", "f_id")})
+        .select("key", "id", F.coalesce("root", "id").alias("root"), F.coalesce("f_root", "f_id").alias("f_root"))
     )
-    # The smallest row of a key was compared with all others above.
-    marked = scratch.stage(marked.filter("id <> f_id"), f"{name}-marked")
-    apart = marked.filter("root <> f_root").select("key", "root", *every)
-    others = marked.select("key", *[F.col(c).alias(f"o_{c}") for c in ["root", *every]])
-    more = (
-        apart.join(others, "key")
-        .filter((F.col("root") != F.col("o_root")) & alike("", "o_"))
-        .select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b"))
-        .distinct()
-    )
-    found = verify(more, f"{name}-rest")
+    marked = scratch.stage(marked, f"{name}-marked")
+    mixed_keys = marked.filter("root <> f_root").select("key").distinct()
+    mixed = marked.join(mixed_keys, "key", "left_semi")
+    if narrow:
+        mixed = scratch.stage(mixed, f"{name}-mixed")
+        mixed = mixed.join(narrow(mixed.select("id").distinct()), "id", "left_semi")
+    mixed = scratch.stage(mixed, f"{name}-narrowed")
+    counts = mixed.groupBy("key").agg(F.count("*").alias("n"), F.max(F.col("root") != F.col("f_root")).alias("split"))
+    blocks = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
+    sized = mixed.join(counts.filter("n > 1 AND split").select("key", blocks.alias("blocks")), "key").join(sketches, "id")
+    own = F.pmod(F.xxhash64("id"), "blocks").cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    columns = ["key", "id", "root", "sketch"]
+    asking = sized.filter("root <> f_root").select(*columns, own.alias("i"), every.alias("j"), F.lit(True).alias("asks"))
+    asked = sized.select(*columns, every.alias("i"), own.alias("j"), F.lit(False).alias("asks"))
+    pairs = asking.union(asked).groupBy("key", "i", "j").applyInArrow(_block_pairs(alike), "a long, b long").distinct()
+    found = verify(scratch.stage(pairs, f"{name}-rest-pairs"), f"{name}-rest")
     if found.isEmpty():
         return reached
     joined = reached.select(F.col("node").alias("a"), F.col("root").alias("b"))
     return components(joined.union(found), scratch, f"{name}-c2")
+
+
+def sketch_rows(column) -> np.ndarray:
+    raw, at = string_parts(column)
+    return raw.reshape(len(at) - 1, -1)
+
+
+def _rows_alike(alike):
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                keep = alike(sketch_rows(batch.column("a_sketch")), sketch_rows(batch.column("b_sketch")))
+                yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    return run
+
+
+def _block_pairs(alike):
+    def run(table):
+        asks = table.column("asks").to_numpy(zero_copy_only=False)
+        ids, roots = table.column("id").to_numpy(), table.column("root").to_numpy()
+        sketch = sketch_rows(table.column("sketch"))
+        right = np.flatnonzero(~asks)
+        left_ids, right_ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for k in np.flatnonzero(asks):
+            others = right[roots[right] != roots[k]]
+            others = others[alike(sketch[k : k + 1], sketch[others])] if len(others) else others
+            left_ids.append(np.minimum(ids[k], ids[others]))
+            right_ids.append(np.maximum(ids[k], ids[others]))
+        return pa.table({"a": np.concatenate(left_ids), "b": np.concatenate(right_ids)})
+
+    return run

@@ -16,15 +16,14 @@ Repeated rows are in one group, and all copies of its smallest id are kept.
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.components import linked_components
+from larder.llm.components import linked_components, sketch_rows
 from larder.llm.text import (
     lower_ascii,
     mixed,
@@ -43,7 +42,7 @@ MANTISSA = 10
 BAND = 4
 BANDS = REGISTERS // BAND
 # Pairs are dropped unconfirmed only this many standard deviations below the threshold.
-SIGMAS = 6.0
+SIGMAS = 5.0
 
 
 def word_sets(raw: np.ndarray, at: np.ndarray, words: int = WORDS) -> Iterator[np.ndarray]:
@@ -85,7 +84,7 @@ def band_keys(registers: np.ndarray) -> np.ndarray:
 
 def chance_matches(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Expected number of registers in which two unrelated sets of these sizes agree."""
-    total = np.zeros(len(n))
+    total = np.zeros(np.broadcast(n, m).shape)
     for zeros in range(0, 63):
         low, high = (0.0, 2.0**-62) if zeros == 62 else (2.0 ** -(zeros + 1), 2.0**-zeros)
         # Within one exponent the 2**MANTISSA cells are nearly alike: the middle stands for all.
@@ -109,21 +108,19 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> tupl
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, digest of the set, registers, band keys and two longs of low bits."""
+    """doc_id, n_shingles, digest of the set, sketch (registers and size) and band keys."""
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
                 raw, at = string_parts(part.column("text"))
-                sizes, digests, kept, keys, bits = [], [], [], [], []
+                sizes, digests, kept, keys = [], [], [], []
                 for hashes in word_sets(raw, at):
                     registers = registers_of(hashes)
                     sizes.append(len(hashes))
                     digests.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
-                    kept.append(registers.tobytes())
+                    kept.append(registers.tobytes() + len(hashes).to_bytes(8, "little"))
                     keys.append(band_keys(registers))
-                    bits.append(np.packbits((registers & 1).astype(bool)).tobytes())
-                low = np.frombuffer(b"".join(bits), np.int64).reshape(-1, 2)
                 counts = np.cumsum([0] + [len(k) for k in keys])
                 flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
@@ -133,98 +130,94 @@ def sketches(docs: DataFrame) -> DataFrame:
                         pa.array(digests, pa.binary()),
                         pa.array(kept, pa.binary()),
                         pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.array(flat)),
-                        pa.array(low[:, 0]),
-                        pa.array(low[:, 1]),
                     ],
-                    ["doc_id", "n_shingles", "id", "registers", "bands", "low0", "low1"],
+                    ["doc_id", "n_shingles", "digest", "sketch", "keys"],
                 )
 
-    columns = "doc_id long, n_shingles long, id binary, registers binary, bands array<long>, low0 long, low1 long"
+    columns = "doc_id long, n_shingles long, digest binary, sketch binary, keys array<long>"
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, columns)
 
 
-def low_bits_alike(threshold: float):
-    """A cheap test inside the join: low bits of registers agree by J + (1 - J) / 2."""
-    agree = (1 + threshold) / 2
-    least = math.floor(REGISTERS * (agree - SIGMAS * math.sqrt(agree * (1 - agree) / REGISTERS)))
+def likely(threshold: float):
+    """A test of sketches that rejects what the corrected estimate puts far below the threshold."""
 
-    def alike(left: str, right: str) -> Column:
-        apart = F.bit_count(F.col(f"{left}low0").bitwiseXOR(F.col(f"{right}low0"))) + F.bit_count(
-            F.col(f"{left}low1").bitwiseXOR(F.col(f"{right}low1"))
-        )
-        return apart <= REGISTERS - least
+    def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        width = 2 * REGISTERS
+        left, right = (np.ascontiguousarray(x[:, :width]).view(np.uint16) for x in (a, b))
+        n, m = (np.ascontiguousarray(x[:, width:]).view(np.int64)[:, 0].astype(float) for x in (a, b))
+        possible = np.minimum(n, m) >= threshold * np.maximum(n, m) - 1e-9
+        near, used = estimate(left, right, n, m)
+        return possible & (near >= threshold - margin(threshold, used))
 
     return alike
 
 
+def margin(threshold: float, used):
+    used = np.maximum(used, 1)
+    return SIGMAS * np.sqrt(threshold * (1 - threshold) / used) + 2 / used
+
+
+def met_elsewhere(sets: DataFrame, threshold: float):
+    """Leave out sets too few of whose registers occur in any other of the given sets.
+
+    A set shares with its partner, and so with any other set, at least the threshold
+    of its elements; its registers are a sample of them.
+    """
+
+    def registers(batches):
+        for batch in batches:
+            rows = sketch_rows(batch.column("sketch"))[:, : 2 * REGISTERS].copy().view(np.uint16).astype(np.int64)
+            row, slot = np.nonzero(rows)
+            place = pa.array(rows[row, slot] | slot << 16)
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(row)), place], ["id", "place"])
+
+    def narrow(ids: DataFrame) -> DataFrame:
+        places = sets.join(ids, "id", "left_semi").select("id", "sketch").mapInArrow(registers, "id long, place long")
+        shared = places.groupBy("place").agg(F.count("*").alias("n")).filter("n > 1").select("place")
+        met = places.join(shared, "place").groupBy("id").agg(F.count("*").alias("met"))
+        used = places.groupBy("id").agg(F.count("*").alias("used"))
+        allowed = F.lit(SIGMAS) * F.sqrt(F.lit(threshold * (1 - threshold)) / F.col("used")) + 2 / F.col("used")
+        return met.join(used, "id").filter(F.col("met") >= (F.lit(threshold) - allowed) * F.col("used")).select("id")
+
+    return narrow
+
+
 def near_groups(docs: DataFrame, scratch: Scratch, percent: int = 80) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, digest of its set.
+    """One row per document: doc_id, n_shingles, component_id.
 
     Documents are linked when 100 * |A ∩ B| >= percent * |A ∪ B|. Equal sets are
     folded before anything is compared. A pair at the threshold shares none of the
-    32 bands with probability 1e-9 at 85 percent and 5e-8 at 80; it is dropped by
-    the estimates below the threshold with probability 1e-9.
+    32 bands with probability 1e-10 at 85 percent and 5e-8 at 80; the estimates
+    drop it with probability 3e-7.
     """
     threshold = percent / 100
     sketched = scratch.stage(sketches(docs), "sketches")
-    whole = sketched.filter("n_shingles > 0")
-    sets = whole.groupBy("id").agg(
-        F.min("doc_id").alias("least"),
-        *[F.first(c).alias(c) for c in ("n_shingles", "registers", "bands", "low0", "low1")],
+    sets = sketched.filter("n_shingles > 0").groupBy("digest").agg(
+        F.min("doc_id").alias("least"), F.first("sketch").alias("sketch"), F.first("keys").alias("keys")
     )
-    sets = scratch.stage(sets, "sets")
-
-    def likely(pairs: DataFrame) -> DataFrame:
-        def run(batches):
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                a, b = (
-                    np.frombuffer(string_parts(batch.column(c))[0], np.uint16).reshape(-1, REGISTERS)
-                    for c in ("a_registers", "b_registers")
-                )
-                n, m = (batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("a_n", "b_n"))
-                near, used = estimate(a, b, n, m)
-                # Correction scales the spread of the raw share of agreeing registers.
-                margin = SIGMAS * np.sqrt(threshold * (1 - threshold) / np.maximum(used, 1)) + 2 / np.maximum(used, 1)
-                keep = pa.array(near >= threshold - margin)
-                yield batch.select(["a", "b", "a_n", "b_n"]).filter(keep)
-
-        for side in "ab":
-            pairs = pairs.join(
-                sets.select(
-                    F.col("id").alias(side),
-                    F.col("n_shingles").alias(f"{side}_n"),
-                    F.col("registers").alias(f"{side}_registers"),
-                ),
-                side,
-            )
-        smaller, larger = F.least("a_n", "b_n"), F.greatest("a_n", "b_n")
-        pairs = pairs.filter(100 * smaller >= percent * larger)
-        return pairs.mapInArrow(run, "a binary, b binary, a_n long, b_n long")
+    sets = scratch.stage(sets.withColumn("id", F.monotonically_increasing_id()), "sets")
 
     def verify(pairs: DataFrame, name: str) -> DataFrame:
-        pairs = scratch.stage(likely(pairs), f"{name}-likely")
         nodes = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        wanted = sets.join(nodes, "id", "left_semi").select("id", F.col("least").alias("doc_id"))
+        wanted = sets.join(nodes, "id", "left_semi").select("id", "digest", F.col("least").alias("doc_id"))
         texts = scratch.stage(texts_of(docs, wanted), f"{name}-texts")
         for side in "ab":
             pairs = pairs.join(texts.select(F.col("id").alias(side), F.col("text").alias(f"{side}_text")), side)
         return scratch.stage(confirmed(pairs, percent), f"{name}-edges")
 
-    groups = linked_components(sets, "bands", ["low0", "low1"], low_bits_alike(threshold), verify, scratch, "near")
-    rooted = sets.join(groups.withColumnRenamed("node", "id"), "id", "left").select(
-        "id", "least", F.coalesce("root", "id").alias("root")
+    groups = linked_components(
+        sets.select("id", "keys", "sketch"), likely(threshold), verify, scratch, "near", met_elsewhere(sets, threshold)
+    )
+    rooted = sets.select("id", "digest", "least").join(groups.withColumnRenamed("node", "id"), "id", "left").select(
+        "digest", "least", F.coalesce("root", "id").alias("root")
     )
     rooted = scratch.stage(rooted, "rooted")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("id", "component_id")
+    named = rooted.join(least, "root").select("digest", "component_id")
     # Documents without a set have no row in ``named``.
-    return sketched.select("doc_id", "n_shingles", "id").join(named, "id", "left").select(
-        "doc_id",
-        "n_shingles",
-        F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        "id",
+    alone = F.when(F.col("n_shingles") == 0, F.col("doc_id"))
+    return sketched.select("doc_id", "n_shingles", "digest").join(named, "digest", "left").select(
+        "doc_id", "n_shingles", alone.otherwise(F.col("component_id")).alias("component_id")
     )
 
 
@@ -235,16 +228,16 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text"):
                 raw, at = string_parts(part.column("text"))
-                ids = part.column("id").to_pylist()
+                wanted = part.column("digest").to_pylist()
                 keep = [
-                    hashlib.blake2b(hashes.tobytes(), digest_size=16).digest() == ids[i]
+                    hashlib.blake2b(hashes.tobytes(), digest_size=16).digest() == wanted[i]
                     for i, hashes in enumerate(word_sets(raw, at))
                 ]
                 yield part.select(["id", "text"]).filter(pa.array(keep, pa.bool_()))
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    met = rows.join(wanted, rows.doc_id.eqNullSafe(wanted.doc_id)).select("id", "text")
-    return met.mapInArrow(run, "id binary, text string").groupBy("id").agg(F.first("text").alias("text"))
+    met = rows.join(wanted, rows.doc_id.eqNullSafe(wanted.doc_id)).select("id", "digest", "text")
+    return met.mapInArrow(run, "id long, text string").dropDuplicates(["id"])
 
 
 def confirmed(pairs: DataFrame, percent: int) -> DataFrame:
@@ -260,7 +253,7 @@ def confirmed(pairs: DataFrame, percent: int) -> DataFrame:
                     keep.append(100 * shared >= percent * (len(left) + len(right) - shared))
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.select("a", "b", "a_text", "b_text").mapInArrow(run, "a binary, b binary")
+    return pairs.select("a", "b", "a_text", "b_text").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch, percent: int = 80) -> DataFrame:

@@ -12,10 +12,12 @@ from larder.llm import (
     exact_dedup,
     hyperminhash,
     line_dedup,
+    multi_index,
     packing,
     sentencepiece_scan,
     sharding,
     toxicity,
+    warc,
 )
 from larder.sources.storage import Scratch
 
@@ -36,6 +38,14 @@ def op1_maxplus_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_scan.round_trips(table(spark, folder, "documents"), model, Scratch(spark))
 
 
+def op2_inverted_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    return multi_index.neighbours(table(spark, folder, "embeddings"), 50, Scratch(spark))
+
+
+def op3_dictionary_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages"), Scratch(spark))
+
+
 def op4_fuzzy_lexicon_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -78,6 +88,8 @@ def op10_fuzzy_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_maxplus_sentencepiece": op1_maxplus_sentencepiece,
+    "op2_inverted_multi_index": op2_inverted_multi_index,
+    "op3_dictionary_warc": op3_dictionary_warc,
     "op4_fuzzy_lexicon_toxicity": op4_fuzzy_lexicon_toxicity,
     "op5_hyperminhash_near_dedup": op5_hyperminhash_near_dedup,
     "op6_perfect_hash_exact_dedup": op6_perfect_hash_exact_dedup,
@@ -88,8 +100,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
-    "op1_maxplus_sentencepiece": op1_maxplus_sentencepiece,
-    "op4_fuzzy_lexicon_toxicity": op4_fuzzy_lexicon_toxicity,
+    "op3_dictionary_warc": """
+        SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest,
+            CASE WHEN strlen(html) >= 1000 AND page_id <> winner THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN strlen(html) >= 1000 AND page_id <> winner THEN winner END AS refers_to
+        FROM (
+            SELECT page_id, coalesce(html, '') AS html, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS winner
+            FROM pages
+        )
+    """,
     "op5_hyperminhash_near_dedup": r"""
         WITH RECURSIVE words AS (
             SELECT doc_id, regexp_extract_all(
