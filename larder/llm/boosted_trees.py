@@ -205,7 +205,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, usable: Column, rows: int =
 
     sample = labelled(docs, labels, "quality", usable, rows).mapInArrow(run, "label int, x array<double>").toArrow()
     y = sample.column("label").to_numpy().astype(float)
-    x = np.array(sample.column("x").to_pylist(), float).reshape(len(y), -1)
+    x = np.array(sample.column("x").to_pylist(), float).reshape(len(y), -1) if len(y) else np.zeros((0, 1))
     # Arrival order differs from run to run; sums of floats should not.
     order = np.lexsort([y, *x.T])
     return fit(x[order], y[order])

@@ -94,10 +94,10 @@ def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     total = int(length.sum())
     place = np.arange(total) - np.repeat(np.cumsum(length) - length, length)
     source = place + np.repeat(starts, length)
-    # Places beyond the table take a further factor, so that long spans stay apart.
     terms = mixed(byte_value[raw[source]] + place_value[place % WORD_POSITIONS])
-    if total and int(length.max()) > WORD_POSITIONS:
-        terms = mixed(terms + (place // WORD_POSITIONS).astype(np.uint64))
+    # Places beyond the table are told apart by how often it was passed.
+    far = np.flatnonzero(place >= WORD_POSITIONS)
+    terms[far] = mixed(terms[far] + (place[far] // WORD_POSITIONS).astype(np.uint64))
     sums = np.add.reduceat(terms, np.cumsum(length) - length)
     return mixed(sums + length.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 

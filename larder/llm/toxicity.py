@@ -263,7 +263,7 @@ def fit_detector(docs: DataFrame, labels: DataFrame, usable: Column, rows: int =
 
     seen = sample.mapInArrow(run, "label int, x array<double>").toArrow()
     y = seen.column("label").to_numpy().astype(float)
-    x = np.array(seen.column("x").to_pylist(), float).reshape(len(y), -1)
+    x = np.array(seen.column("x").to_pylist(), float).reshape(len(y), 5)
     order = np.lexsort([y, *x.T]) if len(y) else np.zeros(0, int)
     return Detector(terms, ordinary, fit_logistic(x[order], y[order]) if len(y) else np.zeros(5))
 
