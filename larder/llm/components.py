@@ -14,6 +14,8 @@ from larder.sources.storage import Scratch
 
 # Rows of a key that are compared in one task: two blocks of this size.
 BLOCK_ROWS = 2_000
+# Partners that a row tries in the first round, per key and block.
+BEST = 3
 
 
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -45,27 +47,31 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
 
 def linked_components(
     members: DataFrame,
-    alike: Callable[[np.ndarray, np.ndarray], np.ndarray],
+    score: Callable[[np.ndarray, np.ndarray], np.ndarray],
     verify: Callable[[DataFrame, str], DataFrame],
     scratch: Scratch,
     name: str,
-    narrow: Callable[[DataFrame], DataFrame] | None = None,
+    narrow: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None,
+    settle: Callable[[np.ndarray, list[np.ndarray]], np.ndarray] | None = None,
 ) -> DataFrame:
     """Components of the rows that share a key and are truly alike: (node, root), for joined rows only.
 
     ``members`` has one row per ``id`` (long), an array of longs ``keys`` and a
-    binary ``sketch`` of fixed width. ``alike(a, b)`` compares sketches, as rows of
-    bytes, and may only reject pairs that are not alike. ``verify(pairs, name)``
-    keeps the pairs (a, b) that hold on full data. ``narrow(ids)`` may leave out
-    rows that cannot be alike to any other of ``ids``.
+    binary ``sketch`` of fixed width. ``score(a, b)`` compares sketches, as rows of
+    bytes; it is minus infinity only for pairs that are not alike. ``verify(pairs,
+    name)`` keeps the pairs (a, b) that hold on full data. ``narrow(ids)`` may give
+    other, more selective keys for the rows left over, (key, id) such that alike rows of
+    ``ids`` still share a key, and for each of them (id, sketch, detail); ``settle(detail,
+    details)`` then rejects, inside a block, further pairs that are not alike.
 
     First every row is compared with the smallest row under each of its keys, so a
     group of n rows costs n pairs. Rows that this already joins need no other
     proof. What is left are keys whose rows lie in several components: there, rows
-    outside the smallest row's component are compared with every row of another
-    component, in blocks of bounded size. So each pair under a shared key is
-    compared, or its rows are known to be joined; no link between components is
-    lost, and only pairs that may be alike leave their block.
+    outside the smallest row's component are compared with the rows of all other
+    components, in blocks of bounded size. One round tries each row's best partners
+    only, which joins nearly all that belong together; the last takes every pair
+    still open. So each pair under a shared key is compared, or its rows are known
+    to be joined, and no link between components is lost.
     """
     spread = members.select(F.explode(F.array_distinct("keys")).alias("key"), "id")
     first = spread.groupBy("key").agg(F.min("id").alias("f_id"), F.count("*").alias("n")).filter("n > 1")
@@ -74,38 +80,52 @@ def linked_components(
     star = under.filter("id <> f_id").select(F.col("f_id").alias("a"), F.col("id").alias("b")).distinct()
     for side in "ab":
         star = star.join(sketches.select(F.col("id").alias(side), F.col("sketch").alias(f"{side}_sketch")), side)
-    star = star.select("a", "b", "a_sketch", "b_sketch").mapInArrow(_rows_alike(alike), "a long, b long")
+    star = star.select("a", "b", "a_sketch", "b_sketch").mapInArrow(_rows_alike(score), "a long, b long")
     edges = verify(scratch.stage(star, f"{name}-star-pairs"), f"{name}-star")
-    reached = scratch.stage(components(edges, scratch, f"{name}-c1"), f"{name}-roots")
-    firsts = reached.select(F.col("node").alias("f_id"), F.col("root").alias("f_root"))
+    reached = scratch.stage(components(edges, scratch, f"{name}-c0"), f"{name}-roots0")
     # The smallest row of a key was compared with all others above.
-    marked = (
-        under.filter("id <> f_id")
-        .join(reached.withColumnRenamed("node", "id"), "id", "left")
-        .join(firsts, "f_id", "left")
-        .select("key", "id", F.coalesce("root", "id").alias("root"), F.coalesce("f_root", "f_id").alias("f_root"))
-    )
-    marked = scratch.stage(marked, f"{name}-marked")
-    mixed_keys = marked.filter("root <> f_root").select("key").distinct()
-    mixed = marked.join(mixed_keys, "key", "left_semi")
+    open_rows = scratch.stage(_several_components(under.filter("id <> f_id").select("key", "id"), reached), f"{name}-open")
     if narrow:
-        mixed = scratch.stage(mixed, f"{name}-mixed")
-        mixed = mixed.join(narrow(mixed.select("id").distinct()), "id", "left_semi")
-    mixed = scratch.stage(mixed, f"{name}-narrowed")
-    counts = mixed.groupBy("key").agg(F.count("*").alias("n"), F.max(F.col("root") != F.col("f_root")).alias("split"))
-    blocks = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
-    sized = mixed.join(counts.filter("n > 1 AND split").select("key", blocks.alias("blocks")), "key").join(sketches, "id")
+        open_rows, sketches = narrow(open_rows.select("id").distinct())
+        open_rows = scratch.stage(open_rows, f"{name}-narrow")
+    else:
+        sketches = sketches.withColumn("detail", F.lit(None).cast("binary"))
+    for step, best in enumerate((BEST, None), 1):
+        marked = open_rows.select("key", "id")
+        marked = scratch.stage(_several_components(marked, reached), f"{name}-open{step}")
+        found = verify(scratch.stage(_pairs(marked, sketches, score, settle, best), f"{name}-pairs{step}"), f"{name}-round{step}")
+        if found.isEmpty():
+            continue
+        joined = reached.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found)
+        reached = scratch.stage(components(joined, scratch, f"{name}-c{step}"), f"{name}-roots{step}")
+    return reached
+
+
+def _several_components(rows: DataFrame, reached: DataFrame) -> DataFrame:
+    """The rows (key, id) of keys that lie in several components: key, id, root, f_root of the key's smallest root, n."""
+    marked = rows.join(reached.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
+    keys = marked.groupBy("key").agg(F.min("root").alias("f_root"), F.max("root").alias("l_root"), F.count("*").alias("n"))
+    return marked.join(keys.filter("f_root <> l_root").select("key", "f_root", "n"), "key")
+
+
+def _pairs(marked: DataFrame, sketches: DataFrame, score, settle, best: int | None) -> DataFrame:
+    """Pairs (a, b) of different components under a key that may be alike, or each row's ``best`` in a block."""
+    sized = marked.withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int")).join(sketches, "id")
     own = F.pmod(F.xxhash64("id"), "blocks").cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    columns = ["key", "id", "root", "sketch"]
-    asking = sized.filter("root <> f_root").select(*columns, own.alias("i"), every.alias("j"), F.lit(True).alias("asks"))
-    asked = sized.select(*columns, every.alias("i"), own.alias("j"), F.lit(False).alias("asks"))
-    pairs = asking.union(asked).groupBy("key", "i", "j").applyInArrow(_block_pairs(alike), "a long, b long").distinct()
-    found = verify(scratch.stage(pairs, f"{name}-rest-pairs"), f"{name}-rest")
-    if found.isEmpty():
-        return reached
-    joined = reached.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    return components(joined.union(found), scratch, f"{name}-c2")
+    columns = ["key", "id", "root", "sketch", "detail"]
+    asks, split = F.col("root") != F.col("f_root"), F.col("blocks") > 1
+    none = F.lit(0).alias("i"), F.lit(0).alias("j")
+    # Under a key of one block a row asks and is asked; else it goes to every block of the other side.
+    whole = sized.filter(~split).select(*columns, *none, asks.alias("asks"), F.lit(True).alias("asked"))
+    asking = sized.filter(split & asks).select(
+        *columns, own.alias("i"), every.alias("j"), F.lit(True).alias("asks"), F.lit(False).alias("asked")
+    )
+    asked = sized.filter(split).select(
+        *columns, every.alias("i"), own.alias("j"), F.lit(False).alias("asks"), F.lit(True).alias("asked")
+    )
+    groups = whole.union(asking).union(asked).groupBy("key", "i", "j")
+    return groups.applyInArrow(_block_pairs(score, settle, best), "a long, b long").distinct()
 
 
 def sketch_rows(column) -> np.ndarray:
@@ -113,26 +133,34 @@ def sketch_rows(column) -> np.ndarray:
     return raw.reshape(len(at) - 1, -1)
 
 
-def _rows_alike(alike):
+def _rows_alike(score):
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                keep = alike(sketch_rows(batch.column("a_sketch")), sketch_rows(batch.column("b_sketch")))
-                yield batch.select(["a", "b"]).filter(pa.array(keep))
+                near = score(sketch_rows(batch.column("a_sketch")), sketch_rows(batch.column("b_sketch")))
+                yield batch.select(["a", "b"]).filter(pa.array(near > -np.inf))
 
     return run
 
 
-def _block_pairs(alike):
+def _block_pairs(score, settle, best):
     def run(table):
-        asks = table.column("asks").to_numpy(zero_copy_only=False)
+        asks, asked = (table.column(c).to_numpy(zero_copy_only=False) for c in ("asks", "asked"))
         ids, roots = table.column("id").to_numpy(), table.column("root").to_numpy()
         sketch = sketch_rows(table.column("sketch"))
-        right = np.flatnonzero(~asks)
+        raw, at = string_parts(table.column("detail"))
+        right = np.flatnonzero(asked)
         left_ids, right_ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for k in np.flatnonzero(asks):
             others = right[roots[right] != roots[k]]
-            others = others[alike(sketch[k : k + 1], sketch[others])] if len(others) else others
+            if not len(others):
+                continue
+            near = score(sketch[k : k + 1], sketch[others])
+            order = np.flatnonzero(near > -np.inf)
+            order = order[np.argsort(-near[order], kind="stable")]
+            if settle and len(order):
+                order = order[settle(raw[at[k] : at[k + 1]], [raw[at[o] : at[o + 1]] for o in others[order]])]
+            others = others[order[:best]]
             left_ids.append(np.minimum(ids[k], ids[others]))
             right_ids.append(np.maximum(ids[k], ids[others]))
         return pa.table({"a": np.concatenate(left_ids), "b": np.concatenate(right_ids)})

@@ -1,11 +1,11 @@
 """Near-duplicate documents by HyperMinHash.
 
 A document is the set of its distinct runs of five words. Each set is reduced to
-128 registers: a hash picks the register, and the smallest hash of a register is
-kept as its count of leading zeros (6 bits) and the 10 bits that follow the first
-one. Bands of four registers propose pairs; registers give an estimate of the
-similarity, corrected for registers that agree by chance; the remaining pairs are
-confirmed on their full sets.
+registers: a hash picks the register, and the smallest hash of a register is kept
+as its count of leading zeros (6 bits) and the 10 bits that follow the first one.
+Bands of four of 128 registers propose pairs; 256 finer registers give an estimate
+of the similarity, corrected for registers that agree by chance; the remaining
+pairs are confirmed on their full sets.
 
 Defined results: NULL, empty or blank texts have no set and are linked with
 nothing; texts of fewer than five words have their whole word sequence as only
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.components import linked_components, sketch_rows
+from larder.llm.components import linked_components
 from larder.llm.text import (
     lower_ascii,
     mixed,
@@ -36,13 +36,16 @@ from larder.llm.text import (
 from larder.sources.storage import Scratch
 
 WORDS = 5
-REGISTER_BITS = 7
+REGISTER_BITS = 8
 REGISTERS = 1 << REGISTER_BITS
 MANTISSA = 10
 BAND = 4
-BANDS = REGISTERS // BAND
+BANDS = 32
+BAND_BITS = 7
 # Pairs are dropped unconfirmed only this many standard deviations below the threshold.
 SIGMAS = 5.0
+# Hash cells by which elements are ordered.
+CELLS = 1 << 20
 
 
 def word_sets(raw: np.ndarray, at: np.ndarray, words: int = WORDS) -> Iterator[np.ndarray]:
@@ -54,14 +57,14 @@ def word_sets(raw: np.ndarray, at: np.ndarray, words: int = WORDS) -> Iterator[n
         yield shingle_hashes(hashes[before[i] : before[i + 1]], words)
 
 
-def registers_of(hashes: np.ndarray) -> np.ndarray:
+def registers_of(hashes: np.ndarray, bits: int = REGISTER_BITS) -> np.ndarray:
     """Registers of sorted hashes; 0 where none fell, else zeros and mantissa."""
-    out = np.zeros(REGISTERS, np.uint16)
+    out = np.zeros(1 << bits, np.uint16)
     if not len(hashes):
         return out
-    slot = (hashes >> np.uint64(64 - REGISTER_BITS)).astype(np.int64)
+    slot = (hashes >> np.uint64(64 - bits)).astype(np.int64)
     first = np.flatnonzero(np.diff(slot, prepend=-1))
-    rest = hashes[first] << np.uint64(REGISTER_BITS)
+    rest = hashes[first] << np.uint64(bits)
     # Exact: a float64 exponent of a value with its low bits cleared cannot round up.
     exponent = np.frexp((rest & ~np.uint64(0xFFF)).astype(np.float64))[1]
     zeros = np.minimum(np.where(exponent > 0, 64 - exponent, 64), 62).astype(np.uint64)
@@ -98,13 +101,10 @@ def chance_matches(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return total * REGISTERS
 
 
-def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Jaccard similarity of register rows, and how many registers it rests on."""
-    used = ((a != 0) | (b != 0)).sum(1)
-    same = ((a == b) & (a != 0)).sum(1)
+def corrected(same: np.ndarray, used: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Jaccard similarity from agreeing registers, without those expected to agree by chance."""
     chance = np.minimum(chance_matches(n, m), used)
-    corrected = (same - chance) / np.maximum(used - chance, 1e-9)
-    return np.clip(corrected, 0.0, 1.0), used
+    return np.clip((same - chance) / np.maximum(used - chance, 1e-9), 0.0, 1.0)
 
 
 def sketches(docs: DataFrame) -> DataFrame:
@@ -120,7 +120,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                     sizes.append(len(hashes))
                     digests.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
                     kept.append(registers.tobytes() + len(hashes).to_bytes(8, "little"))
-                    keys.append(band_keys(registers))
+                    keys.append(band_keys(registers_of(hashes, BAND_BITS)))
                 counts = np.cumsum([0] + [len(k) for k in keys])
                 flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
@@ -139,17 +139,25 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def likely(threshold: float):
-    """A test of sketches that rejects what the corrected estimate puts far below the threshold."""
+    """Estimated similarity of sketches; minus infinity where it is far below the threshold."""
 
-    def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    def score(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         width = 2 * REGISTERS
         left, right = (np.ascontiguousarray(x[:, :width]).view(np.uint16) for x in (a, b))
         n, m = (np.ascontiguousarray(x[:, width:]).view(np.int64)[:, 0].astype(float) for x in (a, b))
-        possible = np.minimum(n, m) >= threshold * np.maximum(n, m) - 1e-9
-        near, used = estimate(left, right, n, m)
-        return possible & (near >= threshold - margin(threshold, used))
+        n, m = np.broadcast_arrays(n, m)
+        out = np.full(len(n), -np.inf)
+        used = ((left != 0) | (right != 0)).sum(1)
+        same = ((left == right) & (left != 0)).sum(1)
+        # The correction only lowers an estimate, so the raw share decides first.
+        some = same >= (threshold - margin(threshold, used)) * used
+        some = np.flatnonzero(some & (np.minimum(n, m) >= threshold * np.maximum(n, m) - 1e-9))
+        if len(some):
+            near = corrected(same[some], used[some], n[some], m[some])
+            out[some] = np.where(near >= threshold - margin(threshold, used[some]), near, -np.inf)
+        return out
 
-    return alike
+    return score
 
 
 def margin(threshold: float, used):
@@ -157,31 +165,76 @@ def margin(threshold: float, used):
     return SIGMAS * np.sqrt(threshold * (1 - threshold) / used) + 2 / used
 
 
-def met_elsewhere(sets: DataFrame, threshold: float):
-    """Leave out sets too few of whose registers occur in any other of the given sets.
+def rarest_elements(docs: DataFrame, sets: DataFrame, percent: int, scratch: Scratch):
+    """For the given sets, (key, id) rows of those elements one of which any linked sets must share,
+    and (id, sketch, detail) with all elements, each as 32 bits of its hash.
 
-    A set shares with its partner, and so with any other set, at least the threshold
-    of its elements; its registers are a sample of them.
+    In whatever order elements are put, of n elements the first n - ceil(t n) + 1
+    must meet those of a set that is similar to degree t. The order here is by how
+    often an element's hash cell was seen in the given sets, rare ones first, so
+    that what a family of copies has in common comes last. Only the counts of
+    ``CELLS`` cells, a fixed number, come to the driver.
     """
 
-    def registers(batches):
+    def found_in(part):
+        return list(word_sets(*string_parts(part.column("text"))))
+
+    def cells(batches):
+        counts = np.zeros(CELLS, np.int64)
         for batch in batches:
-            rows = sketch_rows(batch.column("sketch"))[:, : 2 * REGISTERS].copy().view(np.uint16).astype(np.int64)
-            row, slot = np.nonzero(rows)
-            place = pa.array(rows[row, slot] | slot << 16)
-            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(row)), place], ["id", "place"])
+            for part in slices(batch, "text"):
+                for hashes in found_in(part):
+                    np.add.at(counts, (hashes % np.uint64(CELLS)).astype(np.int64), 1)
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], ["cell", "n"])
 
     def narrow(ids: DataFrame) -> DataFrame:
-        places = sets.join(ids, "id", "left_semi").select("id", "sketch").mapInArrow(registers, "id long, place long")
-        shared = places.groupBy("place").agg(F.count("*").alias("n")).filter("n > 1").select("place")
-        met = places.join(shared, "place").groupBy("id").agg(F.count("*").alias("met"))
-        used = places.groupBy("id").agg(F.count("*").alias("used"))
-        allowed = F.lit(SIGMAS) * F.sqrt(F.lit(threshold * (1 - threshold)) / F.col("used")) + 2 / F.col("used")
-        return met.join(used, "id").filter(F.col("met") >= (F.lit(threshold) - allowed) * F.col("used")).select("id")
+        wanted = sets.join(ids, "id", "left_semi").select("id", "digest", F.col("least").alias("doc_id"))
+        texts = scratch.stage(texts_of(docs, wanted), "open-texts")
+        seen = texts.mapInArrow(cells, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+        often = np.zeros(CELLS, np.int32)
+        often[seen.column("cell").to_numpy()] = np.minimum(seen.column("n").to_numpy(), 2**31 - 1)
+
+        def first_elements(batches):
+            for batch in batches:
+                for part in slices(batch, "text"):
+                    chosen = []
+                    for hashes in found_in(part):
+                        order = np.lexsort([hashes, often[(hashes % np.uint64(CELLS)).astype(np.int64)]])
+                        chosen.append(hashes[order[: len(hashes) * (100 - percent) // 100 + 1]])
+                    row = np.repeat(np.arange(len(chosen)), [len(c) for c in chosen])
+                    keys = np.concatenate(chosen).view(np.int64) if chosen else np.zeros(0, np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys), part.column("id").take(pa.array(row))], ["key", "id"])
+
+        def details(batches):
+            for batch in batches:
+                for part in slices(batch, "text"):
+                    short = [np.unique((h >> np.uint64(20)).astype(np.uint32)).tobytes() for h in found_in(part)]
+                    yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(short, pa.binary())], ["id", "detail"])
+
+        keys = texts.mapInArrow(first_elements, "key long, id long")
+        return keys, scratch.stage(
+            texts.mapInArrow(details, "id long, detail binary").join(sets.select("id", "sketch"), "id"), "open-sets"
+        )
 
     return narrow
 
 
+def enough_shared(percent: int):
+    """Which sets share enough 32-bit elements. Elements that fall together only add to what is shared."""
+
+    def settle(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+        mine = own.view(np.uint32)
+        sizes = np.array([len(o) for o in others]) // 4
+        pool = np.concatenate(others).view(np.uint32)
+        place = np.minimum(np.searchsorted(mine, pool), len(mine) - 1)
+        shared = np.add.reduceat(mine[place] == pool, np.cumsum(sizes) - sizes, dtype=np.int64)
+        # Two elements that fall together make a set one smaller: a slack of one each.
+        return 100 * (shared + 1) >= percent * (len(mine) + sizes - shared - 1)
+
+    return settle
+
+
 def near_groups(docs: DataFrame, scratch: Scratch, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
@@ -193,7 +246,7 @@ def near_groups(docs: DataFrame, scratch: Scratch, percent: int = 80) -> DataFra
     threshold = percent / 100
     sketched = scratch.stage(sketches(docs), "sketches")
     sets = sketched.filter("n_shingles > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("least"), F.first("sketch").alias("sketch"), F.first("keys").alias("keys")
+        F.min("doc_id").alias("least"), *[F.first(c).alias(c) for c in ("sketch", "keys")]
     )
     sets = scratch.stage(sets.withColumn("id", F.monotonically_increasing_id()), "sets")
 
@@ -205,9 +258,8 @@ def near_groups(docs: DataFrame, scratch: Scratch, percent: int = 80) -> DataFra
             pairs = pairs.join(texts.select(F.col("id").alias(side), F.col("text").alias(f"{side}_text")), side)
         return scratch.stage(confirmed(pairs, percent), f"{name}-edges")
 
-    groups = linked_components(
-        sets.select("id", "keys", "sketch"), likely(threshold), verify, scratch, "near", met_elsewhere(sets, threshold)
-    )
+    narrow = rarest_elements(docs, sets, percent, scratch)
+    groups = linked_components(sets.select("id", "keys", "sketch"), likely(threshold), verify, scratch, "near", narrow, enough_shared(percent))
     rooted = sets.select("id", "digest", "least").join(groups.withColumnRenamed("node", "id"), "id", "left").select(
         "digest", "least", F.coalesce("root", "id").alias("root")
     )

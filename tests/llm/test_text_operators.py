@@ -290,8 +290,9 @@ def test_estimates_are_near_the_truth():
             own = pool[k * 1100 : (k + 1) * 1100]
             a = np.sort(np.concatenate([own[:shared], own[shared : (1000 + shared) // 2]]))
             b = np.sort(np.concatenate([own[:shared], own[(1000 + shared) // 2 : 1000]]))
-            registers = [hyperminhash.registers_of(x)[None, :] for x in (a, b)]
-            near.append(hyperminhash.estimate(*registers, np.array([len(a)]), np.array([len(b)]))[0][0])
+            r, q = (hyperminhash.registers_of(x) for x in (a, b))
+            same, used = np.array([((r == q) & (r != 0)).sum()]), np.array([((r != 0) | (q != 0)).sum()])
+            near.append(hyperminhash.corrected(same, used, np.array([len(a)]), np.array([len(b)]))[0])
         assert abs(np.mean(near) - shared / 1000) < 0.03
 
 
