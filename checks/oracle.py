@@ -144,7 +144,11 @@ WITH o AS (
 """
 
 
-def over_tables(select: str, complete: bool = False) -> str:
+# Queries about products whose aisle never arrived.
+WITHOUT_AN_AISLE = ("contract_violations_products", "dq_orphan_lines")
+
+
+def over_tables(select: str, complete: bool) -> str:
     return TABLES.replace("{complete}", str(complete).upper()) + select
 
 
@@ -187,7 +191,7 @@ STREAM_ROWS = """
     SELECT order_id, user_id, CAST(coalesce(pos, 0) AS INTEGER) AS position,
            CAST(CASE WHEN pos IS NULL THEN -1 ELSE product_ids[pos] END AS INTEGER) AS product_id,
            'stream' AS source, event_time[1:10] AS event_date
-    FROM (SELECT DISTINCT * FROM stream WHERE event_time <> 'bad' {late}) s
+    FROM (SELECT DISTINCT * FROM stream WHERE event_time <> 'bad') s
     LEFT JOIN (SELECT unnest([1, 2]) AS pos) c ON pos <= len(product_ids)"""
 
 ORDER_RULES = [
@@ -205,10 +209,30 @@ LINE_RULES = [
     ("add_to_cart_order", "min_value", "1", "add_to_cart_order < 1"),
     *not_null_rules("order_id", "product_id", "add_to_cart_order", "reordered"),
 ]
+DIRTY_ORDERS = """(SELECT * REPLACE (
+    CASE WHEN order_id % 19 = 0 THEN 'odd' ELSE eval_set END AS eval_set,
+    CASE WHEN order_id % 17 = 0 THEN 0 ELSE order_number END AS order_number,
+    CASE WHEN order_id % 11 = 0 THEN 7 WHEN order_id % 29 = 0 THEN -1 ELSE order_dow END AS order_dow,
+    CASE WHEN order_id % 13 = 0 THEN 24 WHEN order_id % 31 = 0 THEN -1
+         ELSE order_hour_of_day END AS order_hour_of_day,
+    CASE WHEN order_id % 7 = 0 THEN NULL WHEN order_id % 23 = 0 THEN -1
+         ELSE days_since_prior_order END AS days_since_prior_order,
+    CASE WHEN order_id % 37 = 0 THEN NULL ELSE user_id END AS user_id) FROM silver_orders)"""
+DIRTY_LINES = """(SELECT * REPLACE (
+    CASE WHEN order_id % 5 = 0 THEN 0 ELSE add_to_cart_order END AS add_to_cart_order,
+    CASE WHEN order_id % 9 = 0 THEN NULL ELSE reordered END AS reordered) FROM silver_lines)"""
 PRODUCT_RULES = not_null_rules(
     "product_id", "product_name", "aisle_id", "aisle_name", "department_id", "department_name"
 )
 
+AUC = """
+        SELECT CAST(sum(label) AS BIGINT) AS positives,
+               CAST(sum(1 - label) AS BIGINT) AS negatives,
+               round((sum(CASE WHEN label = 1 THEN r END) - sum(label) * (sum(label) + 1) / 2)
+                     / (sum(label) * sum(1 - label)), 6) AS auc
+        FROM (SELECT label, rank() OVER (ORDER BY {score})
+                     + (count(*) OVER (PARTITION BY {score}) - 1) / 2 AS r FROM labelled)"""
+
 SELECTS = {
     "department_reorder_rate": """
         SELECT department_name, count(*) AS lines,
@@ -247,6 +271,14 @@ SELECTS = {
         SELECT 'user_id_bucket' AS field, 'present' AS rule, 'integer' AS expected,
                CAST(1 AS BIGINT) AS violations UNION ALL """
     + rule_table("bronze_orders", ORDER_RULES),
+    "contract_violations_dirty_orders": """
+        SELECT 'user_id_bucket' AS field, 'present' AS rule, 'integer' AS expected,
+               CAST(1 AS BIGINT) AS violations UNION ALL """
+    + rule_table(DIRTY_ORDERS, ORDER_RULES),
+    "contract_violations_dirty_lines": """
+        SELECT 'order_id_bucket' AS field, 'present' AS rule, 'integer' AS expected,
+               CAST(1 AS BIGINT) AS violations UNION ALL """
+    + rule_table(DIRTY_LINES, LINE_RULES),
     "contract_violations_lines": """
         SELECT 'reordered' AS field, 'type' AS rule, 'integer' AS expected,
                CAST(1 AS BIGINT) AS violations UNION ALL """
@@ -318,8 +350,8 @@ SELECTS = {
         SELECT type, status, count(*) AS n FROM catalog_parsed GROUP BY 1, 2""",
     "catalog_events_landed": """
         SELECT body, type, year, month, day FROM catalog_parsed WHERE status = 'ok'""",
-    "stream_events_silver": STREAM_ROWS.replace("{late}", ""),
-    "stream_late_events": STREAM_ROWS.replace("{late}", "AND event_time >= '2024-01-16'"),
+    "stream_events_silver": STREAM_ROWS,
+    "stream_late_events": STREAM_ROWS,
     "stream_bad_rows": """
         SELECT event_time, order_id, user_id, 'unreadable event_time' AS reason
         FROM stream WHERE event_time = 'bad'""",
@@ -341,13 +373,16 @@ SELECTS = {
         FROM (SELECT *, row_number() OVER (PARTITION BY user_id
                                            ORDER BY order_count DESC, product_id) AS rn FROM pairs)
         WHERE rn <= 10 GROUP BY 1""",
-    "auc_by_reorder_rate": """
-        SELECT CAST(sum(label) AS BIGINT) AS positives,
-               CAST(sum(1 - label) AS BIGINT) AS negatives,
-               round((sum(CASE WHEN label = 1 THEN r END) - sum(label) * (sum(label) + 1) / 2)
-                     / (sum(label) * sum(1 - label)), 6) AS auc
-        FROM (SELECT label, rank() OVER (ORDER BY reorder_rate)
-                     + (count(*) OVER (PARTITION BY reorder_rate) - 1) / 2 AS r FROM labelled)""",
+    "auc_by_reorder_rate": AUC.format(score="reorder_rate"),
+    "auc_by_order_count": AUC.format(score="order_count"),
+    "auc_by_close_scores": AUC.format(score="order_count"),
+    "csv_of_two_headers": SILVER_ORDERS,
+    "orders_incremental": SILVER_ORDERS,
+    "model_scores_topk": """
+        SELECT user_id, least(10, count(*)) AS products, true AS all_known, true AS sorted,
+               true AS probabilities, true AS same_after_load
+        FROM features WHERE user_id IN (SELECT user_id FROM silver_orders WHERE eval_set = 'test')
+        GROUP BY 1""",
     "confusion_f1": """
         SELECT tp, fp, fn, tn, round(2 * tp / (2 * tp + fp + fn), 6) AS f1
         FROM (SELECT count(*) FILTER (reorder_rate >= 0.5 AND label = 1) AS tp,
@@ -357,6 +392,6 @@ SELECTS = {
 }
 
 ORACLE_SQL = {
-    name: over_tables(select, complete=name == "medallion_features")
+    name: over_tables(select, complete=name not in WITHOUT_AN_AISLE)
     for name, select in SELECTS.items()
 }

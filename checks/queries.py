@@ -42,10 +42,10 @@ class Lake:
     def train_lines(self) -> DataFrame:
         return silver.clean_order_products(self.given.bronze_order_products("train"))
 
-    def products(self) -> DataFrame:
+    def products(self, complete: bool = True) -> DataFrame:
         g = self.given
         return silver.build_products(
-            g.bronze_products(), g.bronze_aisles(), g.bronze_departments()
+            g.bronze_products(), g.bronze_aisles(complete), g.bronze_departments()
         )
 
     def features(self) -> DataFrame:
@@ -76,7 +76,7 @@ class Lake:
         lines = {"order_products_train": self.given.bronze_order_products("train")}
         landing.land_full_load(lines, f"{root}/bronze/historical/manual", arrival())
 
-    def land_catalog(self, complete: bool = False) -> str:
+    def land_catalog(self, complete: bool = True) -> str:
         """Write the catalog folders as the event landing would; the root."""
         g, root = self.given, self.scratch.root
         for name, rows in {
@@ -195,8 +195,29 @@ def landing_reconciliation(spark, folder):
         "orders": lake.given.bronze_orders(),
     }
     public = lake.scratch.path("public")
-    landing.land_full_load(sources, public, arrival())
-    return landing.reconcile_load(spark, sources, public)
+    written = landing.land_full_load(sources, public, arrival())
+    return landing.reconcile_load(spark, written, public)
+
+
+def csv_of_two_headers(spark, folder):
+    """Orders from two sets of files whose columns stand in another order."""
+    lake = Lake(spark, folder)
+    bronze, place = lake.given.bronze_orders(), lake.scratch.path("mixed")
+    even = F.col("order_id").cast("int") % 2 == 0
+    back = [c for c in reversed(bronze.columns)]
+    for part in (bronze.filter(even), bronze.filter(~even).select(*back)):
+        part.write.mode("append").option("header", True).option("compression", "gzip").csv(place)
+    return silver.clean_orders(t.read_csv(spark, place, Contract.named("bronze/orders")))
+
+
+def orders_incremental(spark, folder):
+    """Buckets of later users are written first as they were, then replaced by themselves with new rows."""
+    lake, contract = Lake(spark, folder), Contract.named("silver/orders")
+    path, orders = lake.scratch.path("incremental"), lake.stored_orders()
+    late = F.col("user_id_bucket") >= 50
+    t.write_checked(orders.filter(~late | (F.col("order_number") == 1)), path, contract)
+    t.write_checked(orders.filter(late), path, contract, only_touched_partitions=True)
+    return t.read_table(spark, path, contract)
 
 
 def seed_load_skip_force(spark, folder):
@@ -216,7 +237,7 @@ def seed_load_skip_force(spark, folder):
 def medallion_features(spark, folder):
     lake = Lake(spark, folder)
     root = lake.land_orders()
-    lake.land_catalog(complete=True)
+    lake.land_catalog()
     medallion.build_silver(spark, root)
     medallion.build_gold(spark, root)
     contract = Contract.named("gold/user_product_features")
@@ -231,6 +252,39 @@ def contract_violations_orders(spark, folder):
     return Contract.named("silver/orders").rule_counts(bronze)
 
 
+def contract_violations_dirty_orders(spark, folder):
+    """Orders made to break every rule: some rows each."""
+    number = F.col("order_id")
+
+    def broken(every, column, value):
+        return F.when(number % every == 0, value).otherwise(F.col(column))
+
+    dirty = Lake(spark, folder).orders().withColumns(
+        {
+            "eval_set": broken(19, "eval_set", "odd"),
+            "order_number": broken(17, "order_number", 0),
+            "order_dow": F.when(number % 11 == 0, 7).otherwise(broken(29, "order_dow", -1)),
+            "order_hour_of_day": F.when(number % 13 == 0, 24).otherwise(broken(31, "order_hour_of_day", -1)),
+            "days_since_prior_order": F.when(number % 7 == 0, None).otherwise(
+                broken(23, "days_since_prior_order", -1.0)
+            ),
+            "user_id": broken(37, "user_id", None),
+        }
+    )
+    return Contract.named("silver/orders").rule_counts(dirty.drop("user_id_bucket"))
+
+
+def contract_violations_dirty_lines(spark, folder):
+    """Order lines at place 0 in the cart, and without a mark of reordering."""
+    dirty = Lake(spark, folder).lines().withColumns(
+        {
+            "add_to_cart_order": F.when(F.col("order_id") % 5 == 0, 0).otherwise(F.col("add_to_cart_order")),
+            "reordered": F.when(F.col("order_id") % 9 == 0, None).otherwise(F.col("reordered")),
+        }
+    )
+    return Contract.named("silver/order_products").rule_counts(dirty.drop("order_id_bucket"))
+
+
 def contract_violations_lines(spark, folder):
     bronze = Lake(spark, folder).given.bronze_order_products("prior")
     return Contract.named("bronze/order_products").rule_counts(bronze)
@@ -378,10 +432,8 @@ def land_order_events(lake: Lake, arrived: Column | None = None) -> str:
 def run_order_stream(lake: Lake, incoming: str) -> DataFrame:
     """Silver rows after all input so far; run again, it goes on where it stopped."""
     spark, path = lake.scratch.spark, lake.scratch.path("events")
-    good, _ = order_events.split_events(order_events.read_order_events(spark, incoming))
-    rows = order_events.explode_products(order_events.first_events(good))
-    order_events.write_stream_events(rows, path, lake.scratch.path("state")).awaitTermination()
-    return spark.read.parquet(path).select(
+    order_events.build_stream_silver(spark, incoming, path, lake.scratch.path("bad"), lake.scratch.path("state"))
+    return order_events.read_stream_silver(spark, path).select(
         "order_id",
         "user_id",
         F.coalesce("position", F.lit(0)).alias("position"),
@@ -397,7 +449,7 @@ def stream_events_silver(spark, folder):
 
 
 def stream_late_events(spark, folder):
-    """The second half of the month arrives first; the first half is then late."""
+    """The second half of the month arrives first; the first half is late and counts all the same."""
     lake = Lake(spark, folder)
     run_order_stream(lake, land_order_events(lake, F.col("arrived") >= "2024-01-16"))
     return run_order_stream(lake, land_order_events(lake, F.col("arrived") < "2024-01-16"))
@@ -405,13 +457,9 @@ def stream_late_events(spark, folder):
 
 def stream_bad_rows(spark, folder):
     lake = Lake(spark, folder)
-    _, bad = order_events.split_events(
-        order_events.read_order_events(spark, land_order_events(lake))
-    )
-    path = lake.scratch.path("bad")
-    order_events.write_rejected(bad, path, lake.scratch.path("state")).awaitTermination()
+    run_order_stream(lake, land_order_events(lake))
     schema = "event_time string, order_id int, user_id int, reason string"
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).json(lake.scratch.path("bad")).drop("batch")
 
 
 # ---- Gold -------------------------------------------------------------------
@@ -479,8 +527,19 @@ def confusion_f1(spark, folder):
     return confusion(Lake(spark, folder).training_set(), "reorder_rate", "label", 0.5)
 
 
+def auc_by_order_count(spark, folder):
+    """Scores far above one."""
+    return auc_by_rank(Lake(spark, folder).training_set(), "order_count", "label")
+
+
+def auc_by_close_scores(spark, folder):
+    """Scores that differ in the ninth decimal only."""
+    rows = Lake(spark, folder).training_set()
+    return auc_by_rank(rows.withColumn("s", F.col("order_count") / F.lit(1e9)), "s", "label")
+
+
 def model_scores_topk(spark, folder):
-    """Train on train users, save and load, recommend to test users."""
+    """Train on train users, save and load, recommend to test users: what any model must give."""
     lake = Lake(spark, folder)
     features = lake.scratch.stage(lake.features(), "features")
     orders = lake.stored_orders()
@@ -488,12 +547,22 @@ def model_scores_topk(spark, folder):
         model.training_set(features, orders, lake.train_lines()), "labelled"
     )
     path = lake.scratch.path("model")
-    model.save(model.fit(labelled.filter(~F.col("is_validation")), rounds=5, depth=4), path)
-    scored = model.score(model.load(path), model.candidates(features, orders, "test"))
-    return model.recommend(scored).select(
+    fitted = model.fit(labelled.filter(~F.col("is_validation")), lake.scratch, rounds=5, depth=4)
+    model.save(fitted, path)
+    users = lake.scratch.stage(model.candidates(features, orders, "test"), "candidates")
+    lists = lake.scratch.stage(model.recommend(model.score(model.load(spark, path), users)), "lists")
+    again = model.recommend(model.score(fitted, users)).select(
+        "user_id", F.col("recommended_product_ids").alias("p"), F.col("scores").alias("s")
+    )
+    known = users.groupBy("user_id").agg(F.collect_set("product_id").alias("known"))
+    ids, scores = F.col("recommended_product_ids"), F.col("scores")
+    return lists.join(again, "user_id").join(known, "user_id").select(
         "user_id",
-        F.array_join("recommended_product_ids", ",").alias("products"),
-        F.array_join("scores", ",").alias("scores"),
+        F.size(F.array_distinct(ids)).cast("long").alias("products"),
+        (F.size(F.array_except(ids, "known")) == 0).alias("all_known"),
+        (F.sort_array(scores, asc=False) == scores).alias("sorted"),
+        F.forall(scores, lambda x: (x >= 0) & (x <= 1)).alias("probabilities"),
+        ((ids == F.col("p")) & (scores == F.col("s"))).alias("same_after_load"),
     )
 
 
@@ -513,9 +582,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         orders_per_bucket,
         optional_source_missing,
         landing_reconciliation,
+        csv_of_two_headers,
+        orders_incremental,
         seed_load_skip_force,
         medallion_features,
         contract_violations_orders,
+        contract_violations_dirty_orders,
+        contract_violations_dirty_lines,
         contract_violations_lines,
         contract_violations_products,
         contract_schema,
@@ -545,6 +618,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         topk_by_order_count,
         auc_by_reorder_rate,
         confusion_f1,
+        auc_by_order_count,
+        auc_by_close_scores,
         model_scores_topk,
     )
 }

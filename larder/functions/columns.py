@@ -28,8 +28,9 @@ def try_bool(name: str) -> Column:
 
 
 def filled(name: str, value: float) -> Column:
-    """A missing number becomes ``value``."""
-    return F.coalesce(F.col(name).try_cast("double"), F.lit(value)).alias(name)
+    """A missing number becomes ``value``; one that does not convert becomes NULL."""
+    given = F.col(name)
+    return F.when(given.isNull(), F.lit(value)).otherwise(given.try_cast("double")).alias(name)
 
 
 def bucket_of(id_column: Column) -> Column:

@@ -52,6 +52,16 @@ class Violation(NamedTuple):
     message: str
 
 
+# Parts of messages that users search for.
+MISSING = "Missing required field"
+TYPE = "has type"
+NULLS = "NULL values"
+NOT_NULL = "NOT NULL"
+BELOW = "below minimum"
+ABOVE = "above maximum"
+FOREIGN = "not in allowed values"
+
+
 class ContractViolation(Exception):
     """A table breaks its contract; carries what was broken."""
 
@@ -87,7 +97,7 @@ class ValueRule:
     wording: str
 
     def violation(self, contract: str, count: int) -> Violation:
-        text = f"[{contract}] Field '{self.field}' has {count} {self.wording}"
+        text = f"{contract}.{self.field}: {count} rows with {self.wording}"
         return Violation(self.field, self.rule, self.expected, count, text)
 
 
@@ -168,13 +178,10 @@ class Contract:
                 if f.nullable:
                     log.warning("[%s] Missing optional field: %s", self.name, f.name)
                 else:
-                    text = f"[{self.name}] Missing required field: {f.name}"
+                    text = f"{self.name}: {MISSING}: {f.name}"
                     missing.append(Violation(f.name, "present", f.type, 1, text))
             elif not _same_type(found, f.spark_type):
-                text = (
-                    f"[{self.name}] Field '{f.name}' has type {type(found).__name__}, "
-                    f"expected {f.type}"
-                )
+                text = f"{self.name}.{f.name} {TYPE} {found.simpleString()}, expected {f.type}"
                 mistyped.append(Violation(f.name, "type", f.type, 1, text))
         return missing + mistyped
 
@@ -194,7 +201,7 @@ class Contract:
                 continue
             c = F.col(f"`{found.name}`")
             if not f.nullable:
-                wording = "NULL values but is defined as NOT NULL"
+                wording = f"{NULLS} ({NOT_NULL})"
                 nulls.append(ValueRule(f.name, "not_null", "NOT NULL", c.isNull(), wording))
             if not _same_type(found.dataType, f.spark_type):
                 continue
@@ -202,14 +209,14 @@ class Contract:
                 limits.append(
                     ValueRule(
                         f.name, "min_value", str(f.min_value), c < F.lit(f.min_value),
-                        f"values below minimum {f.min_value}",
+                        f"{BELOW} {f.min_value}",
                     )
                 )
             if f.max_value is not None:
                 limits.append(
                     ValueRule(
                         f.name, "max_value", str(f.max_value), c > F.lit(f.max_value),
-                        f"values above maximum {f.max_value}",
+                        f"{ABOVE} {f.max_value}",
                     )
                 )
             if f.allowed_values is not None:
@@ -217,7 +224,7 @@ class Contract:
                 limits.append(
                     ValueRule(
                         f.name, "allowed_values", ",".join(map(str, allowed)), ~c.isin(allowed),
-                        f"values not in allowed values: {allowed}",
+                        f"{FOREIGN}, which are {', '.join(map(str, allowed))}",
                     )
                 )
         return limits + nulls

@@ -5,41 +5,60 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Scores are compared at this many decimals, which bounds the score histogram.
-SCORE_DECIMALS = 6
+from larder.operators.running import block_offsets
+
+# Results are rounded to this many decimals; scores never are.
+RESULT_DECIMALS = 6
+# Scores are cut into about so many ranges, each added up in its own task.
+RANGES = 256
 
 
 def auc_by_rank(df: DataFrame, score: str, label: str) -> DataFrame:
     """Exact AUC-ROC by the rank formula; ties count half.
 
-    Sorting every row globally would end in one task. Scores in [0, 1] are first
-    counted per distinct value at six decimals. The global window then reads that
-    histogram, which has at most 1,000,001 rows however many were scored.
+    Rows are first counted per distinct score. A running sum over all scores would
+    end in one task, so it is taken inside ranges of the score, and then over the
+    totals of the ranges, of which there are at most ``RANGES``. Rows without a
+    score or label, or with a score that is no number, do not count.
     """
-    scale = 10**SCORE_DECIMALS
+    value = F.col(score).cast("double")
     positive = (F.col(label) == 1).cast("long")
     histogram = (
-        df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(F.round(F.col(score) * scale).cast("int").alias("_bin"))
+        df.filter(value.isNotNull() & ~F.isnan(value) & F.col(label).isNotNull())
+        .groupBy(value.alias("_score"))
         .agg(F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg"))
     )
-    lower = Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    below = F.coalesce(F.sum("neg").over(lower), F.lit(0))
-    counted = histogram.select("pos", "neg", below.alias("below"))
-    wins = F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2))
+    shares = [i / RANGES for i in range(1, RANGES)]
+    # A few hundred numbers at most.
+    cuts = histogram.agg(F.percentile_approx("_score", shares, 10_000)).first()[0] or []
+    ends = F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast("array<double>")
+    # Ranges depend on the score alone, so equal scores never part.
+    ranged = histogram.withColumn("_block", F.size(F.filter(ends, lambda c: c < F.col("_score"))))
+    sums = [F.sum(c).alias(c) for c in ("pos", "neg")]
+    totals = ranged.groupBy("_block").agg(*sums).withColumn("_all", F.lit(0))
+    offsets = block_offsets(totals, ["_all"], ["_block"], ["pos", "neg"])
+    inside = Window.partitionBy("_block").orderBy("_score").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("neg").over(inside), F.lit(0))
+    counted = ranged.select("_block", "pos", "neg", below.alias("below")).join(
+        offsets.select("_block", "neg_before"), "_block"
+    )
+    wins = F.sum(F.col("pos") * (F.col("neg_before") + F.col("below") + F.col("neg") / 2))
     positives = F.coalesce(F.sum("pos"), F.lit(0))
     negatives = F.coalesce(F.sum("neg"), F.lit(0))
     return counted.agg(
         positives.alias("positives"),
         negatives.alias("negatives"),
-        F.round(F.try_divide(wins, positives.cast("double") * negatives), SCORE_DECIMALS).alias(
+        F.round(F.try_divide(wins, positives.cast("double") * negatives), RESULT_DECIMALS).alias(
             "auc"
         ),
     )
 
 
 def confusion(df: DataFrame, score: str, label: str, threshold: float) -> DataFrame:
-    """Confusion counts and F1 at a fixed threshold, in one aggregate."""
+    """Confusion counts and F1 at a fixed threshold, in one aggregate.
+
+    Rows without a score or label are in no cell.
+    """
     said = F.col(score) >= threshold
     true = F.col(label) == 1
     counts = df.agg(
@@ -50,4 +69,4 @@ def confusion(df: DataFrame, score: str, label: str, threshold: float) -> DataFr
     )
     hits = 2 * F.col("tp")
     f1 = F.try_divide(hits.cast("double"), hits + F.col("fp") + F.col("fn"))
-    return counts.withColumn("f1", F.round(f1, SCORE_DECIMALS))
+    return counts.withColumn("f1", F.round(f1, RESULT_DECIMALS))

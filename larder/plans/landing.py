@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from larder.operators.quality import reconcile
@@ -30,7 +30,7 @@ def parse_catalog_events(events: DataFrame, arrived_at: Column) -> DataFrame:
     """
     body = F.coalesce(F.nullif(F.trim("body"), F.lit("")), F.lit("{}"))
     wrapped = F.concat(F.lit("["), body, F.lit("]"))
-    objects = F.from_json(wrapped, "array<struct<type:string>>")
+    objects = F.from_json(wrapped, "array<struct<type:string>>", {"allowSingleQuotes": "false"})
     first = F.try_element_at(objects, F.lit(1))
     valid = (F.size(objects) == 1) & first.isNotNull()
     kind = first.getField("type")
@@ -40,7 +40,7 @@ def parse_catalog_events(events: DataFrame, arrived_at: Column) -> DataFrame:
     return events.select(
         # A line break in valid JSON can only be white space between tokens.
         F.translate(body, "\r\n", "  ").alias("body"),
-        kind.alias("type"),
+        F.when(~F.coalesce(reason == INVALID_JSON, F.lit(False)), kind).alias("type"),
         reason.alias("reason"),
         F.when(reason.isNull(), "ok").otherwise("failed").alias("status"),
         F.year(arrived_at).alias("year"),
@@ -73,15 +73,20 @@ def catalog_records(rows: DataFrame, event_type: str) -> DataFrame:
 
 def land_full_load(
     tables: Mapping[str, DataFrame], folder: str, loaded_at: Column, header: bool = True
-) -> None:
-    """Write each source table as gzip CSV with a load timestamp.
+) -> dict[str, int]:
+    """Write each source table as gzip CSV with a load timestamp; rows written per table.
 
-    The rows keep the source's partitions: one file per key range read.
+    The rows keep the source's partitions: one file per key range read. Texts may
+    hold line breaks; they are quoted, and readers take records over several lines.
     """
+    written = {}
     for name, df in tables.items():
-        stamped = df.withColumn("load_ts", loaded_at)
+        seen = Observation()
+        stamped = df.withColumn("load_ts", loaded_at).observe(seen, F.count(F.lit(1)).alias("rows"))
         writer = stamped.write.mode("overwrite").option("header", header)
         writer.option("escape", '"').option("compression", "gzip").csv(f"{folder}/{name}")
+        written[name] = seen.get["rows"]
+    return written
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -97,12 +102,16 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def reconcile_load(
-    spark: SparkSession, tables: Mapping[str, DataFrame], folder: str, header: bool = True
+    spark: SparkSession, written: Mapping[str, int], folder: str, header: bool = True
 ) -> DataFrame:
-    """Source rows against rows found in the landed files."""
-    reader = spark.read.option("header", header).option("escape", '"')
-    landed = {name: reader.csv(f"{folder}/{name}") for name in tables}
-    return reconcile(table_counts(tables), table_counts(landed))
+    """Rows observed while landing against rows found in the landed files.
+
+    The source is not read again: it may have changed since.
+    """
+    reader = spark.read.option("header", header).option("escape", '"').option("multiLine", True)
+    landed = {name: reader.csv(f"{folder}/{name}") for name in written}
+    loaded = spark.createDataFrame(list(written.items()), "table_name string, n long")
+    return reconcile(loaded, table_counts(landed))
 
 
 def is_populated(spark: SparkSession, path: str) -> bool:

@@ -134,7 +134,7 @@ def build_predictions(
         orders = silver_table(spark, root, "orders")
         train_lines = silver_table(spark, root, "order_products_train")
         labelled = scratch.stage(model.training_set(features, orders, train_lines), "labelled")
-        fitted = model.fit(labelled.filter("NOT is_validation"), rounds)
+        fitted = model.fit(labelled.filter("NOT is_validation"), scratch, rounds)
         model.save(fitted, f"{root}/{t.GOLD_MODEL}")
         validation = scratch.stage(
             model.score(fitted, labelled.filter("is_validation")), "validation"

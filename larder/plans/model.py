@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.operators.ranking import ranked_lists, top_k
 from larder.plans.gold import of_set
+from larder.sources.storage import Scratch
 
 NUMERIC_FEATURES = (
     "order_count",
@@ -24,9 +27,10 @@ NAME_FEATURES = ("aisle_name", "department_name")
 VALIDATION_FOLDS = 5
 DEFAULT_TOP = 10
 SEED = 7
-# A name column with more values than this is left out of the model: indexing
-# brings all values to the driver, and a tree split keeps a bin for each.
-MAX_NAMES = 1000
+# A name counts as much as this many pairs with the overall rate, beside its own.
+SMOOTHING = 20.0
+# Documented bound: trees are fitted on at most about so many labelled pairs.
+FIT_ROWS = 5_000_000
 
 
 def train_purchases(orders: DataFrame, train_lines: DataFrame) -> DataFrame:
@@ -58,58 +62,80 @@ def training_set(
     )
 
 
-def usable_names(training: DataFrame, limit: int = MAX_NAMES) -> list[str]:
-    """Name columns with at most ``limit`` values, known without counting further."""
-    return [
-        c
-        for c in NAME_FEATURES
-        if training.select(c).distinct().limit(limit + 1).count() <= limit
-    ]
-
-
-def fit(training: DataFrame, rounds: int = 20, depth: int = 5) -> PipelineModel:
-    """M3, M4: gradient-boosted trees over six numbers and the usable names."""
-    named = training.fillna("unknown", list(NAME_FEATURES))
-    names = usable_names(named)
-    indexed = [f"{c}_index" for c in names]
-    stages, most_names = [], 0
-    if names:
-        indexer = StringIndexer(inputCols=names, outputCols=indexed, handleInvalid="keep")
-        stages.append(indexer.fit(named))
-        most_names = max(len(labels) for labels in stages[0].labelsArray)
+def name_rates(training: DataFrame) -> DataFrame:
+    """(feature, name, rate): the smoothed share of reordered pairs of each name.
+
+    Names become numbers by what is known of them, at any number of names and
+    without bringing them to the driver. The row with feature NULL is the overall
+    rate, which stands for names that training has not seen.
+    """
+    overall = training.agg(F.avg("label").alias("overall")).first()["overall"] or 0.0
+    spark = training.sparkSession
+    rates = spark.createDataFrame([(None, None, float(overall))], "feature string, name string, rate double")
+    for feature in NAME_FEATURES:
+        known = training.filter(F.col(feature).isNotNull()).groupBy(F.col(feature).alias("name"))
+        sums = known.agg(F.sum("label").alias("s"), F.count("*").alias("n"))
+        rate = (F.col("s") + SMOOTHING * overall) / (F.col("n") + SMOOTHING)
+        rates = rates.union(sums.select(F.lit(feature), "name", rate))
+    return rates
+
+
+@dataclass
+class ReorderModel:
+    """M3, M4, M7: trees over six numbers, and the rates of names beside them."""
+
+    trees: PipelineModel
+    rates: DataFrame
+
+
+def with_rates(rows: DataFrame, rates: DataFrame) -> DataFrame:
+    """A ``<name>_rate`` column per name feature; unseen and NULL names get the overall rate."""
+    overall = rates.filter("feature IS NULL").first()["rate"]
+    for feature in NAME_FEATURES:
+        one = rates.filter(F.col("feature") == feature).select(
+            F.col("name").alias(feature), F.col("rate").alias(f"{feature}_rate")
+        )
+        rows = rows.join(one, feature, "left").fillna(overall, [f"{feature}_rate"])
+    return rows
+
+
+def fit(training: DataFrame, scratch: Scratch, rounds: int = 20, depth: int = 5, most: int = FIT_ROWS) -> ReorderModel:
+    """M3, M4: gradient-boosted trees, on a sample by hash where there are more than ``most`` pairs."""
+    rates = scratch.stage(name_rates(training), "name_rates")
+    share = min(1.0, most / max(1, training.count()))
+    cell = F.pmod(F.xxhash64("user_id", "product_id"), F.lit(1_000_000))
+    sample = training.filter(cell < round(share * 1_000_000))
     assembler = VectorAssembler(
-        inputCols=[*NUMERIC_FEATURES, *indexed], outputCol="features", handleInvalid="error"
+        inputCols=[*NUMERIC_FEATURES, *[f"{c}_rate" for c in NAME_FEATURES]],
+        outputCol="features",
+        handleInvalid="error",
     )
     trees = GBTClassifier(
         labelCol="label",
         featuresCol="features",
         maxIter=rounds,
         maxDepth=depth,
-        # A bin per name, and one for names not seen in training; 32 is the default.
-        maxBins=max(32, most_names + 1),
         checkpointInterval=5,
         seed=SEED,
     )
-    return Pipeline(stages=[*stages, assembler, trees]).fit(named)
+    return ReorderModel(Pipeline(stages=[assembler, trees]).fit(with_rates(sample, rates)), rates)
 
 
-def save(model: PipelineModel, path: str) -> None:
+def save(model: ReorderModel, path: str) -> None:
     """M7"""
-    model.write().overwrite().save(path)
+    model.trees.write().overwrite().save(f"{path}/trees")
+    model.rates.write.mode("overwrite").parquet(f"{path}/rates")
 
 
-def load(path: str) -> PipelineModel:
+def load(spark: SparkSession, path: str) -> ReorderModel:
     """M7"""
-    return PipelineModel.load(path)
+    return ReorderModel(PipelineModel.load(f"{path}/trees"), spark.read.parquet(f"{path}/rates"))
 
 
-def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Probability that the user buys the product again, as ``score``."""
-    named = rows.fillna("unknown", list(NAME_FEATURES))
-    scored = model.transform(named)
-    return scored.select(
-        *rows.columns, F.round(vector_to_array("probability")[1], 6).alias("score")
-    )
+def score(model: ReorderModel, rows: DataFrame) -> DataFrame:
+    """Probability that the user buys the product again, as ``score``, unrounded."""
+    scored = model.trees.transform(with_rates(rows, model.rates))
+    return scored.select(*rows.columns, vector_to_array("probability")[1].alias("score"))
 
 
 def recommend(scored: DataFrame, k: int = DEFAULT_TOP) -> DataFrame:

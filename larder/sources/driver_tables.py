@@ -150,8 +150,8 @@ class DriverTables:
             F.lit("product").alias("type"),
         )
 
-    def bronze_aisles(self, complete: bool = False) -> DataFrame:
-        """Each aisle once per part; aisle 13 arrives only if ``complete``."""
+    def bronze_aisles(self, complete: bool = True) -> DataFrame:
+        """Each aisle once per part; aisle 13 stays away unless ``complete``."""
         aisles = self.table("part").select(
             aisle_of("p_brand").alias("aisle_id"),
             F.col("p_brand").alias("aisle"),

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import csv
 import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larder.functions.columns import bucket_of
 from larder.operators.contract import Contract, ContractViolation
-from larder.sources.storage import delete, replace_directory
+from larder.sources.storage import children, delete, replace_directory, restore
 
 # Folders of each table below the lake's root.
 BRONZE_ORDERS = "bronze/historical/public/orders"
@@ -45,20 +47,60 @@ def read_csv(
     """CSV or CSV.gz as text columns of the contract; empty text is NULL.
 
     With a header, columns are taken by name, so extra columns and another order
-    do no harm and a missing optional column is NULL. Without one, the contract
-    gives the names. No pass over the data infers types. A gzip file cannot be
-    split, so one task reads it; ``spread`` redistributes the rows afterwards
-    where no later step does.
+    do no harm and a missing optional column is NULL. Files are read together with
+    the others that have the same header line, since Spark applies one header by
+    position to all files it reads. Without a header, the contract gives the names.
+    No pass over the data infers types. Texts may hold line breaks. A gzip file
+    cannot be split, so one task reads it; ``spread`` redistributes the rows
+    afterwards where no later step does.
     """
     reader = spark.read.option("header", header).option("nullValue", "").option("escape", '"')
+    reader = reader.option("multiLine", True)
     if header:
-        df = reader.csv(path)
+        parts = []
+        for columns, files in files_by_header(spark, path).items():
+            schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+            # A file whose header differs after all is an error, not a swap.
+            one = reader.schema(schema).option("enforceSchema", False).csv(files)
+            parts.append(declared_columns(one, contract))
+        df = parts[0]
+        for part in parts[1:]:
+            df = df.unionByName(part, allowMissingColumns=True)
     else:
-        df = reader.schema(contract.text_schema()).csv(path)
-    df = declared_columns(df, contract)
+        df = declared_columns(reader.schema(contract.text_schema()).csv(path), contract)
     return df.repartition(spread) if spread else df
 
 
+def files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The CSV files at ``path``, grouped by the names in their first line.
+
+    Spark lists the files; of each only its first line is read.
+    """
+    files = sorted(spark.read.option("header", True).csv(path).inputFiles())
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in files:
+        line = first_line(spark, file)
+        if line is not None:
+            groups.setdefault(tuple(next(csv.reader([line]))), []).append(file)
+    if not groups:
+        raise FileNotFoundError(f"no CSV file with a header at {path}")
+    return groups
+
+
+def first_line(spark: SparkSession, file: str) -> str | None:
+    """The first line of a text file, compressed or not; None if it is empty."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(file)
+    settings = spark._jsc.hadoopConfiguration()
+    stream = target.getFileSystem(settings).open(target)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(settings).getCodec(target)
+        plain = codec.createInputStream(stream) if codec is not None else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
 def declared_columns(df: DataFrame, contract: Contract) -> DataFrame:
     """The contract's columns that ``df`` has, in order; optional ones as NULL."""
     present = {c.lower(): c for c in df.columns}
@@ -116,13 +158,16 @@ def read_bronze_order_products_train(
 ) -> DataFrame | None:
     """Train labels, or None when the folder is not there.
 
-    Only a missing path is tolerated; unreadable data is an error.
+    Only a missing path and a folder without files are tolerated; unreadable data is
+    an error.
     """
     contract = Contract.named("bronze/order_products")
     try:
         return read_csv(spark, f"{root}/{BRONZE_ORDER_PRODUCTS_TRAIN}", contract, header)
+    except FileNotFoundError:
+        return None
     except AnalysisException as error:
-        if is_missing_path(error):
+        if is_missing_path(error) or error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return None
         raise
 
@@ -149,6 +194,7 @@ def read_database_table(
 
 def read_table(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
     """A Silver or Gold table, with its declared schema."""
+    restore(spark, path)
     return spark.read.schema(contract.schema()).parquet(path)
 
 
@@ -198,13 +244,24 @@ def write_table(
     return seen.get["rows"]
 
 
-def write_checked(df: DataFrame, path: str, contract: Contract) -> int:
+def _buckets(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Partition folders below ``path``; a table has a bounded number of buckets."""
+    found = [""]
+    for _ in range(depth):
+        found = [f"{b}/{c}".lstrip("/") for b in found for c in children(spark, f"{path}/{b}") if "=" in c]
+    return found
+
+
+def write_checked(
+    df: DataFrame, path: str, contract: Contract, only_touched_partitions: bool = False
+) -> int:
     """V5 with K1: write a table only if it keeps its contract.
 
     Rows are computed once: the rules are counted while the table goes to a new
     folder beside ``path``, which takes the place of ``path`` when no rule is
     broken. Otherwise it is deleted, ``path`` stays as it was, and
-    ``ContractViolation`` is raised.
+    ``ContractViolation`` is raised. ``only_touched_partitions`` replaces the
+    buckets that ``df`` has rows for, one after the other, and leaves the others.
     """
     spark = df.sparkSession
     broken = contract.schema_violations(df)
@@ -218,7 +275,12 @@ def write_checked(df: DataFrame, path: str, contract: Contract) -> int:
         broken = contract.broken_rules(df, counts)
         if broken:
             raise ContractViolation(contract.name, broken)
-        replace_directory(spark, incoming, path)
+        if only_touched_partitions and contract.partition_by:
+            for bucket in _buckets(spark, incoming, len(contract.partition_by)):
+                replace_directory(spark, f"{incoming}/{bucket}", f"{path.rstrip('/')}/{bucket}")
+            delete(spark, incoming)
+        else:
+            replace_directory(spark, incoming, path)
     except BaseException:
         delete(spark, incoming)
         raise

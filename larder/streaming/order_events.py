@@ -1,36 +1,28 @@
-"""Order events from Bronze to Silver."""
+"""Order events from Bronze to Silver.
+
+No event is too late: ids of all orders are kept beside the checkpoint, and each
+batch is compared with them.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from larder.functions.columns import event_instant, utc_date
 from larder.operators.contract import Contract
-
-LATENESS = "1 hour"
-# Tasks that share the copies of one event before they meet.
-SPREAD = 32
-
+from larder.operators.dedupe import first_per_key
+from larder.sources.storage import Scratch, children, exists
 
 def read_order_events(
     spark: SparkSession, folder: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """JSON files, gzip or not, in any depth of dated folders.
-
-    ``_file`` numbers the input file a row came from; it only spreads copies.
-    """
+    """JSON files, gzip or not, in any depth of dated folders."""
     reader = spark.readStream.schema(Contract.named("bronze/stream").schema())
     reader = reader.option("recursiveFileLookup", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return with_file_number(reader.json(folder))
-
-
-def with_file_number(events: DataFrame) -> DataFrame:
-    place = F.xxhash64("_metadata.file_path", "_metadata.file_block_start")
-    return events.withColumn("_file", F.pmod(place, F.lit(SPREAD)))
+    return reader.json(folder)
 
 
 def split_events(events: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -49,16 +41,16 @@ def split_events(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad.select("event_time", "order_id", "user_id", "product_ids", "source", "reason")
 
 
-def first_events(good: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """One event per order id among events at most ``lateness`` apart.
+def new_events(good: DataFrame, known: DataFrame | None) -> DataFrame:
+    """One event per order id, and none for an order that is ``known``.
 
-    Copies of one order are first reduced per input file, in up to ``SPREAD``
-    tasks, then among those survivors. Events older than the latest time seen
-    in earlier micro-batches, less ``lateness``, are late and do not count.
+    Copies in a batch are reduced in every task before they meet. However late an
+    event comes, it counts; so the cut into batches does not change which orders
+    are kept. Where copies differ, the smallest of the first batch stays.
     """
-    marked = good.withWatermark("event_ts", lateness)
-    per_file = marked.dropDuplicatesWithinWatermark(["order_id", "_file"])
-    return per_file.dropDuplicatesWithinWatermark(["order_id"])
+    columns = ["event_ts", "event_time", "user_id", "product_ids", "source"]
+    first = first_per_key(good.select("order_id", *columns), ["order_id"])
+    return first if known is None else first.join(known, "order_id", "left_anti")
 
 
 def explode_products(events: DataFrame) -> DataFrame:
@@ -83,26 +75,46 @@ def explode_products(events: DataFrame) -> DataFrame:
     )
 
 
-def write_stream_events(rows: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
-    """K4, T4: Parquet by event date; stops when all input is read."""
-    return (
-        rows.writeStream.format("parquet")
-        .partitionBy("event_date")
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start(folder)
-    )
+class BatchSink:
+    """Writes one micro-batch: Silver rows by date, rejected events, and the ids it added.
 
+    Everything of a batch lies in folders with its number, which a batch that is
+    run again writes anew. Ids of earlier batches are read from their own folders.
+    """
 
-def write_rejected(bad: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
-    """Unusable events as JSON, with their reason; stops when all input is read."""
-    return (
-        bad.writeStream.format("json")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(folder)
-    )
+    def __init__(self, folder: str, rejected: str, state: str):
+        self.folder, self.rejected, self.state = folder, rejected, state
+
+    def __call__(self, events: DataFrame, number: int) -> None:
+        spark = events.sparkSession
+        scratch = Scratch(spark)
+        try:
+            # Parsed once for both outputs.
+            good, bad = split_events(scratch.stage(events, "events"))
+            fresh = scratch.stage(new_events(good, self.known(spark, number)), "fresh")
+            rows = explode_products(fresh)
+            Contract.named("silver/stream_events").require(rows)
+            write = rows.withColumn("batch", F.lit(number)).hint("rebalance", "event_date").write
+            write = write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
+            write.partitionBy("event_date", "batch").parquet(self.folder)
+            bad.write.mode("overwrite").json(f"{self.rejected}/batch={number}")
+            fresh.select("order_id").write.mode("overwrite").parquet(f"{self.state}/batch={number}")
+        finally:
+            scratch.remove()
+
+    def known(self, spark: SparkSession, number: int) -> DataFrame | None:
+        if not exists(spark, self.state):
+            return None
+        earlier = [n for n in children(spark, self.state) if int(n.removeprefix("batch=")) < number]
+        if not earlier:
+            return None
+        return spark.read.schema("order_id int").parquet(*[f"{self.state}/{n}" for n in earlier])
+
+
+def read_stream_silver(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver rows of all batches, with the contract's columns."""
+    contract = Contract.named("silver/stream_events")
+    return spark.read.parquet(folder).select(*[F.col(f.name).cast(f.spark_type) for f in contract.fields])
 
 
 def build_stream_silver(
@@ -113,13 +125,16 @@ def build_stream_silver(
     checkpoint: str,
     max_files_per_trigger: int | None = None,
 ) -> None:
-    """Run both sinks over all input there is, then return."""
+    """Take all input there is, then return.
+
+    A batch that breaks the contract of Silver ends the stream and leaves no rows.
+    """
     events = read_order_events(spark, source, max_files_per_trigger)
-    good, bad = split_events(events)
-    rows = explode_products(first_events(good))
-    queries = [
-        write_stream_events(rows, folder, f"{checkpoint}/events"),
-        write_rejected(bad, rejected, f"{checkpoint}/rejected"),
-    ]
-    for query in queries:
-        query.awaitTermination()
+    sink = BatchSink(folder, rejected, f"{checkpoint}/known")
+    query = (
+        events.writeStream.foreachBatch(sink)
+        .option("checkpointLocation", f"{checkpoint}/query")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()

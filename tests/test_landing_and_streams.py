@@ -4,6 +4,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from larder.operators.contract import Contract
 from larder.plans import landing
 from larder.streaming import catalog_events, order_events
 from tests.conftest import rows
@@ -27,6 +28,7 @@ BODIES = [
     ("[]", landing.INVALID_JSON),
     ('{"type":"product"', landing.INVALID_JSON),
     ('{"type":"product",}', landing.INVALID_JSON),
+    ("{'type':'product'}", landing.INVALID_JSON),
 ]
 
 
@@ -87,7 +89,7 @@ def run(spark, tmp_path, **options):
     order_events.build_stream_silver(
         spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "bad"), str(tmp_path / "cp"), **options
     )
-    out = spark.read.parquet(str(tmp_path / "out"))
+    out = order_events.read_stream_silver(spark, str(tmp_path / "out"))
     return rows(out, "order_id", "position", "product_id")
 
 
@@ -105,12 +107,31 @@ def test_copies_and_late_events_of_a_later_run(spark, tmp_path):
     hour = tmp_path / "in/2024/01/15/14"
     write_events(hour, "a", [event(1, 30, [10]), event(2, 31, [11])])
     assert run(spark, tmp_path) == [(1, 1, 10), (2, 1, 11)]
-    # A copy within an hour of the first is dropped; a new order within an hour is kept.
+    # A copy is dropped; a new order counts, however late it comes.
     write_events(hour, "b", [event(1, 30, [10]), event(3, 10, [12])])
     assert run(spark, tmp_path) == [(1, 1, 10), (2, 1, 11), (3, 1, 12)]
-    # More than an hour behind the latest event seen: late.
-    write_events(hour, "c", [event(4, 0, [13], "2024-01-15T11:00:00Z"), event(5, 40, [14])])
-    assert run(spark, tmp_path) == [(1, 1, 10), (2, 1, 11), (3, 1, 12), (5, 1, 14)]
+    write_events(hour, "c", [event(4, 0, [13], "2023-01-15T11:00:00Z"), event(5, 40, [14])])
+    assert run(spark, tmp_path) == [(1, 1, 10), (2, 1, 11), (3, 1, 12), (4, 1, 13), (5, 1, 14)]
+
+
+def test_any_cut_into_batches_gives_the_same_rows(spark, tmp_path):
+    times = [f"2024-01-15T{h:02d}:00:00Z" for h in (20, 14, 10, 20)]
+    for name, order in {"new": (0, 1, 2, 3), "old": (3, 2, 1, 0)}.items():
+        for files in (None, 1, 2):
+            place = tmp_path / f"{name}{files}"
+            for i, k in enumerate(order):
+                write_events(place / "in/2024", f"f{i}", [event(k % 3, 0, [k % 3], times[k])])
+            assert run(spark, place, max_files_per_trigger=files) == [(0, 1, 0), (1, 1, 1), (2, 1, 2)]
+
+
+def test_a_batch_that_runs_again_adds_nothing(spark, tmp_path):
+    sink = order_events.BatchSink(*(str(tmp_path / n) for n in ("out", "bad", "state")))
+    schema = Contract.named("bronze/stream").schema()
+    first = spark.createDataFrame([("2024-01-15T10:00:00Z", 1, 1, [5], "s"), ("x", 2, 1, [6], "s")], schema)
+    for number in (0, 0, 1, 1):
+        sink(first, number)
+    assert rows(order_events.read_stream_silver(spark, str(tmp_path / "out")), "order_id", "product_id") == [(1, 5)]
+    assert spark.read.json(str(tmp_path / "bad/batch=0")).count() == 1
 
 
 def test_one_file_per_batch_gives_the_same_rows(spark, tmp_path):
@@ -122,7 +143,13 @@ def test_one_file_per_batch_gives_the_same_rows(spark, tmp_path):
 
 def test_load_timestamp_is_landed_but_not_read_back(spark, tmp_path):
     source = spark.createDataFrame([(1, 2.5), (2, None)], "id int, x double")
-    landing.land_full_load({"things": source}, str(tmp_path), F.lit(datetime(2024, 1, 15)))
+    written = landing.land_full_load({"things": source}, str(tmp_path), F.lit(datetime(2024, 1, 15)))
     files = list((tmp_path / "things").glob("*.csv.gz"))
     assert files and spark.read.option("header", True).csv(str(tmp_path / "things")).columns == ["id", "x", "load_ts"]
-    assert rows(landing.reconcile_load(spark, {"things": source}, str(tmp_path))) == [("things", 2, 2, 0)]
+    assert rows(landing.reconcile_load(spark, written, str(tmp_path))) == [("things", 2, 2, 0)]
+
+
+def test_line_breaks_in_landed_texts(spark, tmp_path):
+    source = spark.createDataFrame([(1, 'two\nlines "quoted"'), (2, "a\r\nb"), (3, None), (4, "x")], "product_id int, product_name string")
+    written = landing.land_full_load({"notes": source}, str(tmp_path), now())
+    assert rows(landing.reconcile_load(spark, written, str(tmp_path))) == [("notes", 4, 4, 0)]

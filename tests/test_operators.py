@@ -18,7 +18,7 @@ def test_casts_give_null_instead_of_failing(spark):
         "a string, b string, c string",
     )
     got = df.select(try_int("a"), try_bool("b"), filled("c", 0.0)).collect()
-    assert [tuple(r) for r in got] == [(1, True, 0.0), (2, False, 1.5), (None, None, 0.0), (None, True, 7.0)]
+    assert [tuple(r) for r in got] == [(1, True, 0.0), (2, False, 1.5), (None, None, None), (None, True, 7.0)]
 
 
 def test_bucket_is_a_non_negative_int(spark):

@@ -27,7 +27,7 @@ def test_predictions_of_the_whole_run(spark):
     assert predictions.count() == got["users"] > 0
     assert predictions.filter("size(scores) > 3 OR size(scores) <> size(recommended_product_ids)").isEmpty()
     # The stored model scores as the one that was trained.
-    loaded = model.load(f"{root}/{t.GOLD_MODEL}")
+    loaded = model.load(spark, f"{root}/{t.GOLD_MODEL}")
     features = t.read_table(spark, f"{root}/{t.GOLD_FEATURES}", Contract.named("gold/user_product_features"))
     orders = medallion.silver_table(spark, root, "orders")
     again = model.recommend(model.score(loaded, model.candidates(features, orders, "test")), 3)
@@ -47,7 +47,14 @@ def test_training_set_labels_and_split(spark):
     assert rows(model.candidates(features, orders, "test")) == [(7, 1)]
 
 
-def test_a_name_column_with_too_many_values_is_left_out(spark):
-    df = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", "x")], "aisle_name string, department_name string")
-    assert model.usable_names(df, 3) == ["aisle_name", "department_name"]
-    assert model.usable_names(df, 2) == ["department_name"]
+def test_names_become_rates_at_any_number_of_names(spark):
+    schema = "aisle_name string, department_name string, label int"
+    for names in (1000, 1001):
+        rows = [(f"a{i}", "d", i % 2) for i in range(names)] * 2 + [(None, "d", 1)]
+        rates = model.name_rates(spark.createDataFrame(rows, schema))
+        assert rates.filter("feature = 'aisle_name'").count() == names
+        got = model.with_rates(spark.createDataFrame([("a1", "d"), ("new", None)], "aisle_name string, department_name string"), rates)
+        overall = sum(r[2] for r in rows) / len(rows)
+        by_name = {r["aisle_name"]: r for r in got.collect()}
+        assert by_name["new"]["aisle_name_rate"] == by_name["new"]["department_name_rate"] == overall
+        assert abs(by_name["a1"]["aisle_name_rate"] - (2 + 20 * overall) / 22) < 1e-12

@@ -11,6 +11,7 @@ import pytest
 
 import __spark_entry__ as registered
 from checks.compare import difference, oracle_connection
+from checks.oracle import ORACLE_SQL
 
 GIVEN = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not GIVEN.exists(), reason="given tables not here")
@@ -39,7 +40,7 @@ def oracle(hot_folder):
     return oracle_connection(hot_folder)
 
 
-@pytest.mark.parametrize("name", registered.oracle_sql())
+@pytest.mark.parametrize("name", ORACLE_SQL)
 def test_query_equals_its_sql(spark, hot_folder, oracle, name):
     result = registered.queries()[name](spark, hot_folder)
     assert difference(result, oracle, registered.oracle_sql()[name]) is None
@@ -49,19 +50,6 @@ def test_every_sql_has_a_query():
     assert set(registered.oracle_sql()) <= set(registered.queries())
 
 
-def test_model_recommends_known_products_to_test_users(spark, hot_folder, oracle):
-    result = registered.queries()["model_scores_topk"](spark, hot_folder).collect()
-    users = oracle.execute(
-        "SELECT count(*) FROM (SELECT o_custkey FROM orders GROUP BY 1"
-        " HAVING count(*) > 1 AND o_custkey % 3 = 0)"
-    ).fetchall()[0][0]
-    assert 0 < len(result) <= users
-    for row in result:
-        products, scores = row["products"].split(","), [float(s) for s in row["scores"].split(",")]
-        assert len(products) == len(scores) <= 10 and len(set(products)) == len(products)
-        assert scores == sorted(scores, reverse=True) and all(0 <= s <= 1 for s in scores)
-
-
 def test_entry(spark):
     result = registered.entry(spark)
     assert result.columns == ["department_name", "lines", "reordered_lines", "reorder_rate"]

@@ -5,6 +5,7 @@ import pytest
 
 from larder.operators.contract import Contract, ContractViolation
 from larder.plans import landing, medallion, silver
+from larder.sources import storage
 from larder.sources import tables as t
 from larder.sources.storage import Scratch
 from tests.conftest import rows
@@ -16,23 +17,26 @@ ORDERS = "order_id string, user_id string, eval_set string, order_number string,
 def test_clean_orders(spark):
     bronze = spark.createDataFrame(
         [
-            ("1", "7", "prior", "1", "2", "8", None),
-            ("1", "7", "prior", "1", "2", "8", None),
-            ("2", "-7", "train", "2", "3", "7", "15.0"),
-            ("x", "8", "test", "1", "0", "0", "1"),
-            ("9999999999", "8", "test", "1", "0", "0", "2"),
+            ("510", "41", "prior", "1", "5", "19", None),
+            ("510", "41", "prior", "1", "5", "19", None),
+            ("511", "-41", "train", "6", "1", "22", "9.5"),
+            ("512", "41", "prior", "2", "6", "0", "soon"),
+            ("five", "8", "test", "4", "0", "11", "12"),
+            ("9999999999", "8", "test", "4", "0", "11", "13"),
         ],
         ORDERS,
     )
     got = silver.clean_orders(bronze)
     assert rows(got) == [
-        (1, 7, "prior", 1, 2, 8, 0.0, 7),
-        (2, -7, "train", 2, 3, 7, 15.0, 93),
-        (None, 8, "test", 1, 0, 0, 1.0, 8),
+        (510, 41, "prior", 1, 5, 19, 0.0, 41),
+        (511, -41, "train", 6, 1, 22, 9.5, 59),
+        (512, 41, "prior", 2, 6, 0, None, 41),
+        (None, 8, "test", 4, 0, 11, 12.0, 8),
     ]
     contract = Contract.named("silver/orders")
     assert [f.dataType for f in got.schema] == [f.dataType for f in contract.schema()]
-    assert [v.rule for v in contract.check(got)] == ["not_null"]
+    # Gaps that cannot be read are reported, not taken for a first order.
+    assert [(v.field, v.violations) for v in contract.check(got)] == [("order_id", 1), ("days_since_prior_order", 1)]
 
 
 def test_clean_lines_take_both_spellings(spark):
@@ -64,6 +68,17 @@ def test_products_keep_unknown_aisles_and_break_the_contract(spark):
     assert {(v.field, v.violations) for v in broken} == {("aisle_id", 1), ("aisle_name", 2)}
 
 
+def test_files_with_differing_headers_are_read_by_name(spark, tmp_path):
+    contract = Contract.named("bronze/order_products")
+    (tmp_path / "a.csv").write_text("order_id,product_id,add_to_cart_order,reordered\n1,5,2,0\n")
+    (tmp_path / "b.csv").write_text("product_id,reordered,order_id,add_to_cart_order,note\n6,1,3,4,\"x\ny\"\n")
+    with gzip.open(tmp_path / "c.csv.gz", "wt") as f:
+        f.write("PRODUCT_ID,order_id,reordered,add_to_cart_order\n7,8,0,1\n")
+    (tmp_path / "d.csv").write_text("")
+    got = t.read_csv(spark, str(tmp_path), contract)
+    assert rows(got) == [("1", "5", "2", "0"), ("3", "6", "4", "1"), ("8", "7", "1", "0")]
+
+
 def test_csv_by_name_by_position_and_with_extra_columns(spark, tmp_path):
     contract = Contract.named("bronze/orders")
     folder = tmp_path / "named"
@@ -125,6 +140,42 @@ def test_checked_write_replaces_only_with_good_rows(spark, tmp_path):
     assert t.write_checked(orders(spark, 0), path, contract) == 0
 
 
+@pytest.mark.parametrize("step", [1, 2, 3])
+def test_a_failed_publish_loses_no_table(spark, tmp_path, monkeypatch, step):
+    """The move of the old table, of the new one, or the driver itself fails."""
+    contract, path = Contract.named("silver/orders"), str(tmp_path / "silver/orders")
+    t.write_checked(orders(spark, 20), path, contract)
+    whole, calls = storage.move, []
+
+    def failing(session, source, target):
+        calls.append(target)
+        if step < 3 and len(calls) == step:
+            raise OSError("no rename today")
+        whole(session, source, target)
+        if step == 3:
+            raise SystemExit("the driver ends")
+
+    monkeypatch.setattr(storage, "move", failing)
+    with pytest.raises((OSError, SystemExit)):
+        t.write_checked(orders(spark, 30), path, contract)
+    monkeypatch.undo()
+    assert t.read_table(spark, path, contract).count() == 20
+    assert t.write_checked(orders(spark, 30), path, contract) == 30
+    assert t.read_table(spark, path, contract).count() == 30
+    assert [p.name for p in (tmp_path / "silver").iterdir()] == ["orders"]
+
+
+def test_checked_write_of_some_buckets(spark, tmp_path):
+    contract, path = Contract.named("silver/orders"), str(tmp_path / "silver/orders")
+    t.write_checked(orders(spark, 20), path, contract)
+    some = orders(spark, 40).filter("user_id = 1")
+    assert t.write_checked(some, path, contract, only_touched_partitions=True) == 8
+    assert t.read_table(spark, path, contract).count() == 16 + 8
+    with pytest.raises(ContractViolation):
+        t.write_checked(orders(spark, 40, number=0), path, contract, only_touched_partitions=True)
+    assert t.read_table(spark, path, contract).count() == 16 + 8
+
+
 def test_partition_overwrite_can_keep_other_buckets(spark, tmp_path):
     path = str(tmp_path / "o")
     assert t.write_table(orders(spark, 20), path, ["user_id_bucket"]) == 20
@@ -163,10 +214,10 @@ def test_whole_run_on_hand_made_files(spark, tmp_path, caplog):
     (public / "order_products").mkdir()
     (public / "orders/a.csv").write_text(
         "order_id,user_id,eval_set,order_number,order_dow,order_hour_of_day,days_since_prior_order\n"
-        "1,1,prior,1,2,8,\n2,1,prior,2,3,7,15.0\n3,1,train,3,0,23,4.0\n4,3,prior,1,6,0,\n4,3,prior,1,6,0,\n"
+        "71,1,prior,1,4,18,\n72,1,prior,2,5,20,6.5\n73,1,train,3,1,9,4.0\n74,3,prior,1,0,13,\n74,3,prior,1,0,13,\n"
     )
     (public / "order_products/a.csv").write_text(
-        "order_id,product_id,add_to_cart_order,reordered\n1,5,1,0\n2,5,3,1\n2,6,1,0\n4,5,1,0\n"
+        "order_id,product_id,add_to_cart_order,reordered\n71,5,1,0\n72,5,3,1\n72,6,1,0\n74,5,1,0\n"
     )
     for kind, bodies in {
         "product": [{"product_id": str(i), "product_name": f"p{i}", "aisle_id": "1", "department_id": "1"} for i in (5, 6)],
