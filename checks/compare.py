@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -15,6 +16,10 @@ from checks.oracle import ORACLE_SQL
 from checks.queries import QUERIES
 
 
+# Intermediate tables of a run; removed when it ends.
+SHARED = tempfile.TemporaryDirectory(prefix="larder-checks-")
+
+
 def local_session(cores: str = "8") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -23,6 +28,7 @@ def local_session(cores: str = "8") -> SparkSession:
         .config("spark.driver.memory", "6g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", SHARED.name)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -271,6 +271,12 @@ SELECTS = {
         SELECT 'user_id_bucket' AS field, 'present' AS rule, 'integer' AS expected,
                CAST(1 AS BIGINT) AS violations UNION ALL """
     + rule_table("bronze_orders", ORDER_RULES),
+    "lines_without_keys_set_aside": """
+        SELECT CASE WHEN n % 10 = 0 AND n % 14 = 0 THEN 'order_id is no id, product_id is no id'
+                    WHEN n % 10 = 0 THEN 'order_id is no id'
+                    WHEN n % 14 = 0 THEN 'product_id is no id' ELSE 'ok' END AS reason, count(*) AS n
+        FROM (SELECT CAST(product_id AS BIGINT) * 31 + CAST(order_id AS BIGINT) AS n FROM bronze_lines)
+        GROUP BY 1""",
     "contract_violations_dirty_orders": """
         SELECT 'user_id_bucket' AS field, 'present' AS rule, 'integer' AS expected,
                CAST(1 AS BIGINT) AS violations UNION ALL """

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks.driver_tables import DriverTables
 from larder.operators import quality as q
 from larder.operators.contract import Contract
 from larder.operators.dedupe import distinct_rows
@@ -14,7 +15,6 @@ from larder.operators.metrics import auc_by_rank, confusion
 from larder.operators.ranking import ranked_lists, top_k
 from larder.plans import gold, landing, medallion, model, silver
 from larder.sources import tables as t
-from larder.sources.driver_tables import DriverTables
 from larder.sources.storage import Scratch
 from larder.streaming import catalog_events, order_events
 
@@ -252,6 +252,23 @@ def contract_violations_orders(spark, folder):
     return Contract.named("silver/orders").rule_counts(bronze)
 
 
+def lines_without_keys_set_aside(spark, folder):
+    """Every 10th line loses its order id, every 14th its product id; kept and set-aside rows by reason."""
+    lake = Lake(spark, folder)
+    number = F.col("product_id").cast("long") * 31 + F.col("order_id").cast("long")
+    lines = lake.given.bronze_order_products("prior").withColumn("n", number).withColumns(
+        {
+            "order_id": F.when(F.col("n") % 10 == 0, "none").otherwise(F.col("order_id")),
+            "product_id": F.when(F.col("n") % 14 == 0, None).otherwise(F.col("product_id")),
+        }
+    )
+    aside = lake.scratch.path("aside")
+    kept = medallion.set_aside_bad_keys(lines, "order_products", aside)
+    apart = spark.read.parquet(f"{aside}/order_products")
+    both = kept.select(F.lit("ok").alias("reason")).unionAll(apart.select("reason"))
+    return both.groupBy("reason").agg(F.count("*").alias("n"))
+
+
 def contract_violations_dirty_orders(spark, folder):
     """Orders made to break every rule: some rows each."""
     number = F.col("order_id")
@@ -466,7 +483,7 @@ def stream_bad_rows(spark, folder):
 
 
 def user_order_timeline(spark, folder):
-    return gold.user_timeline(Lake(spark, folder).orders())
+    return gold.user_timeline(Lake(spark, folder).stored_orders())
 
 
 def user_product_stats(spark, folder):
@@ -587,6 +604,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         seed_load_skip_force,
         medallion_features,
         contract_violations_orders,
+        lines_without_keys_set_aside,
         contract_violations_dirty_orders,
         contract_violations_dirty_lines,
         contract_violations_lines,

@@ -19,18 +19,46 @@ from larder.sources.storage import Scratch
 log = logging.getLogger(__name__)
 
 
+# Integer keys without which a row of a table is set aside, if that is asked for.
+KEYS = {
+    "orders": ("order_id", "user_id"),
+    "order_products": ("order_id", "product_id"),
+    "order_products_train": ("order_id", "product_id"),
+    "products": ("product_id",),
+}
+
+
+def set_aside_bad_keys(rows: DataFrame, name: str, folder: str) -> DataFrame:
+    """The rows with readable keys; the others are written to ``folder`` as they came.
+
+    Done on the raw rows, before copies are dropped, so each bad row is kept and
+    counted for itself.
+    """
+    bad = F.lit(False)
+    for key in KEYS[name]:
+        bad |= F.col(key).try_cast("int").isNull()
+    reason = F.concat_ws(", ", *[F.when(F.col(k).try_cast("int").isNull(), f"{k} is no id") for k in KEYS[name]])
+    t.write_table(rows.filter(bad).withColumn("reason", reason), f"{folder}/{name}")
+    return rows.filter(~bad)
+
+
 def clean_and_write(
     name: str,
     sources: Sequence[DataFrame],
     clean: Callable[..., DataFrame],
     path: str,
     contract: Contract,
+    rejected: str | None = None,
 ) -> int:
     """Clean, check and write one table; log rows read, return rows written (A4, K2).
 
+    With ``rejected``, rows of the first source without readable keys go to that folder.
+
     Rows read are observed during the same job. They are for the log only: a task
     before a shuffle that has to run again counts its rows again.
     """
+    if rejected:
+        sources = [set_aside_bad_keys(sources[0], name, rejected), *sources[1:]]
     seen = [Observation() for _ in sources]
     counted = [df.observe(o, F.count(F.lit(1)).alias("rows")) for df, o in zip(sources, seen)]
     written = t.write_checked(clean(*counted), path, contract)
@@ -47,15 +75,21 @@ def _observed_rows(seen: Observation) -> str:
         return "unknown"
 
 
-def build_silver(spark: SparkSession, root: str, header: bool = True) -> dict[str, int]:
+def build_silver(
+    spark: SparkSession, root: str, header: bool = True, reject_bad_keys: bool = False
+) -> dict[str, int]:
     """Read, clean, check and write every Silver table; rows written per table.
 
+    ``reject_bad_keys`` sets rows without readable keys aside below ``silver_rejected``
+    instead of stopping the run on them.
+
     The first broken contract stops the run; tables written before it stay.
     Train labels are optional and pass the same check as the order lines.
     """
     orders, lines, products = (
         Contract.named(f"silver/{name}") for name in ("orders", "order_products", "products")
     )
+    aside = f"{root}/silver_rejected" if reject_bad_keys else None
     rows = {
         "orders": clean_and_write(
             "orders",
@@ -63,6 +97,7 @@ def build_silver(spark: SparkSession, root: str, header: bool = True) -> dict[st
             silver.clean_orders,
             f"{root}/{t.SILVER_ORDERS}",
             orders,
+            aside,
         ),
         "order_products": clean_and_write(
             "order_products",
@@ -70,6 +105,7 @@ def build_silver(spark: SparkSession, root: str, header: bool = True) -> dict[st
             silver.clean_order_products,
             f"{root}/{t.SILVER_ORDER_PRODUCTS}",
             lines,
+            aside,
         ),
         "products": clean_and_write(
             "products",
@@ -81,6 +117,7 @@ def build_silver(spark: SparkSession, root: str, header: bool = True) -> dict[st
             silver.build_products,
             f"{root}/{t.SILVER_PRODUCTS}",
             products,
+            aside,
         ),
     }
     train = t.read_bronze_order_products_train(spark, root, header)
@@ -93,6 +130,7 @@ def build_silver(spark: SparkSession, root: str, header: bool = True) -> dict[st
             silver.clean_order_products,
             f"{root}/{t.SILVER_ORDER_PRODUCTS_TRAIN}",
             lines,
+            aside,
         )
     return rows
 

@@ -250,6 +250,24 @@ def test_whole_run_on_hand_made_files(spark, tmp_path, caplog):
     assert medallion.silver_table(spark, root, "products").count() == 2
 
 
+def test_rows_without_keys_are_set_aside(spark, tmp_path):
+    bronze = spark.createDataFrame(
+        [("1", "5", "1", "0"), ("x", "6", "1", "0"), ("x", "7", "1", "0"), (None, "y", "2", "1"), ("2", "6", "1", "0")],
+        "order_id string, product_id string, add_to_cart_order string, reordered string",
+    )
+    contract, path = Contract.named("silver/order_products"), str(tmp_path / "lines")
+    with pytest.raises(ContractViolation):
+        medallion.clean_and_write("order_products", [bronze], silver.clean_order_products, path, contract)
+    aside = str(tmp_path / "rejected")
+    written = medallion.clean_and_write("order_products", [bronze], silver.clean_order_products, path, contract, aside)
+    assert written == 2
+    assert rows(spark.read.parquet(f"{aside}/order_products"), "order_id", "product_id", "reason") == [
+        (None, "y", "order_id is no id, product_id is no id"),
+        ("x", "6", "order_id is no id"),
+        ("x", "7", "order_id is no id"),
+    ]
+
+
 def test_a_run_without_products_writes_an_empty_table(spark, tmp_path):
     text = "product_id string, product_name string, aisle_id string, department_id string"
     products = spark.createDataFrame([("1", "Salt", "1", "1")], text).filter("product_id > '5'")
