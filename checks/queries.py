@@ -258,8 +258,8 @@ def lines_without_keys_set_aside(spark, folder):
     number = F.col("product_id").cast("long") * 31 + F.col("order_id").cast("long")
     lines = lake.given.bronze_order_products("prior").withColumn("n", number).withColumns(
         {
-            "order_id": F.when(F.col("n") % 10 == 0, "none").otherwise(F.col("order_id")),
-            "product_id": F.when(F.col("n") % 14 == 0, None).otherwise(F.col("product_id")),
+            "order_id": F.when(F.col("n") % 10 == 0, "none").otherwise(F.col("order_id").cast("string")),
+            "product_id": F.when(F.col("n") % 14 == 0, None).otherwise(F.col("product_id").cast("string")),
         }
     )
     aside = lake.scratch.path("aside")
