@@ -39,7 +39,7 @@ CHUNK = 1 << 14
 UNIT = 1000
 NEVER = -(1 << 60)
 UNKNOWN_PENALTY = 10
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 500_000
 LONGEST_KNOWN = 64
 WORDS = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
 
@@ -69,15 +69,21 @@ class Vocabulary:
         self.inside = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         # Whether a blank only ever opens a piece, so that texts fall into words there.
         self.by_words = not any(b[0] != BLANK and b[1] == BLANK for b in self.inside)
+        # Every start of a piece, with its score where it is a piece itself.
+        self.starts: dict[str, int | None] = {p[:k]: None for p in self.ids for k in range(1, len(p))}
+        self.starts.update(self.scores)
         self.known: dict[str, list[int]] = {}
+        self.word_scores: dict[str, int] = {}
 
     def edges(self, text: str, at: int):
         """(end, score) of each piece that starts at ``at``."""
-        scores = self.scores
-        if text[at] not in scores:
+        if text[at] not in self.scores:
             yield at + 1, self.unknown
+        starts = self.starts
         for end in range(at + 1, min(at + self.reach, len(text)) + 1):
-            score = scores.get(text[at:end])
+            score = starts.get(text[at:end], NEVER)
+            if score == NEVER:
+                break
             if score is not None:
                 yield end, score
 
@@ -115,14 +121,47 @@ class Vocabulary:
     def word(self, word: str) -> list[int]:
         ids = self.known.get(word)
         if ids is None:
-            _, origin = self.forward(word, {0: 0}, len(word))
-            ids, _ = self.trace(word, origin, len(word))
+            ids = self._short(word) if len(word) <= LONGEST_KNOWN else self._whole(word)
             if len(word) <= LONGEST_KNOWN:
                 if len(self.known) >= KNOWN_WORDS:
                     self.known = {}
                 self.known[word] = ids
         return ids
 
+    def _whole(self, word: str) -> list[int]:
+        _, origin = self.forward(word, {0: 0}, len(word))
+        return self.trace(word, origin, len(word))[0]
+
+    def _short(self, word: str) -> list[int]:
+        """The same as ``_whole``, with lists for dictionaries."""
+        starts, size, reach = self.starts, len(word), self.reach
+        best, origin = [NEVER] * (size + 1), [0] * (size + 1)
+        best[0] = 0
+        for at in range(size):
+            # Every character can be passed alone, so every place is reached.
+            here = best[at]
+            if word[at] not in self.scores and here + self.unknown > best[at + 1]:
+                best[at + 1], origin[at + 1] = here + self.unknown, at
+            for end in range(at + 1, min(at + reach, size) + 1):
+                score = starts.get(word[at:end], NEVER)
+                if score is None:
+                    continue
+                if score == NEVER:
+                    break
+                if here + score > best[end]:
+                    best[end], origin[end] = here + score, at
+        ids, end = [], size
+        while end:
+            piece = word[origin[end] : end]
+            number = self.ids.get(piece)
+            if number is None:
+                ids += reversed([self.bytes[b] for b in piece.encode()])
+            else:
+                ids.append(number)
+            end = origin[end]
+        ids.reverse()
+        return ids
+
     def encode(self, text: str) -> list[int]:
         """One pass over the whole text."""
         if not text:
@@ -173,10 +212,17 @@ class Vocabulary:
 
     def _score(self, text: str) -> int:
         """The best score of a text between two places that no piece crosses."""
-        total = 0
+        total, scores = 0, self.word_scores
+        if len(scores) > KNOWN_WORDS:
+            scores.clear()
         for word in WORDS.findall(text) if self.by_words else [text]:
-            best, _ = self.forward(word, {0: 0}, len(word))
-            total += best[len(word)]
+            score = scores.get(word)
+            if score is None:
+                best, _ = self.forward(word, {0: 0}, len(word))
+                score = best[len(word)]
+                if len(word) <= LONGEST_KNOWN:
+                    scores[word] = score
+            total += score
         return total
 
     def entered(self, text: str, size: int, entry: np.ndarray):
