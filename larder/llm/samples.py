@@ -15,6 +15,19 @@ def id_remainder(divisor: int) -> Column:
     return F.crc32(text.cast("binary")) % divisor
 
 
+def bounded(rows: DataFrame, key: Column, most: int, total: int) -> DataFrame:
+    """At most ``most`` of ``total`` rows, chosen by a hash of ``key``.
+
+    Few more than ``most`` rows leave their tasks, however many tasks there are.
+    """
+    cells = 1 << 30
+    if total > most:
+        # Four standard deviations more than are wanted, so that as good as always enough are there.
+        share = (most + 4 * most**0.5 + 4) / total
+        rows = rows.filter(F.pmod(F.xxhash64(key, F.lit(7)), F.lit(cells)) < int(share * cells) + 1)
+    return rows.limit(most)
+
+
 def labelled(docs: DataFrame, labels: DataFrame, label: str, usable: Column, rows: int = FIT_ROWS) -> DataFrame:
     """(label, text) of up to ``rows`` labelled documents, chosen by a hash of their id.
 

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larder.llm.samples import bounded
 from larder.llm.text import slices
 from larder.sources.storage import Scratch
 
@@ -104,7 +105,7 @@ def build_dictionary(pages: DataFrame) -> bytes:
     import zstandard
 
     some = pages.select("page_id", F.substring("html", 1, SAMPLE_BYTES).alias("html")).filter(F.length("html") > 0)
-    some = some.orderBy(F.xxhash64("page_id", "html"), "page_id").limit(SAMPLE_RECORDS).collect()
+    some = bounded(some, F.xxhash64("page_id", "html"), SAMPLE_RECORDS, pages.count()).collect()
     samples = [record(r.page_id, "", r.html.encode(), None, False) for r in some]
     try:
         size = min(DICTIONARY_BYTES, max(256, sum(map(len, samples)) // 8))
