@@ -29,7 +29,10 @@ END_TOKEN = 1
 GROUP = 4096
 # Sequence ids: group * GROUP_SPAN + number in the group; groups stay far below the span.
 GROUP_SPAN = 1 << 20
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 600_000
+# Stretches that are encoded in one call, and the mark between them.
+MARKED_WORDS = 2_000
+MARK = "|"
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -37,32 +40,45 @@ class WordEncoder:
     """Token ids of whole texts, each distinct stretch between blanks encoded once.
 
     The tokenizer never joins across white space, so cutting at some of it changes
-    nothing.
+    nothing. New stretches are encoded many at a time, with a mark between them
+    that has one token of its own; those that hold the mark go one by one. Ids are
+    kept as bytes, so a text is put together by one join.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
+        self.mark = self._ids([MARK])[0]
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4") for e in found]
+
+    def _learn(self, words: list[str]) -> None:
+        alone = [w for w in words if MARK in w or len(self.mark) != 1]
+        together = [w for w in words if MARK not in w] if len(self.mark) == 1 else []
+        for w, ids in zip(alone, self._ids(alone)):
+            self.known[w] = ids.tobytes()
+        for start in range(0, len(together), MARKED_WORDS):
+            some = together[start : start + MARKED_WORDS]
+            (ids,) = self._ids([f" {MARK} ".join(some)])
+            ends = [*np.flatnonzero(ids == self.mark[0]).tolist(), len(ids)]
+            data, at = ids.tobytes(), 0
+            for w, end in zip(some, ends, strict=True):
+                self.known[w] = data[4 * at : 4 * end]
+                at = end + 1
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [t.replace("\n", " ").split(" ") for t in texts]
-        new = {w for words in cut for w in words} - self.known.keys()
+        every = set().union(*cut)
+        new = every - self.known.keys()
         if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known = {}
-            new = {w for words in cut for w in words}
-        words = list(new)
-        for w, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
-            self.known[w] = e.ids
-        out = []
-        for words in cut:
-            ids: list[int] = []
-            for part in map(self.known.__getitem__, words):
-                ids += part
-            ids.append(END_TOKEN)
-            out.append(np.array(ids, "<u4"))
-        return out
+            self.known, new = {}, every
+        self._learn(list(new))
+        end = END_TOKEN.to_bytes(4, "little")
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, words)) + end, "<u4") for words in cut]
 
 
 def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
