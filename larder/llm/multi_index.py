@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larder.llm.samples import bounded
 from larder.sources.storage import Scratch
 
 NEIGHBOURS = 5
@@ -133,7 +134,7 @@ def cosines(query: np.ndarray, others: np.ndarray) -> np.ndarray:
 
 def build(entries: DataFrame, rows: int, scratch: Scratch) -> tuple[MultiIndex, DataFrame]:
     """The index, and every entry with its cell."""
-    sample = entries.orderBy(F.xxhash64("v"), "v").limit(FIT_ROWS).select("v").toArrow()
+    sample = bounded(entries.select("v"), F.xxhash64("v"), FIT_ROWS, rows).orderBy("v").toArrow()
     x = unit(matrix(sample.column("v")))
     count = max(1, min(MOST_CENTROIDS, len(x) // 4, math.ceil(math.sqrt(rows / CELL_ROWS))))
     cut = max(1, x.shape[1] // 2)
@@ -163,7 +164,7 @@ def top(scores: np.ndarray, least_ids: np.ndarray, keep: int) -> np.ndarray:
 
 def enough_to_see(index: MultiIndex, placed: DataFrame, queries: DataFrame, keep: int, aim: float) -> int:
     """How many vectors a walk has to see to meet ``aim`` of the true neighbours of a bounded sample of queries."""
-    some = queries.orderBy(F.xxhash64("v"), "v").limit(MEASURED_QUERIES).select("v").toArrow()
+    some = bounded(queries.select("v"), F.xxhash64("v"), MEASURED_QUERIES, queries.count()).orderBy("v").toArrow()
     if not some.num_rows:
         return 1
     asked = matrix(some.column("v"))
@@ -214,25 +215,31 @@ def neighbours(vectors: DataFrame, every: int, scratch: Scratch, keep: int = NEI
                 continue
             first, second = index.distances(unit(matrix(batch.column("v"))))
             for k in range(batch.num_rows):
-                cells = [cell for cell, _ in index.walk(first[k], second[k], enough)]
-                one = batch.slice(k, 1).take(pa.array(np.zeros(len(cells), np.int64)))
-                yield pa.RecordBatch.from_arrays([*one.columns, pa.array(cells, pa.int64())], ["q", "v", "cell"])
+                cells = np.sort([cell for cell, _ in index.walk(first[k], second[k], enough)])
+                group = cells % groups
+                order = np.argsort(group, kind="stable")
+                names, starts = np.unique(group[order], return_index=True)
+                one = batch.slice(k, 1).take(pa.array(np.zeros(len(names), np.int64)))
+                lists = pa.ListArray.from_arrays(pa.array([*starts, len(cells)], pa.int32()), pa.array(cells[order]))
+                yield pa.RecordBatch.from_arrays([*one.columns, pa.array(names, pa.int64()), lists], ["q", "v", "group", "cells"])
 
     def compare(table):
         asks = table.column("asks").to_numpy(zero_copy_only=False)
-        x, q = matrix(table.column("v")), table.column("q").to_numpy(zero_copy_only=False)
-        ids = table.column("ids").to_pylist()
-        entry, least = np.flatnonzero(~asks), None
-        least = np.array([ids[i][0] for i in entry], np.int64)
-        others = x[entry]
-        units = unit(others) if len(entry) else others
+        x, cells = matrix(table.column("v")), table.column("cells").to_pylist()
+        entry, asking = np.flatnonzero(~asks), np.flatnonzero(asks)
         out_q, out_id, out_score = [], [], []
-        for k in np.flatnonzero(asks) if len(entry) else []:
-            rough = units @ unit(x[k : k + 1])[0]
-            for i in top(rough, least, keep + 1):
-                out_q.append(q[k])
-                out_id.append(ids[entry[i]])
-                out_score.append(cosines(x[k], others[i : i + 1])[0])
+        if len(entry) and len(asking):
+            q, ids = table.column("q").to_numpy(zero_copy_only=False), table.column("ids").to_pylist()
+            least = np.array([ids[i][0] for i in entry], np.int64)
+            known, place = np.unique([cells[i][0] for i in entry], return_inverse=True)
+            rough = unit(x[asking]) @ unit(x[entry]).T
+            for row, k in zip(rough, asking):
+                visited = np.isin(known, cells[k])[place]
+                some = np.flatnonzero(visited)
+                for i in some[top(row[some], least[some], keep + 1)]:
+                    out_q.append(q[k])
+                    out_id.append(ids[entry[i]])
+                    out_score.append(cosines(x[k], x[entry[i]][None, :])[0])
         return pa.table(
             {
                 "q": pa.array(np.array(out_q, np.int64)),
@@ -241,24 +248,27 @@ def neighbours(vectors: DataFrame, every: int, scratch: Scratch, keep: int = NEI
             }
         )
 
-    counts = placed.groupBy("cell").count()
-    slots = F.ceil(F.col("count") / BLOCK_ROWS).cast("int")
-    held = placed.join(counts.select("cell", slots.alias("slots")), "cell").select(
-        "cell", F.pmod(F.xxhash64("v"), "slots").cast("int").alias("slot"), F.lit(0).cast("long").alias("q"), "v", "ids", F.lit(False).alias("asks")
-    )
-    routed = scratch.stage(queries.select("q", "v").mapInArrow(routes, "q long, v array<double>, cell long"), "routed")
-    groups = routed.groupBy("cell").count().select("cell", F.ceil(F.col("count") / BLOCK_QUERIES).cast("int").alias("groups"))
-    # Queries of a cell are dealt into groups; each group meets every slot of the cell.
-    parts = counts.select("cell", slots.alias("slots")).join(groups, "cell")
-    asking = routed.join(parts, "cell").select(
-        "cell", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"), "q", "v",
+    # Cells are gathered into groups of about BLOCK_ROWS vectors. A group beyond that is dealt into
+    # slots, and its queries into sets; each set meets each slot.
+    groups = 1 + total // BLOCK_ROWS
+    group = F.pmod("cell", F.lit(groups))
+    routed = queries.select("q", "v").mapInArrow(routes, "q long, v array<double>, group long, cells array<long>")
+    routed = scratch.stage(routed, "routed")
+    slots = placed.groupBy(group.alias("group")).agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("slots"))
+    sets = routed.groupBy("group").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("sets"))
+    parts = slots.join(sets, "group")
+    slot, every_slot = F.pmod(F.xxhash64("v"), "slots").cast("int"), F.explode(F.sequence(F.lit(0), F.col("slots") - 1))
+    own_set, every_set = F.pmod(F.xxhash64("q"), "sets").cast("int"), F.explode(F.sequence(F.lit(0), F.col("sets") - 1))
+    asking = routed.join(parts, "group").select(
+        "group", every_slot.alias("slot"), own_set.alias("set"), "q", "v", "cells",
         F.array().cast("array<long>").alias("ids"), F.lit(True).alias("asks"),
-        F.pmod(F.xxhash64("q"), "groups").cast("int").alias("group"),
     )
-    holding = held.join(parts.select("cell", "groups"), "cell").select(
-        "cell", "slot", "q", "v", "ids", "asks", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group")
+    holding = placed.withColumn("group", group).join(parts, "group").select(
+        "group", slot.alias("slot"), every_set.alias("set"), F.lit(0).cast("long").alias("q"), "v",
+        F.array("cell").alias("cells"), "ids", F.lit(False).alias("asks"),
     )
-    found = asking.unionByName(holding).groupBy("cell", "slot", "group").applyInArrow(compare, "q long, ids array<long>, score double")
+    met = asking.unionByName(holding).groupBy("group", "slot", "set")
+    found = met.applyInArrow(compare, "q long, ids array<long>, score double")
     best = found.groupBy("q").agg(F.collect_list(F.struct((-F.col("score")).alias("far"), "ids")).alias("best"))
     ordered = F.flatten(
         F.transform("best", lambda b: F.transform(b["ids"], lambda i: F.struct(b["far"].alias("far"), i.alias("vec_id"))))
