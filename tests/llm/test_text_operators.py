@@ -502,3 +502,32 @@ def test_lines_on_odd_rows(spark, docs):
     assert texts[0] == documents()[0][1] and texts[12] == "" and texts[19] is None
     assert sum(r.text == documents()[0][1] for r in got if r.doc_id == 0) == 2
     assert all(r.n_chars == len(r.text) for r in got if r.text is not None and r.n_chars is not None)
+
+
+def test_short_and_unspaced_lines_equal_all_pairs(spark):
+    """Repeats and pairs of edit similarity, whatever their bits, if one line has fewer than five words."""
+    unspaced = "".join(chr(0x4E00 + 37 * k % 900) for k in range(60))
+    lines = [
+        "All rights reserved.", "Les.", "ALL RIGHTS RESERVED", "All right reserved", "Les", "---", "",
+        unspaced, unspaced[:30] + "x" + unspaced[31:], unspaced[::-1], "a b c d e f g h i", "abcd e f g h i",
+        "Read more", "Read mores", "Reed more here now please", "Go", "Do", "Chapter 12", "Chapter 34",
+    ]
+    dice = random.Random(4)
+    rows = [(k, "\n".join(dice.choices(lines, k=4))) for k in range(40)]
+    places = defaultdict(list)
+    for k, text in rows:
+        for n, line in enumerate(text.split("\n")):
+            places[line_dedup.normal_line(line)].append((k, n))
+    places.pop("")
+    root = {line: line for line in places}
+    for a in places:
+        for b in places:
+            if min(len(a.split()), len(b.split())) < 5 and levenshtein(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9:
+                root = {line: root[a] if r == root[b] else r for line, r in root.items()}
+    groups = defaultdict(list)
+    for line, r in root.items():
+        groups[r] += places[line]
+    gone = {p for g in groups.values() for p in g if p != min(g)}
+    wanted = {k: "\n".join(x for n, x in enumerate(t.split("\n")) if (k, n) not in gone) for k, t in rows}
+    got = line_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark))
+    assert {r.doc_id: r.text for r in got.collect()} == wanted and len(groups) < len(places)
