@@ -35,7 +35,8 @@ def tokenizer_file(name: str) -> str:
 
 def op1_maxplus_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     model = tokenizer_file("piece_bpe_32k.model")
-    return sentencepiece_scan.round_trips(table(spark, folder, "documents"), model, Scratch(spark))
+    merged = sentencepiece_scan.MergedVocabulary
+    return sentencepiece_scan.round_trips(table(spark, folder, "documents"), model, Scratch(spark), kind=merged)
 
 
 def op2_inverted_multi_index(spark: SparkSession, folder: str) -> DataFrame:

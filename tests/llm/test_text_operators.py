@@ -111,6 +111,25 @@ def test_round_trips_of_giants_and_all_rows(spark, docs, nothing):
     assert sentencepiece_scan.round_trips(nothing, PIECES, Scratch(spark)).count() == 0
 
 
+def test_ids_of_a_merged_model_are_those_of_the_library(spark):
+    from sentencepiece import SentencePieceProcessor
+
+    library = SentencePieceProcessor(model_file=PIECES)
+    texts = [t or "" for _, t, *_ in documents()]
+    texts += ["the information  of the basket ", " ", "▁a▁▁b " * 40, "Zug nach Köln\n\U0001f600猫é" * 30, "猫の基本情報" * 90, "abcdefgh" * 100]
+    rows = list(enumerate(texts))
+    wanted = {}
+    for k, text in rows:
+        ids = library.encode(text)
+        wanted[k] = (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), library.decode(ids) == text and "▁" not in text)
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    for giant in (sentencepiece_scan.GIANT, 100):
+        got = sentencepiece_scan.round_trips(
+            table, PIECES, Scratch(spark), giant=giant, chunk=64, kind=sentencepiece_scan.MergedVocabulary
+        )
+        assert {r.doc_id: (r.n_ids, r.ids_crc32, r.decoded_equal) for r in got.collect()} == wanted
+
+
 # ---- 4 and 7: classifiers ----
 
 
