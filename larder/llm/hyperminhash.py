@@ -10,7 +10,8 @@ pairs are confirmed on their full sets.
 Defined results: NULL, empty or blank texts have no set and are linked with
 nothing; texts of fewer than five words have their whole word sequence as only
 element; rows with equal sets are linked; a NULL ``doc_id`` sorts after all others.
-Repeated rows are in one group, and all copies of its smallest id are kept.
+Repeated rows are in one group; ``near_duplicates`` marks all copies of its smallest id,
+``one_of_each`` keeps one of them.
 """
 
 from __future__ import annotations
@@ -108,7 +109,7 @@ def corrected(same: np.ndarray, used: np.ndarray, n: np.ndarray, m: np.ndarray)
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, digest of the set, sketch (registers and size) and band keys."""
+    """doc_id, hash of the text, n_shingles, digest of the set, sketch (registers and size) and band keys."""
 
     def run(batches):
         for batch in batches:
@@ -126,16 +127,18 @@ def sketches(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
+                        part.column("text_key"),
                         pa.array(sizes, pa.int64()),
                         pa.array(digests, pa.binary()),
                         pa.array(kept, pa.binary()),
                         pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.array(flat)),
                     ],
-                    ["doc_id", "n_shingles", "digest", "sketch", "keys"],
+                    ["doc_id", "text_key", "n_shingles", "digest", "sketch", "keys"],
                 )
 
-    columns = "doc_id long, n_shingles long, digest binary, sketch binary, keys array<long>"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, columns)
+    columns = "doc_id long, text_key long, n_shingles long, digest binary, sketch binary, keys array<long>"
+    keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text")
+    return keyed.mapInArrow(run, columns)
 
 
 def likely(threshold: float):
@@ -236,7 +239,7 @@ def enough_shared(percent: int):
 
 
 def near_groups(docs: DataFrame, scratch: Scratch, percent: int = 80) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id.
+    """One row per document: doc_id, text_key, n_shingles, component_id, root (one per group; NULL without a set).
 
     Documents are linked when 100 * |A ∩ B| >= percent * |A ∪ B|. Equal sets are
     folded before anything is compared. A pair at the threshold shares none of the
@@ -265,11 +268,11 @@ def near_groups(docs: DataFrame, scratch: Scratch, percent: int = 80) -> DataFra
     )
     rooted = scratch.stage(rooted, "rooted")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("digest", "component_id")
+    named = rooted.join(least, "root").select("digest", "component_id", "root")
     # Documents without a set have no row in ``named``.
     alone = F.when(F.col("n_shingles") == 0, F.col("doc_id"))
-    return sketched.select("doc_id", "n_shingles", "digest").join(named, "digest", "left").select(
-        "doc_id", "n_shingles", alone.otherwise(F.col("component_id")).alias("component_id")
+    return sketched.select("doc_id", "text_key", "n_shingles", "digest").join(named, "digest", "left").select(
+        "doc_id", "text_key", "n_shingles", "root", alone.otherwise(F.col("component_id")).alias("component_id")
     )
 
 
@@ -315,6 +318,19 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, percent: int = 80) -> Dat
 
 
 def one_of_each(docs: DataFrame, scratch: Scratch, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their group, all columns as they were."""
-    dropped = near_duplicates(docs, scratch, percent).filter("NOT kept").select(F.col("doc_id").alias("_dropped"))
-    return docs.join(dropped, F.col("doc_id").cast("long") == F.col("_dropped"), "left_anti")
+    """One row of ``docs`` for each group, of its smallest id, all columns as they were; rows without a set stay.
+
+    Rows are told apart by id and text, as an id may stand on differing texts.
+    """
+    grouped = near_groups(docs, scratch, percent).filter("root IS NOT NULL")
+    places = scratch.stage(grouped.groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("n")), "places")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
+    stays = places.groupBy("root").agg(F.min(order).alias("stays"))
+    kept = order.eqNullSafe(F.col("stays"))
+    # Only rows that go, or stand several times, have a mark.
+    marks = places.join(stays, "root").filter(~kept | (F.col("n") > 1)).select(
+        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), kept.alias("_kept")
+    )
+    met = docs.join(marks, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_key")), "left")
+    once = met.filter("_kept").dropDuplicates(["_id", "_key"])
+    return met.filter("_kept IS NULL").union(once).select(*docs.columns)

@@ -322,6 +322,14 @@ def test_one_of_each_keeps_columns(spark, docs):
     assert 0 in ids and 12 not in ids and 13 not in ids and None in ids
 
 
+def test_one_of_each_tells_rows_of_one_id_apart(spark):
+    a, b = prose(501, 80), prose(502, 80)
+    rows = [(1, a), (2, a + " extra"), (2, b), (3, b), (3, b), (4, prose(503, 80)), (4, prose(503, 80)), (5, ""), (5, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = hyperminhash.one_of_each(table, Scratch(spark)).collect()
+    assert Counter(map(tuple, got)) == Counter([(1, a), (2, b), (4, prose(503, 80)), (5, ""), (5, "")])
+
+
 # ---- 6: exact duplicates ----
 
 
