@@ -253,7 +253,7 @@ def fit_detector(docs: DataFrame, labels: DataFrame, usable: Column, rows: int =
     terms = [r.word for r in strong.orderBy(F.desc(ratio), "word").select("word").limit(TERMS).collect()]
     finder = Detector(terms)
     usual = sample.filter("label = 0").mapInArrow(_near_words(finder), "word string").distinct()
-    ordinary = frozenset(r.word for r in usual.orderBy("word").limit(rows).collect())
+    ordinary = frozenset(r.word for r in usual.collect())
     detector = Detector(terms, ordinary)
 
     def run(batches):

@@ -239,6 +239,16 @@ def test_misspelled_and_quoted_terms():
     assert score("“blockhead” he wrote") < 0.5
 
 
+def test_all_ordinary_words_are_known(spark):
+    rows, labels = labelled_rows()
+    near = sorted({"blockhead"[:k] + x + "blockhead"[k + j :] for k in range(1, 9) for j in (0, 1) for x in "abcdefghijklmnopqrstuvwxyz"} - {"blockhead"})
+    docs = spark.createDataFrame(rows + [(k, " ".join(near[k % 8 :: 8])) for k in range(1000, 1040)], "doc_id long, text string")
+    labels = spark.createDataFrame([x for x in labels if x[0] is not None] + [(k, 1, 0) for k in range(1000, 1040)], "doc_id long, quality int, toxic int")
+    detector = toxicity.fit_detector(docs, labels, F.lit(True), rows=345)
+    assert detector.lexicon.nearest("blockhead") == ("blockhead", 0)
+    assert len(detector.ordinary & set(near)) > 345
+
+
 # ---- 5: near duplicates ----
 
 
