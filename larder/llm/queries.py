@@ -18,6 +18,7 @@ from larder.llm import (
     sharding,
     toxicity,
     warc,
+    whitening,
 )
 from larder.sources.storage import Scratch
 
@@ -87,6 +88,10 @@ def op10_fuzzy_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_bit_sliced_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_maxplus_sentencepiece": op1_maxplus_sentencepiece,
     "op2_inverted_multi_index": op2_inverted_multi_index,
@@ -98,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minimax_sharding": op8_minimax_sharding,
     "op9_first_fit_packing": op9_first_fit_packing,
     "op10_fuzzy_line_dedup": op10_fuzzy_line_dedup,
+    "op12_bit_sliced_whitening": op12_bit_sliced_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {
