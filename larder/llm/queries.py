@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from larder.llm import (
     boosted_trees,
     exact_dedup,
+    filter_audit,
     hyperminhash,
     line_dedup,
     multi_index,
@@ -92,6 +93,10 @@ def op12_bit_sliced_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whitened(table(spark, folder, "embeddings"))
 
 
+def op13_filter_interaction_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_maxplus_sentencepiece": op1_maxplus_sentencepiece,
     "op2_inverted_multi_index": op2_inverted_multi_index,
@@ -104,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_first_fit_packing": op9_first_fit_packing,
     "op10_fuzzy_line_dedup": op10_fuzzy_line_dedup,
     "op12_bit_sliced_whitening": op12_bit_sliced_whitening,
+    "op13_filter_interaction_audit": op13_filter_interaction_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -151,4 +157,52 @@ ORACLE_SQL: dict[str, str] = {
             FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
         )
     """,
+    "op13_filter_interaction_audit": r"""
+        WITH words AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), failures AS (
+            SELECT doc_id, part,
+                CASE WHEN len(w) < 100 THEN 'A' ELSE '' END
+                || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+                || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END
+                || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+                || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS failed
+            FROM words
+        ), marked AS (
+            SELECT f.*, l.good, l.toxic
+            FROM failures f LEFT JOIN (
+                SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+            ) l USING (doc_id)
+        ), letters AS (
+            SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l
+        ), orders AS (
+            SELECT a.l || b.l || c.l || d.l || e.l AS filter_order
+            FROM letters a, letters b, letters c, letters d, letters e
+            WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5
+        ), steps AS (
+            SELECT filter_order, step, filter_order[step] AS letter,
+                filter_order[1 : step - 1] AS earlier, filter_order[1 : step] AS so_far
+            FROM orders, unnest([1, 2, 3, 4, 5]) AS s(step)
+        ), seen AS (
+            SELECT m.part, s.filter_order, s.step, s.letter, m.failed, m.good, m.toxic,
+                translate(earlier, failed, '') = earlier AS came,
+                translate(so_far, failed, '') = so_far AS stays,
+                contains(failed, letter) AS fails
+            FROM marked m, steps s
+        ), report AS (
+            SELECT part, filter_order, step, letter,
+                count(*) FILTER (stays) AS kept,
+                count(*) FILTER (came AND fails) AS removed,
+                count(*) FILTER (fails AND NOT came) AS redundant,
+                count(*) FILTER (failed = letter) AS unique_fails,
+                count(*) FILTER (came AND fails AND good = 1) AS good_lost,
+                count(*) FILTER (came AND fails AND toxic = 1) AS toxic_lost
+            FROM seen GROUP BY ALL
+        )
+        SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+            (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+        FROM report
+    """,
 }
