@@ -175,7 +175,7 @@ def split_branches(docs: DataFrame, heavy: list[bytes]) -> dict[bytes, list[Bran
         F.sum("weight").alias("weight"), F.min("prefix").alias("first"), F.max("prefix").alias("last")
     )
     below: dict[bytes, list[Branch]] = {prefix: [] for prefix in heavy}
-    for row in sums.toLocalIterator():
+    for row in sums.collect():
         first, last = bytes(row["first"]), bytes(row["last"])
         prefix = first[: shared(first, last)]
         below[heavy[row["k"]]].append(Branch(prefix, row["weight"], len(row["branch"]) < BRANCH))
