@@ -133,10 +133,12 @@ class Branch:
     ends: bool
 
 
-def split_branches(docs: DataFrame, heavy: list[bytes]) -> dict[bytes, list[Branch]]:
+def split_branches(docs: DataFrame, heavy: list[bytes], fair: int) -> dict[bytes, list[Branch]]:
     """The branches below each of the heavy ones, from all texts.
 
     At most 65,536 branches a heavy one, and there are no more heavy ones than ranges.
+    What the texts of a branch share beyond its own bytes is asked for only where the
+    branch weighs more than ``fair``, and so will be split.
     """
     heavy = sorted(heavy)
 
@@ -175,24 +177,29 @@ def split_branches(docs: DataFrame, heavy: list[bytes]) -> dict[bytes, list[Bran
         F.sum("weight").alias("weight"), F.min("prefix").alias("first"), F.max("prefix").alias("last")
     )
     below: dict[bytes, list[Branch]] = {prefix: [] for prefix in heavy}
-    for row in sums.collect():
-        first, last = bytes(row["first"]), bytes(row["last"])
-        prefix = first[: shared(first, last)]
+    is_heavy = F.col("weight") > fair
+    short = sums.select("k", "branch", "weight", *[F.when(is_heavy, F.col(c)).alias(c) for c in ("first", "last")])
+    for row in short.collect():
+        prefix = heavy[row["k"]] + bytes(row["branch"])
+        if row["first"] is not None:
+            first, last = bytes(row["first"]), bytes(row["last"])
+            prefix = first[: shared(first, last)]
         below[heavy[row["k"]]].append(Branch(prefix, row["weight"], len(row["branch"]) < BRANCH))
     return below
 
 
 def range_starts(docs: DataFrame, ranges: int) -> list[bytes]:
     """Where each range but the first begins, so that ranges hold about equal bytes."""
-    branches = split_branches(docs, [b""])[b""]
-    total = sum(b.weight for b in branches)
+    weight = F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(ROW_BYTES)
+    total = docs.agg(F.sum(weight).alias("total")).first()["total"] or 0
     ranges = max(ranges, -(-total // RANGE_BYTES))
     fair = total // (2 * ranges) + 1
+    branches = split_branches(docs, [b""], fair)[b""]
     for _ in range(LEVELS):
         heavy = {b.prefix: b for b in branches if b.weight > fair and not b.ends}
         if not heavy:
             break
-        below = split_branches(docs, list(heavy))
+        below = split_branches(docs, list(heavy), fair)
         branches = [b for b in branches if b.prefix not in heavy] + [b for found in below.values() for b in found]
     starts, filled = [], 0
     for b in sorted(branches, key=lambda b: b.prefix):
