@@ -15,6 +15,7 @@ from larder.llm import (
     line_dedup,
     multi_index,
     packing,
+    personal_data,
     sentencepiece_scan,
     sharding,
     toxicity,
@@ -89,6 +90,10 @@ def op10_fuzzy_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_bilstm_crf_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data.personal_data(table(spark, folder, "documents"))
+
+
 def op12_bit_sliced_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whitened(table(spark, folder, "embeddings"))
 
@@ -108,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minimax_sharding": op8_minimax_sharding,
     "op9_first_fit_packing": op9_first_fit_packing,
     "op10_fuzzy_line_dedup": op10_fuzzy_line_dedup,
+    "op11_bilstm_crf_personal_data": op11_bilstm_crf_personal_data,
     "op12_bit_sliced_whitening": op12_bit_sliced_whitening,
     "op13_filter_interaction_audit": op13_filter_interaction_audit,
 }
