@@ -116,7 +116,7 @@ def products_distinct(spark, folder):
     lake = Lake(spark, folder)
     path = lake.scratch.path("products")
     t.write_table(lake.products(), path)
-    back = spark.read.parquet(path)
+    back = t.read_stored(spark, path)
     return distinct_rows(back, back.columns)
 
 
@@ -230,7 +230,7 @@ def seed_load_skip_force(spark, folder):
         [(seed, False), (lake.orders(), False), (lake.orders(), True)], start=1
     ):
         loaded = landing.seed_table(rows, target, force)
-        steps.append((step, loaded, spark.read.parquet(target).count()))
+        steps.append((step, loaded, t.read_stored(spark, target).count()))
     return _rows(spark, steps, "step int, loaded boolean, n long")
 
 
@@ -264,7 +264,7 @@ def lines_without_keys_set_aside(spark, folder):
     )
     aside = lake.scratch.path("aside")
     kept = medallion.set_aside_bad_keys(lines, "order_products", aside)
-    apart = spark.read.parquet(f"{aside}/order_products")
+    apart = t.read_stored(spark, f"{aside}/order_products")
     both = kept.select(F.lit("ok").alias("reason")).unionAll(apart.select("reason"))
     return both.groupBy("reason").agg(F.count("*").alias("n"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from larder.operators.quality import reconcile
-from larder.sources.tables import is_missing_path
+from larder.sources.tables import is_missing_path, read_stored, write_table
 
 # The catalog event types that are accepted.
 EVENT_TYPES = ("aisle", "department", "product")
@@ -117,7 +117,7 @@ def reconcile_load(
 def is_populated(spark: SparkSession, path: str) -> bool:
     """The table exists and has a row."""
     try:
-        return not spark.read.parquet(path).isEmpty()
+        return not read_stored(spark, path).isEmpty()
     except AnalysisException as error:
         if is_missing_path(error) or error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return False
@@ -127,9 +127,9 @@ def is_populated(spark: SparkSession, path: str) -> bool:
 def seed_table(df: DataFrame, path: str, force: bool = False) -> bool:
     """Load a table unless it has rows; ``force`` replaces them.
 
-    Returns whether rows were loaded.
+    Returns whether rows were loaded. Should the load fail, the rows before it stay.
     """
     if not force and is_populated(df.sparkSession, path):
         return False
-    df.write.mode("overwrite").parquet(path)
+    write_table(df, path)
     return True

@@ -1,4 +1,4 @@
-"""The shared folder for intermediate tables, and directory moves.
+"""The shared folder for intermediate tables, and steps on folders.
 
 Intermediate tables are written to the folder the cluster names in
 ``spark.checkpoint.dir``. They outlive lost executors, are computed once however
@@ -42,62 +42,24 @@ def shared_folder(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
 def delete(spark: SparkSession, path: str) -> None:
-    fs, target = _file_system(spark, path)
+    fs, target = file_system(spark, path)
     fs.delete(target, True)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, target = _file_system(spark, path)
+    fs, target = file_system(spark, path)
     return fs.exists(target)
 
 
-def children(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders in a folder."""
-    fs, target = _file_system(spark, path)
+def children(spark: SparkSession, path: str, missing: bool = False) -> list[str]:
+    """Names of the folders in a folder; with ``missing``, none where there is no such folder."""
+    fs, target = file_system(spark, path)
+    if missing and not fs.exists(target):
+        return []
     return [s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory()]
-
-
-def move(spark: SparkSession, source: str, target: str) -> None:
-    fs, to = _file_system(spark, target)
-    fs.mkdirs(to.getParent())
-    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(source), to):
-        raise OSError(f"could not move {source} to {target}")
-
-
-def previous(path: str) -> str:
-    """Where a table stands while its replacement is moved in."""
-    return f"{path.rstrip('/')}-previous"
-
-
-def restore(spark: SparkSession, path: str) -> None:
-    """Finish what a driver left that ended while it replaced ``path``."""
-    if not exists(spark, path) and exists(spark, previous(path)):
-        move(spark, previous(path), path)
-
-
-def replace_directory(spark: SparkSession, new: str, path: str) -> None:
-    """Put the finished directory ``new`` in the place of ``path``.
-
-    The old table is set aside and deleted last. If the new one cannot be moved in,
-    the old one is moved back; if the driver ends in between, ``restore`` does so
-    before the next read or write. At no time are both gone.
-    """
-    restore(spark, path)
-    aside = previous(path)
-    delete(spark, aside)
-    old = exists(spark, path)
-    if old:
-        move(spark, path, aside)
-    try:
-        move(spark, new, path)
-    except BaseException:
-        if old:
-            move(spark, aside, path)
-        raise
-    delete(spark, aside)

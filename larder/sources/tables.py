@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import csv
-import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -13,7 +12,7 @@ from pyspark.sql import types as T
 
 from larder.functions.columns import bucket_of
 from larder.operators.contract import Contract, ContractViolation
-from larder.sources.storage import children, delete, replace_directory, restore
+from larder.sources import versions
 
 # Folders of each table below the lake's root.
 BRONZE_ORDERS = "bronze/historical/public/orders"
@@ -194,8 +193,15 @@ def read_database_table(
 
 def read_table(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
     """A Silver or Gold table, with its declared schema."""
-    restore(spark, path)
-    return spark.read.schema(contract.schema()).parquet(path)
+    return read_stored(spark, path, contract.schema())
+
+
+def read_stored(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A table as the writers of this module publish it, or a plain folder of Parquet files."""
+    if versions.is_versioned(spark, path):
+        return versions.read(spark, path, schema)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 def in_bucket(id_column: str, bucket_column: str, value: int) -> Column:
@@ -232,24 +238,30 @@ def write_table(
     partition_by: Sequence[str] = (),
     only_touched_partitions: bool = False,
 ) -> int:
-    """K1, K2, K3, K8: overwrite a Parquet table and return the rows written.
+    """K1, K2, K3, K8: replace a Parquet table and return the rows written.
 
     ``only_touched_partitions`` leaves buckets without new rows as they are.
     """
-    out, seen = _counted(balanced(df, partition_by), None)
-    writer = out.write.mode("overwrite").partitionBy(*partition_by)
-    if only_touched_partitions:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
-    return seen.get["rows"]
+    return _replaced(df, path, partition_by, None, only_touched_partitions)["rows"]
 
 
-def _buckets(spark: SparkSession, path: str, depth: int) -> list[str]:
-    """Partition folders below ``path``; a table has a bounded number of buckets."""
-    found = [""]
-    for _ in range(depth):
-        found = [f"{b}/{c}".lstrip("/") for b in found for c in children(spark, f"{path}/{b}") if "=" in c]
-    return found
+def _replaced(
+    df: DataFrame, path: str, partition_by: Sequence[str], contract: Contract | None, only_touched: bool
+) -> dict[str, int]:
+    """Write a run and publish it if it breaks no rule; what was observed in it."""
+    spark, run = df.sparkSession, versions.new_run()
+    out, seen = _counted(balanced(df, partition_by), contract)
+    try:
+        out.write.partitionBy(*partition_by).parquet(versions.run_folder(path, run))
+        counts = seen.get
+        broken = contract.broken_rules(df, counts) if contract else []
+        if broken:
+            raise ContractViolation(contract.name, broken)
+        versions.replace(spark, path, run, len(partition_by), only_touched and bool(partition_by))
+    except BaseException:
+        versions.drop_run(spark, path, run)
+        raise
+    return counts
 
 
 def write_checked(
@@ -257,31 +269,13 @@ def write_checked(
 ) -> int:
     """V5 with K1: write a table only if it keeps its contract.
 
-    Rows are computed once: the rules are counted while the table goes to a new
-    folder beside ``path``, which takes the place of ``path`` when no rule is
-    broken. Otherwise it is deleted, ``path`` stays as it was, and
-    ``ContractViolation`` is raised. ``only_touched_partitions`` replaces the
-    buckets that ``df`` has rows for, one after the other, and leaves the others.
+    Rows are computed once: the rules are counted while the table goes to a run of
+    its own, which is published, in one step, when no rule is broken. Otherwise it is
+    deleted, ``path`` stays as it was, and ``ContractViolation`` is raised.
+    ``only_touched_partitions`` replaces the buckets that ``df`` has rows for, all at
+    once, and leaves the others.
     """
-    spark = df.sparkSession
     broken = contract.schema_violations(df)
     if broken:
         raise ContractViolation(contract.name, broken)
-    incoming = f"{path.rstrip('/')}-incoming-{uuid.uuid4().hex}"
-    out, seen = _counted(balanced(df, contract.partition_by), contract)
-    try:
-        out.write.partitionBy(*contract.partition_by).parquet(incoming)
-        counts = seen.get
-        broken = contract.broken_rules(df, counts)
-        if broken:
-            raise ContractViolation(contract.name, broken)
-        if only_touched_partitions and contract.partition_by:
-            for bucket in _buckets(spark, incoming, len(contract.partition_by)):
-                replace_directory(spark, f"{incoming}/{bucket}", f"{path.rstrip('/')}/{bucket}")
-            delete(spark, incoming)
-        else:
-            replace_directory(spark, incoming, path)
-    except BaseException:
-        delete(spark, incoming)
-        raise
-    return counts["rows"]
+    return _replaced(df, path, contract.partition_by, contract, only_touched_partitions)["rows"]

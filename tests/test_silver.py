@@ -5,7 +5,6 @@ import pytest
 
 from larder.operators.contract import Contract, ContractViolation
 from larder.plans import landing, medallion, silver
-from larder.sources import storage
 from larder.sources import tables as t
 from larder.sources.storage import Scratch
 from tests.conftest import rows
@@ -140,31 +139,6 @@ def test_checked_write_replaces_only_with_good_rows(spark, tmp_path):
     assert t.write_checked(orders(spark, 0), path, contract) == 0
 
 
-@pytest.mark.parametrize("step", [1, 2, 3])
-def test_a_failed_publish_loses_no_table(spark, tmp_path, monkeypatch, step):
-    """The move of the old table, of the new one, or the driver itself fails."""
-    contract, path = Contract.named("silver/orders"), str(tmp_path / "silver/orders")
-    t.write_checked(orders(spark, 20), path, contract)
-    whole, calls = storage.move, []
-
-    def failing(session, source, target):
-        calls.append(target)
-        if step < 3 and len(calls) == step:
-            raise OSError("no rename today")
-        whole(session, source, target)
-        if step == 3:
-            raise SystemExit("the driver ends")
-
-    monkeypatch.setattr(storage, "move", failing)
-    with pytest.raises((OSError, SystemExit)):
-        t.write_checked(orders(spark, 30), path, contract)
-    monkeypatch.undo()
-    assert t.read_table(spark, path, contract).count() == 20
-    assert t.write_checked(orders(spark, 30), path, contract) == 30
-    assert t.read_table(spark, path, contract).count() == 30
-    assert [p.name for p in (tmp_path / "silver").iterdir()] == ["orders"]
-
-
 def test_checked_write_of_some_buckets(spark, tmp_path):
     contract, path = Contract.named("silver/orders"), str(tmp_path / "silver/orders")
     t.write_checked(orders(spark, 20), path, contract)
@@ -180,7 +154,7 @@ def test_partition_overwrite_can_keep_other_buckets(spark, tmp_path):
     path = str(tmp_path / "o")
     assert t.write_table(orders(spark, 20), path, ["user_id_bucket"]) == 20
     t.write_table(orders(spark, 20).filter("user_id = 1").limit(1), path, ["user_id_bucket"], True)
-    back = spark.read.parquet(path)
+    back = t.read_stored(spark, path)
     assert back.count() == 17
     assert dict(back.dtypes)["user_id_bucket"] == "int"
 
@@ -202,9 +176,9 @@ def test_seed_skips_a_populated_table(spark, tmp_path):
     assert not landing.is_populated(spark, path)
     assert landing.seed_table(spark.range(3), path)
     assert not landing.seed_table(spark.range(9), path)
-    assert spark.read.parquet(path).count() == 3
+    assert t.read_stored(spark, path).count() == 3
     assert landing.seed_table(spark.range(9), path, force=True)
-    assert spark.read.parquet(path).count() == 9
+    assert t.read_stored(spark, path).count() == 9
 
 
 def test_whole_run_on_hand_made_files(spark, tmp_path, caplog):
@@ -261,7 +235,7 @@ def test_rows_without_keys_are_set_aside(spark, tmp_path):
     aside = str(tmp_path / "rejected")
     written = medallion.clean_and_write("order_products", [bronze], silver.clean_order_products, path, contract, aside)
     assert written == 2
-    assert rows(spark.read.parquet(f"{aside}/order_products"), "order_id", "product_id", "reason") == [
+    assert rows(t.read_stored(spark, f"{aside}/order_products"), "order_id", "product_id", "reason") == [
         ("x", "6", "order_id is no id"),
         ("x", "7", "order_id is no id"),
         (None, "y", "order_id is no id, product_id is no id"),
