@@ -204,6 +204,33 @@ class DriverTables:
         return twice.select(*columns)
 
 
+    def differing_events(self) -> DataFrame:
+        """Purchases sent again by other users, some a day earlier, in four parts by no order."""
+        k = F.get_json_object("props", "$.k").cast("int")
+        copies = F.concat(
+            F.array(_copy(0, 0)),
+            F.when(F.col("event_id") % 3 == 0, F.array(_copy(1, 1))).otherwise(F.array().cast(COPIES)),
+            F.when(F.col("event_id") % 5 == 0, F.array(_copy(0, -1))).otherwise(F.array().cast(COPIES)),
+        )
+        purchases = self.table("events").filter(F.col("event_type") == "purchase")
+        each = purchases.withColumn("k", k).select("*", F.inline(copies))
+        return each.select(
+            F.date_format(F.col("ts") - F.make_dt_interval("days"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("event_time"),
+            F.col("event_id").cast("int").alias("order_id"),
+            (F.col("user_id") + F.col("user")).cast("int").alias("user_id"),
+            F.array(F.col("k"), F.col("k") + F.col("days")).alias("product_ids"),
+            F.lit("stream").alias("source"),
+            F.pmod(F.xxhash64("event_id", "user"), F.lit(4)).alias("part"),
+        )
+
+
+COPIES = "array<struct<days:int,user:int>>"
+
+
+def _copy(days: int, user: int) -> Column:
+    return F.struct(F.lit(days).alias("days"), F.lit(user).alias("user"))
+
+
 def product_of(part_key: str) -> Column:
     return F.expr(f"{part_key} div {PARTS_PER_PRODUCT}").cast("int")
 

@@ -358,6 +358,20 @@ SELECTS = {
         SELECT body, type, year, month, day FROM catalog_parsed WHERE status = 'ok'""",
     "stream_events_silver": STREAM_ROWS,
     "stream_late_events": STREAM_ROWS,
+    "stream_differing_copies": """
+        SELECT cut, order_id, user_id, CAST(pos AS INTEGER) AS position,
+               CAST(CASE WHEN pos = 1 THEN k ELSE k + days END AS INTEGER) AS product_id,
+               strftime(ts - to_days(days), '%Y-%m-%d %H:%M:%S') AS event_second
+        FROM (SELECT CAST(event_id AS INTEGER) AS order_id, CAST(user_id + u AS INTEGER) AS user_id, days, ts,
+                     CAST(json_extract(props, '$.k') AS INTEGER) AS k,
+                     row_number() OVER (PARTITION BY event_id
+                                        ORDER BY date_trunc('second', ts - to_days(days)), user_id + u) AS rn
+              FROM events CROSS JOIN (VALUES (0, 0), (1, 1), (0, -1)) c(days, u)
+              WHERE event_type = 'purchase'
+                AND (u = 0 OR (u = 1 AND event_id % 3 = 0) OR (u = -1 AND event_id % 5 = 0))) e
+        CROSS JOIN (SELECT unnest([1, 2]) AS pos) p
+        CROSS JOIN (SELECT unnest(['at once', 'two runs', 'file by file']) AS cut) d
+        WHERE rn = 1""",
     "stream_bad_rows": """
         SELECT event_time, order_id, user_id, 'unreadable event_time' AS reason
         FROM stream WHERE event_time = 'bad'""",

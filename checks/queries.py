@@ -472,6 +472,27 @@ def stream_late_events(spark, folder):
     return run_order_stream(lake, land_order_events(lake, F.col("arrived") < "2024-01-16"))
 
 
+def stream_differing_copies(spark, folder):
+    """Copies of an order that differ: at once, in two runs with the later part first, and file by file."""
+    cuts = {"at once": [(0, 1, 2, 3)], "two runs": [(3, 2), (1, 0)], "file by file": [(2, 0, 1, 3)]}
+    found = None
+    for cut, deliveries in cuts.items():
+        lake = Lake(spark, folder)
+        incoming, path = lake.scratch.path("incoming"), lake.scratch.path("events")
+        events = lake.scratch.stage(lake.given.differing_events(), "differing")
+        for parts in deliveries:
+            for part in parts:
+                events.filter(F.col("part") == part).drop("part").write.mode("append").json(incoming)
+            order_events.build_stream_silver(
+                spark, incoming, path, lake.scratch.path("bad"), lake.scratch.path("state"),
+                1 if cut == "file by file" else None,
+            )
+        rows = order_events.read_stream_silver(spark, path).withColumn("cut", F.lit(cut))
+        found = rows if found is None else found.unionAll(rows)
+    seconds = F.date_format("event_ts", "yyyy-MM-dd HH:mm:ss")
+    return found.select("cut", "order_id", "user_id", "position", "product_id", seconds.alias("event_second"))
+
+
 def stream_bad_rows(spark, folder):
     lake = Lake(spark, folder)
     run_order_stream(lake, land_order_events(lake))
@@ -625,6 +646,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         catalog_events_landed,
         stream_events_silver,
         stream_late_events,
+        stream_differing_copies,
         stream_bad_rows,
         user_order_timeline,
         user_product_stats,

@@ -249,18 +249,15 @@ def _replaced(
     df: DataFrame, path: str, partition_by: Sequence[str], contract: Contract | None, only_touched: bool
 ) -> dict[str, int]:
     """Write a run and publish it if it breaks no rule; what was observed in it."""
-    spark, run = df.sparkSession, versions.new_run()
+    spark = df.sparkSession
     out, seen = _counted(balanced(df, partition_by), contract)
-    try:
+    with versions.run_of(spark, path) as run:
         out.write.partitionBy(*partition_by).parquet(versions.run_folder(path, run))
         counts = seen.get
         broken = contract.broken_rules(df, counts) if contract else []
         if broken:
             raise ContractViolation(contract.name, broken)
         versions.replace(spark, path, run, len(partition_by), only_touched and bool(partition_by))
-    except BaseException:
-        versions.drop_run(spark, path, run)
-        raise
     return counts
 
 

@@ -16,7 +16,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
@@ -88,8 +89,8 @@ def current(spark: SparkSession, path: str) -> Version:
     return _load(spark, path, numbers[-1]) if numbers else NONE
 
 
-def publish(spark: SparkSession, path: str, version: Version) -> None:
-    """Make ``version`` the current one, in one step, and drop what only older ones hold."""
+def publish(spark: SparkSession, path: str, version: Version, kept: int = KEPT) -> None:
+    """Make ``version`` the current one, in one step, and drop what only older ones than ``kept`` hold."""
     body = json.dumps({"parts": {p: list(r) for p, r in version.parts.items()}, "notes": dict(version.notes)})
     draft = f"{path.rstrip('/')}/{FOLDER}/.{uuid.uuid4().hex}"
     fs, temporary = file_system(spark, draft)
@@ -103,7 +104,7 @@ def publish(spark: SparkSession, path: str, version: Version) -> None:
     if fs.exists(target) or not fs.rename(temporary, target):
         fs.delete(temporary, False)
         raise Superseded(f"{path}: version {version.number} is there already")
-    clean(spark, path)
+    clean(spark, path, kept)
 
 
 def clean(spark: SparkSession, path: str, kept: int = KEPT) -> None:
@@ -172,8 +173,18 @@ def is_versioned(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path.rstrip('/')}/{FOLDER}")
 
 
+@contextmanager
+def run_of(spark: SparkSession, path: str, level: int = 0) -> Iterator[str]:
+    """The name of a new run, to be written and published inside; gone if it is not published."""
+    run = new_run(level)
+    try:
+        yield run
+    finally:
+        drop_run(spark, path, run)
+
+
 def drop_run(spark: SparkSession, path: str, run: str) -> None:
-    """Delete a run that failed before it was published; one that a version names stays."""
+    """Delete a run that was not published; one that a version names stays."""
     if any(run == r for r, _ in current(spark, path).folders()):
         return
     try:

@@ -2,10 +2,12 @@ import gzip
 import json
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from larder.operators.contract import Contract
 from larder.plans import landing
+from larder.sources import versions
 from larder.streaming import catalog_events, order_events
 from tests.conftest import rows
 
@@ -98,7 +100,7 @@ def test_order_events_are_deduplicated_exploded_and_dated(spark, tmp_path):
     write_events(hour, "a", [event(1, 5, [10, 11]), event(1, 5, [10, 11]), event(2, 6, []), event(3, 7, None)])
     write_events(hour, "b", [event(1, 5, [10, 11]), event(4, 8, [12], "bad"), event(None, 9, [13])])
     assert run(spark, tmp_path) == [(1, 1, 10), (1, 2, 11), (2, None, None), (3, None, None)]
-    assert [p.name for p in (tmp_path / "out").glob("event_date=*")] == ["event_date=2024-01-15"]
+    assert list(versions.current(spark, str(tmp_path / "out")).parts) == ["event_date=2024-01-15"]
     bad = spark.read.json(str(tmp_path / "bad"))
     assert rows(bad, "reason") == [("no order_id",), ("unreadable event_time",)]
 
@@ -141,6 +143,112 @@ def test_one_file_per_batch_gives_the_same_rows(spark, tmp_path):
     assert run(spark, tmp_path, max_files_per_trigger=1) == [(0, 1, 0), (1, 1, 1), (2, 1, 2), (9, 1, 7)]
 
 
+def copy(order, user, day, products):
+    return event(order, 0, products, f"2024-01-{day:02d}T10:00:00Z") | {"user_id": user}
+
+
+def silver(spark, folder):
+    out = order_events.read_stream_silver(spark, str(folder))
+    return rows(out, "order_id", "user_id", "position", "product_id", "event_date")
+
+
+def test_differing_copies_give_the_same_rows_in_any_order_and_cut(spark, tmp_path):
+    files = [
+        [copy(1, 9, 15, [1, 2, 3]), copy(2, 5, 15, [4])],
+        [copy(1, 2, 15, [1]), copy(3, 5, 16, [])],
+        [copy(2, 7, 14, [5, 6]), copy(3, 1, 16, None), copy(70_000, 1, 16, [8])],
+        [copy(2, 1, 17, [7]), copy(3, 1, 16, [9]), copy(70_000, 1, 16, [8])],
+    ]
+    found = {}
+    for order in ((0, 1, 2, 3), (2, 0, 3, 1)):
+        for per_batch in (None, 1):
+            place = tmp_path / f"{order}{per_batch}"
+            for i, k in enumerate(order):
+                write_events(place / "in/2024", f"f{i}", files[k])
+            run(spark, place, max_files_per_trigger=per_batch)
+            found[order, per_batch] = silver(spark, place / "out")
+    whole = set(map(str, found.values()))
+    assert len(whole) == 1, found
+    assert [r[:4] for r in next(iter(found.values()))] == [
+        (1, 2, 1, 1), (2, 7, 1, 5), (2, 7, 2, 6), (3, 1, 1, 9), (70_000, 1, 1, 8),
+    ]
+
+
+SCHEMA = "event_time string, order_id int, user_id int, product_ids array<int>, source string"
+
+
+def batch(spark, events):
+    return spark.createDataFrame([tuple(e[c.split()[0]] for c in SCHEMA.split(", ")) for e in events], SCHEMA)
+
+
+def test_a_batch_opens_only_its_blocks_and_dates_hold_few_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(order_events, "FAN", 3)
+    sink = order_events.BatchSink(*(str(tmp_path / n) for n in ("out", "bad", "state")))
+    opened, kept = [], sink.kept
+    monkeypatch.setattr(sink, "kept", lambda s, blocks: opened.append((blocks, kept(s, blocks))) or opened[-1][1])
+    sizes = []
+    for number in range(14):
+        order = number << order_events.BLOCK_BITS
+        sink(batch(spark, [copy(order, 1, 15, [number]), copy(order + 1, 1, 15 + number % 2, [1])]), number)
+        again = batch(spark, [copy(0, 1, 15, [0]), copy(5, 1, 15, [2])])
+        if number % 5 == 4:
+            sink(again, number)  # older than what is published: nothing to do
+        sizes.append(max(len(r) for r in versions.current(spark, sink.folder).parts.values()))
+    assert all(len(df.inputFiles()) <= 2 for _, df in opened if df.schema.fields)
+    assert all(blocks == [n] for n, (blocks, _) in enumerate(opened))
+    assert max(sizes) <= 2 * 3
+    assert order_events.read_stream_silver(spark, sink.folder).count() == 28
+    found = order_events.read_stream_silver(spark, sink.folder)
+    assert len(found.inputFiles()) <= 2 * sum(map(len, versions.current(spark, sink.folder).parts.values()))
+    # A block that comes again is written anew, once.
+    sink(batch(spark, [copy(2, 1, 15, [7]), copy(0, 1, 1, [8])]), 14)
+    state = versions.current(spark, sink.state)
+    assert len(state.parts["block=0"]) == 1 and len(state.parts) == 14
+    assert rows(order_events.read_stream_silver(spark, sink.folder).filter("order_id < 3"), "order_id", "product_id") == [
+        (0, 8), (1, 1), (2, 7),
+    ]
+
+
+def test_two_hundred_batches_leave_few_runs(spark, tmp_path, monkeypatch):
+    """The rule of merging, without rows: runs are named only."""
+    path, part = str(tmp_path / "t"), "event_date=2024-01-15"
+    written = []
+    monkeypatch.setattr(order_events, "write_run", lambda rows, folder, run: written.append(run))
+    monkeypatch.setattr(versions, "read", lambda *a, **k: None)
+    most = 0
+    for number in range(200):
+        before = versions.current(spark, path)
+        runs = (*before.parts.get(part, ()), versions.new_run())
+        versions.publish(spark, path, before.following({part: runs}, batch=number))
+        order_events.merge_small_runs(spark, path)
+        most = max(most, len(versions.current(spark, path).parts[part]))
+    assert most <= 3 * (order_events.FAN - 1) and len(written) == 200 // 8 + 200 // 64
+    assert versions.current(spark, path).notes == {"batch": 199}
+
+
+@pytest.mark.parametrize("step", range(1, 5))
+def test_a_batch_that_failed_anywhere_is_finished_by_its_rerun(spark, tmp_path, monkeypatch, step):
+    sink = order_events.BatchSink(*(str(tmp_path / n) for n in ("out", "bad", "state")))
+    sink(batch(spark, [copy(1, 9, 15, [1]), copy(2, 1, 15, [2])]), 0)
+    events, calls, publish = batch(spark, [copy(1, 2, 14, [3]), copy(3, 1, 15, [4])]), [], versions.publish
+
+    def failing(*args):
+        calls.append(1)
+        if len(calls) * 2 - 1 == step:
+            raise OSError("before")
+        publish(*args)
+        if len(calls) * 2 == step:
+            raise OSError("after")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(versions, "publish", failing)
+        with pytest.raises(OSError):
+            sink(events, 1)
+    sink(events, 1)
+    sink(batch(spark, []), 2)
+    assert [r[:4] for r in silver(spark, tmp_path / "out")] == [(1, 2, 1, 3), (2, 1, 1, 2), (3, 1, 1, 4)]
+
+
 def test_load_timestamp_is_landed_but_not_read_back(spark, tmp_path):
     source = spark.createDataFrame([(1, 2.5), (2, None)], "id int, x double")
     written = landing.land_full_load({"things": source}, str(tmp_path), F.lit(datetime(2024, 1, 15)))
