@@ -263,7 +263,7 @@ def lines_without_keys_set_aside(spark, folder):
         }
     )
     aside = lake.scratch.path("aside")
-    kept = medallion.set_aside_bad_keys(lines, "order_products", aside)
+    kept = medallion.set_aside_bad_keys(lines, "order_products", aside, lake.scratch)
     apart = t.read_stored(spark, f"{aside}/order_products")
     both = kept.select(F.lit("ok").alias("reason")).unionAll(apart.select("reason"))
     return both.groupBy("reason").agg(F.count("*").alias("n"))
@@ -400,8 +400,9 @@ def rows_split_valid_rejected(spark, folder):
 
 
 def drop_null_keys(spark, folder):
-    bronze = Lake(spark, folder).given.bronze_orders()
-    accepted, rejected = q.drop_null_keys(bronze, ["order_id", "days_since_prior_order"])
+    lake = Lake(spark, folder)
+    bronze = lake.given.bronze_orders()
+    accepted, rejected = q.drop_null_keys(bronze, ["order_id", "days_since_prior_order"], lake.scratch)
     columns = ["order_id", "order_number"]
     return accepted.select(*columns, F.lit("ok").alias("reason")).union(
         rejected.select(*columns, "reason")
@@ -424,15 +425,14 @@ def catalog_events_landed(spark, folder):
     lake = Lake(spark, folder)
     incoming, landed = lake.scratch.path("incoming"), lake.scratch.path("landed")
     lake.given.catalog_events().write.text(incoming)
-    for query in catalog_events.land_catalog_events(
+    catalog_events.land_catalog_events(
         catalog_events.read_bodies(spark, incoming),
         landed,
         lake.scratch.path("rejected"),
         lake.scratch.path("checkpoint"),
         arrival(),
-    ):
-        query.awaitTermination()
-    return spark.read.text(landed).withColumnRenamed("value", "body")
+    ).awaitTermination()
+    return catalog_events.read_landed(spark, landed)
 
 
 def land_order_events(lake: Lake, arrived: Column | None = None) -> str:

@@ -6,34 +6,48 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.operators.running import block_offsets
+from larder.sources.storage import Scratch
 
 # Results are rounded to this many decimals; scores never are.
 RESULT_DECIMALS = 6
-# Scores are cut into about so many ranges, each added up in its own task.
-RANGES = 256
+# Distinct scores that are added up in one task.
+RANGE_SCORES = 65_536
 
 
-def auc_by_rank(df: DataFrame, score: str, label: str) -> DataFrame:
+def auc_by_rank(df: DataFrame, score: str, label: str, range_scores: int = RANGE_SCORES) -> DataFrame:
     """Exact AUC-ROC by the rank formula; ties count half.
 
-    Rows are first counted per distinct score. A running sum over all scores would
-    end in one task, so it is taken inside ranges of the score, and then over the
-    totals of the ranges, of which there are at most ``RANGES``. Rows without a
-    score or label, or with a score that is no number, do not count.
+    Rows are first counted per distinct score, and the counts are stored: ``df`` is
+    computed once. A running sum over all scores would end in one task, so scores are
+    dealt into ranges of about ``range_scores``, as many as that takes, and the sum is
+    taken inside them and then over their totals. Rows without a score or label, or
+    with a score that is no number, do not count. The job runs when this is called.
     """
+    spark, scratch = df.sparkSession, Scratch(df.sparkSession)
     value = F.col(score).cast("double")
     positive = (F.col(label) == 1).cast("long")
-    histogram = (
-        df.filter(value.isNotNull() & ~F.isnan(value) & F.col(label).isNotNull())
-        .groupBy(value.alias("_score"))
-        .agg(F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg"))
-    )
-    shares = [i / RANGES for i in range(1, RANGES)]
-    # A few hundred numbers at most.
-    cuts = histogram.agg(F.percentile_approx("_score", shares, 10_000)).first()[0] or []
-    ends = F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast("array<double>")
-    # Ranges depend on the score alone, so equal scores never part.
-    ranged = histogram.withColumn("_block", F.size(F.filter(ends, lambda c: c < F.col("_score"))))
+    try:
+        histogram = scratch.stage(
+            df.filter(value.isNotNull() & ~F.isnan(value) & F.col(label).isNotNull())
+            .groupBy(value.alias("_score"))
+            .agg(F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg")),
+            "histogram",
+        )
+        ranges = -(-histogram.count() // range_scores)
+        if ranges > 1:
+            # Stored again with the number of the range, which both levels then read.
+            dealt = histogram.repartitionByRange(ranges, "_score")
+            histogram = scratch.stage(dealt.withColumn("_block", F.spark_partition_id()), "ranges")
+        else:
+            histogram = histogram.withColumn("_block", F.lit(0))
+        result = _auc(histogram)
+        return spark.createDataFrame(result.collect(), result.schema)  # one row
+    finally:
+        scratch.remove()
+
+
+def _auc(ranged: DataFrame) -> DataFrame:
+    """AUC from counts per score, with ``_block`` rising with the score."""
     sums = [F.sum(c).alias(c) for c in ("pos", "neg")]
     totals = ranged.groupBy("_block").agg(*sums).withColumn("_all", F.lit(0))
     offsets = block_offsets(totals, ["_all"], ["_block"], ["pos", "neg"])

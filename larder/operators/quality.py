@@ -9,11 +9,15 @@ as a violation unless ``null_passes`` is set.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from larder.sources.storage import Scratch
 
 
 def has_exactly(df: DataFrame, columns: Iterable[str]) -> bool:
@@ -83,19 +87,31 @@ def orphan_keys(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFr
     return used.join(known, fk, "left_anti")
 
 
-def split_rows(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """Accepted rows, and rejected rows with the first broken rule as ``reason``."""
+def split_rows(df: DataFrame, rules: Mapping[str, Column], scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Accepted rows, and rejected rows with the first broken rule as ``reason``.
+
+    Rows are marked and written once, each kind to a folder of its own, so ``df`` is
+    computed once and each result reads its own rows only.
+    """
     reason = F.lit(None).cast("string")
     for name, broken in reversed(list(rules.items())):
         reason = F.when(broken, F.lit(name)).otherwise(reason)
-    marked = df.withColumn("reason", reason)
-    accepted = marked.filter(F.col("reason").isNull()).drop("reason")
-    return accepted, marked.filter(F.col("reason").isNotNull())
+    return split_by_reason(df.withColumn("reason", reason), scratch)
+
+
+def split_by_reason(marked: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Rows whose ``reason`` is NULL, without it, and the others, from one pass."""
+    path = scratch.path(f"split-{uuid.uuid4().hex}")
+    marked.withColumn("_refused", F.col("reason").isNotNull()).write.partitionBy("_refused").parquet(path)
+    schema = T.StructType([*marked.schema.fields, T.StructField("_refused", T.BooleanType())])
+    stored = scratch.spark.read.schema(schema).parquet(path)
+    accepted = stored.filter(~F.col("_refused")).drop("_refused", "reason")
+    return accepted, stored.filter("_refused").drop("_refused")
 
 
-def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def drop_null_keys(df: DataFrame, keys: Sequence[str], scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """Rows with all keys present, and the rest with a reason."""
-    return split_rows(df, {f"{k} is NULL": not_null(k) for k in keys})
+    return split_rows(df, {f"{k} is NULL": not_null(k) for k in keys}, scratch)
 
 
 def reconcile(source: DataFrame, landed: DataFrame) -> DataFrame:

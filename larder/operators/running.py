@@ -60,21 +60,22 @@ def running_totals(
     """
     group = list(group)
     sums = [F.sum(column).alias(name) for name, column in measures.items()]
-    points = df.groupBy(*group, order).agg(*sums).withColumn("_block", block_of(order, bits))
-    # Summed from the rows, not from the points: one small shuffle instead of two.
-    blocks = df.groupBy(*group, block_of(order, bits).alias("_block")).agg(*sums)
+    # One key of both, so that nothing is inferred about NULLs on one side of the join only:
+    # both levels start from the points' shuffle, which Spark makes once.
+    key = F.struct(*group, block_of(order, bits).alias("_block"))
+    points = df.groupBy(*group, order).agg(*sums).withColumn("_key", key)
+    blocks = points.groupBy("_key").agg(*[F.sum(m).alias(m) for m in measures]).select("*", "_key.*")
     offsets = block_offsets(blocks, group, ["_block"], list(measures))
-    inside = (
-        Window.partitionBy(*group, "_block")
-        .orderBy(order)
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    local = points.select(
-        *group, order, "_block", *[F.sum(m).over(inside).alias(m) for m in measures]
-    )
-    return local.join(offsets, [*group, "_block"], "left").select(
+    inside = Window.partitionBy("_key").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    local = points.select(*group, order, "_key", *[F.sum(m).over(inside).alias(m) for m in measures])
+    in_group = F.lit(True)
+    for c in group:
+        in_group &= F.col(c).isNotNull()
+    placed = in_group & F.col(order).isNotNull()
+    added = offsets.select("_key", *[f"{m}_{w}" for m in measures for w in ("before", "total")])
+    return local.join(added, "_key", "left").select(
         *group,
         order,
-        *[(F.col(f"{m}_before") + F.col(m)).alias(f"{m}_running") for m in measures],
-        *[F.col(f"{m}_total") for m in measures],
+        *[F.when(placed, F.col(f"{m}_before") + F.col(m)).alias(f"{m}_running") for m in measures],
+        *[F.when(placed, F.col(f"{m}_total")).alias(f"{m}_total") for m in measures],
     )

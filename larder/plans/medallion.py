@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from larder.operators.contract import Contract
 from larder.operators.metrics import auc_by_rank, confusion
+from larder.operators.quality import split_by_reason
 from larder.plans import model, silver
 from larder.plans.gold import user_product_features
 from larder.sources import tables as t
@@ -28,18 +29,17 @@ KEYS = {
 }
 
 
-def set_aside_bad_keys(rows: DataFrame, name: str, folder: str) -> DataFrame:
+def set_aside_bad_keys(rows: DataFrame, name: str, folder: str, scratch: Scratch) -> DataFrame:
     """The rows with readable keys; the others are written to ``folder`` as they came.
 
     Done on the raw rows, before copies are dropped, so each bad row is kept and
-    counted for itself.
+    counted for itself. The raw files are read once: what goes on is read from the
+    stored rows, which also spread what came from files that cannot be split.
     """
-    bad = F.lit(False)
-    for key in KEYS[name]:
-        bad |= F.col(key).try_cast("int").isNull()
-    reason = F.concat_ws(", ", *[F.when(F.col(k).try_cast("int").isNull(), f"{k} is no id") for k in KEYS[name]])
-    t.write_table(rows.filter(bad).withColumn("reason", reason), f"{folder}/{name}")
-    return rows.filter(~bad)
+    found = F.concat_ws(", ", *[F.when(F.col(k).try_cast("int").isNull(), f"{k} is no id") for k in KEYS[name]])
+    good, bad = split_by_reason(rows.withColumn("reason", F.nullif(found, F.lit(""))), scratch)
+    t.write_table(bad, f"{folder}/{name}")
+    return good
 
 
 def clean_and_write(
@@ -57,11 +57,15 @@ def clean_and_write(
     Rows read are observed during the same job. They are for the log only: a task
     before a shuffle that has to run again counts its rows again.
     """
-    if rejected:
-        sources = [set_aside_bad_keys(sources[0], name, rejected), *sources[1:]]
-    seen = [Observation() for _ in sources]
-    counted = [df.observe(o, F.count(F.lit(1)).alias("rows")) for df, o in zip(sources, seen)]
-    written = t.write_checked(clean(*counted), path, contract)
+    scratch = Scratch(sources[0].sparkSession)
+    try:
+        if rejected:
+            sources = [set_aside_bad_keys(sources[0], name, rejected, scratch), *sources[1:]]
+        seen = [Observation() for _ in sources]
+        counted = [df.observe(o, F.count(F.lit(1)).alias("rows")) for df, o in zip(sources, seen)]
+        written = t.write_checked(clean(*counted), path, contract)
+    finally:
+        scratch.remove()
     read = ", ".join(_observed_rows(o) for o in seen)
     log.info("%s: %s rows read, %d rows written", name, read, written)
     return written

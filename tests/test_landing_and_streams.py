@@ -64,16 +64,34 @@ def test_catalog_stream_routes_by_type_and_date(spark, tmp_path):
     incoming = tmp_path / "in"
     incoming.mkdir()
     (incoming / "a.txt").write_text("\n".join(b for b, _ in BODIES if b))
-    for query in catalog_events.land_catalog_events(
+    catalog_events.land_catalog_events(
         catalog_events.read_bodies(spark, str(incoming)),
         str(tmp_path / "api"), str(tmp_path / "bad"), str(tmp_path / "cp"), now(),
-    ):
-        query.awaitTermination()
+    ).awaitTermination()
     assert (tmp_path / "api/type=product/year=2024/month=1/day=15").is_dir()
     assert spark.read.text(str(tmp_path / "api")).count() == 2
     assert spark.read.json(str(tmp_path / "bad")).count() == len(BODIES) - 4
 
 
+def test_a_catalog_batch_is_read_once_and_its_rerun_adds_nothing(spark, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    bodies = spark.createDataFrame([(b,) for b, _ in BODIES], "body string").mapInArrow(counted, "body string")
+    sink = catalog_events.CatalogSink(str(tmp_path / "api"), str(tmp_path / "bad"), now())
+    sink(bodies, 0)
+    assert reads.value == len(BODIES)
+    sink(bodies, 0)
+    sink(bodies.limit(1), 1)
+    assert catalog_events.read_landed(spark, str(tmp_path / "api")).count() == 3
+    assert catalog_events.read_landed(spark, str(tmp_path / "api")).columns == ["body", "type", "year", "month", "day"]
+    assert spark.read.json(str(tmp_path / "bad/batch=0")).count() == len(BODIES) - 2
+
+
 def event(order, minute, products, time=None):
     return {
         "event_time": time or f"2024-01-15T14:{minute:02d}:00Z",

@@ -9,9 +9,22 @@ from larder.operators.dedupe import distinct_rows, first_pair_per_key, first_per
 from larder.operators.metrics import auc_by_rank, confusion
 from larder.operators.ranking import ranked_lists, top_k
 from larder.operators.running import running_totals
+from larder.sources.storage import Scratch
 from tests.conftest import plan_of, rows
 
 
+def read_counter(spark, df):
+    """An accumulator of the rows that were computed, and ``df`` with that count on the way."""
+    read = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    return read, df.mapInArrow(run, df.schema)
+
+
 def test_casts_give_null_instead_of_failing(spark):
     df = spark.createDataFrame(
         [("1", "t", None), (" 2 ", "0", "1.5"), ("x", "maybe", "x"), ("9999999999", "TRUE", "7")],
@@ -84,6 +97,12 @@ def test_running_totals_equal_a_plain_loop(spark, bits):
     assert rows(got, "u", "n", "v_running", "c_running", "v_total", "c_total") == sorted(expected, key=repr)
 
 
+def test_running_totals_compute_their_input_once(spark, settings):
+    read, df = read_counter(spark, spark.range(5000).selectExpr("int(id % 7) AS u", "int(id) AS n", "id AS v"))
+    got = running_totals(df, ["u"], "n", {"v": F.col("v")}, 4)
+    assert len(got.collect()) == 5000 and read.value == 5000
+
+
 def test_running_totals_keep_rows_without_a_user(spark):
     df = spark.createDataFrame([(None, 1, 5), (1, None, 2), (1, 1, 3)], "u int, n int, v int")
     got = running_totals(df, ["u"], "n", {"v": F.col("v")})
@@ -111,6 +130,17 @@ def test_auc_equals_pair_counting(spark):
     assert got["positives"] + got["negatives"] == 300
 
 
+@pytest.mark.parametrize("range_scores", [1, 7, 65_536])
+def test_auc_computes_its_input_once_at_any_number_of_ranges(spark, range_scores):
+    data = [((i * 37 % 101) / 7, int(i % 5 == 0 or i % 101 > 70)) for i in range(600)]
+    data += [(None, 1), (0.5, None), (float("nan"), 0)]
+    read, df = read_counter(spark, spark.createDataFrame(data, "s double, y int"))
+    got = auc_by_rank(df, "s", "y", range_scores).first()
+    good = [(s, y) for s, y in data[:600]]
+    wins = [1.0 if a > b else 0.5 if a == b else 0.0 for a, y in good if y for b, z in good if not z]
+    assert got["auc"] == round(sum(wins) / len(wins), 6) and read.value == len(data)
+
+
 def test_auc_and_f1_of_one_class_only(spark):
     df = spark.createDataFrame([(0.2, 0)], "s double, y int")
     assert tuple(auc_by_rank(df, "s", "y").first()) == (0, 1, None)
@@ -156,9 +186,11 @@ def test_duplicates_and_orphans(spark):
 
 def test_split_keeps_every_row_once(spark):
     df = spark.createDataFrame([(1, 1), (None, 1), (None, None)], "a int, b int")
-    accepted, rejected = q.drop_null_keys(df, ["b", "a"])
+    read, df = read_counter(spark, df)
+    accepted, rejected = q.drop_null_keys(df, ["b", "a"], Scratch(spark))
     assert rows(accepted) == [(1, 1)]
     assert rows(rejected, "reason") == [("a is NULL",), ("b is NULL",)]
+    assert read.value == 3
 
 
 def test_reconcile_names_missing_tables(spark):
