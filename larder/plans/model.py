@@ -8,11 +8,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.operators.ranking import ranked_lists, top_k
 from larder.plans.gold import of_set
+from larder.sources import versions
 from larder.sources.storage import Scratch
 
 NUMERIC_FEATURES = (
@@ -25,6 +26,8 @@ NUMERIC_FEATURES = (
 )
 NAME_FEATURES = ("aisle_name", "department_name")
 VALIDATION_FOLDS = 5
+# Parts of the training users; a pair's name rates come from the other parts.
+RATE_FOLDS = 4
 DEFAULT_TOP = 10
 SEED = 7
 # A name counts as much as this many pairs with the overall rate, beside its own.
@@ -62,22 +65,61 @@ def training_set(
     )
 
 
+def fold_of(user: str = "user_id") -> Column:
+    """The fold of a training user; all pairs of a user are in one. Unknown users are in fold 0."""
+    part = F.floor(F.col(user) / VALIDATION_FOLDS)
+    return F.coalesce(F.pmod(part, F.lit(RATE_FOLDS)), F.lit(0)).cast("int")
+
+
 def name_rates(training: DataFrame) -> DataFrame:
-    """(feature, name, rate): the smoothed share of reordered pairs of each name.
+    """(feature, name, fold, rate): smoothed shares of reordered pairs of each name.
+
+    Names become numbers by what is known of them, at any number of names and without
+    bringing them to the driver. A row with a fold leaves that fold's pairs out: it is
+    for the pairs of the fold itself, whose labels must not be in their own features. A
+    row without one counts all pairs, for pairs outside the training set. Rows without
+    a name are the overall rates, which stand for names not seen (outside the fold).
 
-    Names become numbers by what is known of them, at any number of names and
-    without bringing them to the driver. The row with feature NULL is the overall
-    rate, which stands for names that training has not seen.
+    The training set is read once: pairs are counted per name and fold, and everything
+    else comes from those counts.
     """
-    overall = training.agg(F.avg("label").alias("overall")).first()["overall"] or 0.0
+    features = F.array(
+        F.struct(F.lit(None).cast("string").alias("feature"), F.lit(None).cast("string").alias("name")),
+        *[F.struct(F.lit(f).alias("feature"), F.col(f).alias("name")) for f in NAME_FEATURES],
+    )
+    each = training.select(fold_of().alias("fold"), "label", F.inline(features))
+    counts = (
+        each.filter(F.col("feature").isNull() | F.col("name").isNotNull())
+        .groupBy("feature", "name", "fold")
+        .agg(F.sum("label").alias("s"), F.count("*").alias("n"))
+    )
+    # One row of the whole name, and of the name without each of its folds; folds are few.
+    by_name = counts.groupBy("feature", "name").agg(
+        F.sum("s").alias("all_s"), F.sum("n").alias("all_n"), F.collect_list(F.struct("fold", "s", "n")).alias("folds")
+    )
+    without = F.transform(
+        F.col("folds"),
+        lambda f: F.struct(f.fold.alias("fold"), (F.col("all_s") - f.s).alias("s"), (F.col("all_n") - f.n).alias("n")),
+    )
+    whole = F.struct(F.lit(None).cast("int").alias("fold"), F.col("all_s").alias("s"), F.col("all_n").alias("n"))
+    kept = by_name.select("feature", "name", F.inline(F.concat(F.array(whole), without)))
+    # Overall rates: one row a fold. A fold that is all there is has nothing beside it, and rate 0.
+    share = F.coalesce(F.try_divide(F.col("s"), F.col("n")), F.lit(0.0))
+    overall = {
+        r["fold"]: r["rate"] for r in kept.filter("feature IS NULL").select("fold", share.alias("rate")).collect()
+    }
+    if not overall:
+        overall = {None: 0.0}
     spark = training.sparkSession
-    rates = spark.createDataFrame([(None, None, float(overall))], "feature string, name string, rate double")
-    for feature in NAME_FEATURES:
-        known = training.filter(F.col(feature).isNotNull()).groupBy(F.col(feature).alias("name"))
-        sums = known.agg(F.sum("label").alias("s"), F.count("*").alias("n"))
-        rate = (F.col("s") + SMOOTHING * overall) / (F.col("n") + SMOOTHING)
-        rates = rates.union(sums.select(F.lit(feature), "name", rate))
-    return rates
+    plain = spark.createDataFrame(
+        [(None, None, f, float(r)) for f, r in overall.items()], "feature string, name string, fold int, rate double"
+    )
+    base = F.lit(float(overall[None]))
+    for fold, rate in overall.items():
+        if fold is not None:
+            base = F.when(F.col("fold") == fold, F.lit(float(rate))).otherwise(base)
+    smoothed = (F.col("s") + SMOOTHING * base) / (F.col("n") + SMOOTHING)
+    return plain.unionByName(kept.filter("feature IS NOT NULL").select("feature", "name", "fold", smoothed.alias("rate")))
 
 
 @dataclass
@@ -88,15 +130,29 @@ class ReorderModel:
     rates: DataFrame
 
 
-def with_rates(rows: DataFrame, rates: DataFrame) -> DataFrame:
-    """A ``<name>_rate`` column per name feature; unseen and NULL names get the overall rate."""
-    overall = rates.filter("feature IS NULL").first()["rate"]
+def with_rates(rows: DataFrame, rates: DataFrame, in_training: bool = False) -> DataFrame:
+    """A ``<name>_rate`` column per name feature; unseen and NULL names get the overall rate.
+
+    ``in_training`` takes the rates without the row's own fold, and no others.
+    """
+    fold = fold_of() if in_training else F.lit(None).cast("int")
+    overall = {r["fold"]: r["rate"] for r in rates.filter("feature IS NULL").collect()}
+    base = F.lit(float(overall.get(None, 0.0)))
+    for number, rate in overall.items():
+        if number is not None:
+            base = F.when(F.col("_fold") == number, F.lit(float(rate))).otherwise(base)
+    rows = rows.withColumn("_fold", fold)
     for feature in NAME_FEATURES:
-        one = rates.filter(F.col("feature") == feature).select(
-            F.col("name").alias(feature), F.col("rate").alias(f"{feature}_rate")
+        one = rates.filter((F.col("feature") == feature) & (F.col("fold").isNotNull() == F.lit(in_training)))
+        one = one.select(
+            F.col("name").alias(feature), F.col("fold").alias("_of"), F.col("rate").alias(f"{feature}_rate")
         )
-        rows = rows.join(one, feature, "left").fillna(overall, [f"{feature}_rate"])
-    return rows
+        on = [rows[feature] == one[feature]]
+        if in_training:
+            on.append(rows["_fold"] == one["_of"])
+        rows = rows.join(one, on, "left").drop(one[feature]).drop("_of")
+        rows = rows.withColumn(f"{feature}_rate", F.coalesce(f"{feature}_rate", base))
+    return rows.drop("_fold")
 
 
 def fit(training: DataFrame, scratch: Scratch, rounds: int = 20, depth: int = 5, most: int = FIT_ROWS) -> ReorderModel:
@@ -118,18 +174,23 @@ def fit(training: DataFrame, scratch: Scratch, rounds: int = 20, depth: int = 5,
         checkpointInterval=5,
         seed=SEED,
     )
-    return ReorderModel(Pipeline(stages=[assembler, trees]).fit(with_rates(sample, rates)), rates)
+    return ReorderModel(Pipeline(stages=[assembler, trees]).fit(with_rates(sample, rates, in_training=True)), rates)
 
 
 def save(model: ReorderModel, path: str) -> None:
-    """M7"""
-    model.trees.write().overwrite().save(f"{path}/trees")
-    model.rates.write.mode("overwrite").parquet(f"{path}/rates")
+    """M7: trees and rates become the current model together, or not at all."""
+    spark = model.rates.sparkSession
+    with versions.run_of(spark, path) as run:
+        folder = versions.run_folder(path, run)
+        model.trees.write().save(f"{folder}/trees")
+        model.rates.write.parquet(f"{folder}/rates")
+        versions.replace(spark, path, run, 0)
 
 
 def load(spark: SparkSession, path: str) -> ReorderModel:
     """M7"""
-    return ReorderModel(PipelineModel.load(f"{path}/trees"), spark.read.parquet(f"{path}/rates"))
+    (folder,) = versions.live_folders(path, versions.current(spark, path))
+    return ReorderModel(PipelineModel.load(f"{folder}/trees"), spark.read.parquet(f"{folder}/rates"))
 
 
 def score(model: ReorderModel, rows: DataFrame) -> DataFrame:

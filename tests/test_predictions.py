@@ -48,13 +48,62 @@ def test_training_set_labels_and_split(spark):
 
 
 def test_names_become_rates_at_any_number_of_names(spark):
-    schema = "aisle_name string, department_name string, label int"
+    schema = "aisle_name string, department_name string, label int, user_id int"
     for names in (1000, 1001):
-        rows = [(f"a{i}", "d", i % 2) for i in range(names)] * 2 + [(None, "d", 1)]
+        rows = [(f"a{i}", "d", i % 2, i) for i in range(names)] * 2 + [(None, "d", 1, None)]
         rates = model.name_rates(spark.createDataFrame(rows, schema))
-        assert rates.filter("feature = 'aisle_name'").count() == names
-        got = model.with_rates(spark.createDataFrame([("a1", "d"), ("new", None)], "aisle_name string, department_name string"), rates)
+        assert rates.filter("feature = 'aisle_name' AND fold IS NULL").count() == names
+        asked = spark.createDataFrame([("a1", "d"), ("new", None)], "aisle_name string, department_name string")
+        got = model.with_rates(asked, rates)
         overall = sum(r[2] for r in rows) / len(rows)
         by_name = {r["aisle_name"]: r for r in got.collect()}
         assert by_name["new"]["aisle_name_rate"] == by_name["new"]["department_name_rate"] == overall
         assert abs(by_name["a1"]["aisle_name_rate"] - (2 + 20 * overall) / 22) < 1e-12
+
+
+def test_a_training_pair_does_not_see_its_own_label(spark):
+    """Whatever the labels of a user are, the rates of the user's own pairs stay the same."""
+    schema = "user_id int, product_id int, aisle_name string, department_name string, label int"
+
+    def rates_of(label):
+        rows = [(u, p, f"a{p % 3}", None if p == 4 else "d", label if u == 7 else (u + p) % 2) for u in range(1, 40) for p in range(6)]
+        pairs = spark.createDataFrame(rows, schema)
+        rated = model.with_rates(pairs, model.name_rates(pairs), in_training=True)
+        assert rated.count() == len(rows)
+        mine = rated.filter("user_id = 7").select("product_id", "aisle_name_rate", "department_name_rate")
+        others = rated.filter("user_id = 12").select("product_id", "aisle_name_rate")
+        return sorted(map(tuple, mine.collect())), sorted(map(tuple, others.collect()))
+
+    (mine, others), (mine_now, others_now) = rates_of(0), rates_of(1)
+    assert mine == mine_now and others != others_now
+
+
+def test_rates_without_training_pairs(spark):
+    schema = "user_id int, aisle_name string, department_name string, label int"
+    empty = spark.createDataFrame([], schema)
+    asked = spark.createDataFrame([(3, "a", None, 0)], schema)
+    for in_training in (False, True):
+        got = model.with_rates(asked, model.name_rates(empty), in_training).first()
+        assert (got["aisle_name_rate"], got["department_name_rate"]) == (0.0, 0.0)
+
+
+def test_a_failed_save_keeps_the_old_model(spark, tmp_path, monkeypatch):
+    from larder.sources import versions
+    from larder.sources.storage import Scratch
+
+    schema = "user_id int, product_id int, aisle_name string, department_name string, label int, " + ", ".join(
+        f"{c} double" for c in model.NUMERIC_FEATURES
+    )
+    rows_of = [(u, p, "a", "d", (u + p) % 2, *[float(u * p % 7 + k) for k in range(6)]) for u in range(12) for p in range(8)]
+    pairs, path = spark.createDataFrame(rows_of, schema), str(tmp_path / "model")
+    first = model.fit(pairs, Scratch(spark), rounds=1, depth=2)
+    model.save(first, path)
+    second = model.fit(pairs.withColumn("label", 1 - pairs["label"]), Scratch(spark), rounds=2, depth=2)
+    with monkeypatch.context() as patch:
+        patch.setattr(versions, "publish", lambda *a, **k: (_ for _ in ()).throw(OSError("no")))
+        with pytest.raises(OSError):
+            model.save(second, path)
+    scores = [model.score(m, pairs).select("score").collect() for m in (first, model.load(spark, path), second)]
+    assert scores[0] == scores[1] != scores[2]
+    model.save(second, path)
+    assert model.score(model.load(spark, path), pairs).select("score").collect() == scores[2]
