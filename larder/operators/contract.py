@@ -295,6 +295,28 @@ class Contract:
             df = df.withColumn(field, F.expr(rule))
         return df
 
+    def typed(self, df: DataFrame) -> DataFrame:
+        """The declared fields that ``df`` has, in order, with their type.
+
+        A field's rule is evaluated on the column as it came. A value that does not
+        convert to the declared type becomes NULL.
+        """
+        present = {c.lower(): c for c in df.columns}
+        rules = dict(self.derived)
+        columns = []
+        for f in self.fields:
+            if f.name.lower() in present:
+                given = F.expr(rules[f.name]) if f.name in rules else F.col(f"`{present[f.name.lower()]}`")
+                columns.append(given.try_cast(f.spark_type).alias(f.name))
+        return df.select(*columns)
+
+    def with_added(self, df: DataFrame) -> DataFrame:
+        """The declared fields that only a rule gives, added in order; then all fields as declared."""
+        for field, rule in self.derived:
+            if field not in df.columns:
+                df = df.withColumn(field, F.expr(rule).cast(self.schema()[field].dataType))
+        return df.select(*[f.name for f in self.fields if f.name in df.columns])
+
     def fill_defaults(self, df: DataFrame) -> DataFrame:
         """Replace NULL by the contract's ``default_value``."""
         present = {c.lower() for c in df.columns}

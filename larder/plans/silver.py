@@ -1,41 +1,27 @@
-"""Bronze to Silver (C1-C4). Every job ends in an explicit column list."""
+"""Bronze to Silver (C1-C4, E16). Every job ends in the columns of its contract."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions.columns import bucket_of, filled, try_bool, try_int
+from larder.operators.contract import Contract
 from larder.operators.dedupe import first_pair_per_key, first_per_key
 
 
 def clean_orders(bronze: DataFrame) -> DataFrame:
-    """Typed orders, first-order gap 0.0, bucket, one row per order id."""
-    typed = bronze.select(
-        try_int("order_id"),
-        try_int("user_id"),
-        F.col("eval_set").cast("string").alias("eval_set"),
-        try_int("order_number"),
-        try_int("order_dow"),
-        try_int("order_hour_of_day"),
-        filled("days_since_prior_order", 0.0),
-    )
-    unique = first_per_key(typed, ["order_id"])
-    return unique.withColumn("user_id_bucket", bucket_of(F.col("user_id")))
+    """Typed orders, first-order gap filled, bucket, one row per order id; columns and rules are the contract's."""
+    contract = Contract.named("silver/orders")
+    return contract.with_added(first_per_key(contract.typed(bronze), ["order_id"]))
 
 
 def clean_order_products(bronze: DataFrame) -> DataFrame:
-    """Typed lines, bucket, one row per order and product."""
-    typed = bronze.select(
-        try_int("order_id"),
-        try_int("product_id"),
-        try_int("add_to_cart_order"),
-        try_bool("reordered"),
-    )
+    """Typed lines, bucket, one row per order and product; columns and rules are the contract's."""
+    contract = Contract.named("silver/order_products")
     unique = first_pair_per_key(
-        typed, ["order_id", "product_id"], "add_to_cart_order", "reordered"
+        contract.typed(bronze), ["order_id", "product_id"], "add_to_cart_order", "reordered"
     )
-    return unique.withColumn("order_id_bucket", bucket_of(F.col("order_id")))
+    return contract.with_added(unique)
 
 
 def lookup(rows: DataFrame, names: DataFrame, key: str) -> DataFrame:
@@ -59,32 +45,12 @@ def build_products(
 
     A product whose aisle or department never arrived keeps a NULL name.
     """
-    unique = first_per_key(
-        products.select(
-            try_int("product_id"),
-            F.col("product_name").cast("string").alias("product_name"),
-            try_int("aisle_id"),
-            try_int("department_id"),
-        ),
-        ["product_id"],
-    )
-    aisle_names = first_per_key(
-        aisles.select(try_int("aisle_id"), F.col("aisle").cast("string").alias("aisle_name")),
-        ["aisle_id"],
-    )
-    department_names = first_per_key(
-        departments.select(
-            try_int("department_id"),
-            F.col("department").cast("string").alias("department_name"),
-        ),
-        ["department_id"],
-    )
-    named = lookup(lookup(unique, aisle_names, "aisle_id"), department_names, "department_id")
-    return named.select(
-        "product_id",
-        "product_name",
-        "aisle_id",
-        "aisle_name",
-        "department_id",
-        "department_name",
-    )
+    contract = Contract.named("silver/products")
+    unique = first_per_key(contract.typed(products), ["product_id"])
+
+    def names(rows: DataFrame, kind: str) -> DataFrame:
+        named = rows.select(f"{kind}_id", F.col(kind).alias(f"{kind}_name"))
+        return first_per_key(contract.typed(named), [f"{kind}_id"])
+
+    named = lookup(lookup(unique, names(aisles, "aisle"), "aisle_id"), names(departments, "department"), "department_id")
+    return contract.with_added(named)

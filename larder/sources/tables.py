@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -49,55 +52,87 @@ def read_csv(
     do no harm and a missing optional column is NULL. Files are read together with
     the others that have the same header line, since Spark applies one header by
     position to all files it reads. Without a header, the contract gives the names.
-    No pass over the data infers types. Texts may hold line breaks. A gzip file
-    cannot be split, so one task reads it; ``spread`` redistributes the rows
-    afterwards where no later step does.
+    No pass over the data infers types. Texts may hold line breaks; a large plain file
+    whose records all end with their line is split among tasks, any other file is one
+    task's. ``spread`` redistributes the rows afterwards where no later step does.
     """
     reader = spark.read.option("header", header).option("nullValue", "").option("escape", '"')
-    reader = reader.option("multiLine", True)
-    if header:
-        parts = []
-        for columns, files in files_by_header(spark, path).items():
-            schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-            # A file whose header differs after all is an error, not a swap.
-            one = reader.schema(schema).option("enforceSchema", False).csv(files)
-            parts.append(declared_columns(one, contract))
-        df = parts[0]
-        for part in parts[1:]:
-            df = df.unionByName(part, allowMissingColumns=True)
-    else:
-        df = declared_columns(reader.schema(contract.text_schema()).csv(path), contract)
+    if not header:
+        whole = reader.option("multiLine", True).schema(contract.text_schema()).csv(path)
+        df = declared_columns(whole, contract)
+        return df.repartition(spread) if spread else df
+    heads = file_heads(spark, path)
+    if not heads:
+        raise FileNotFoundError(f"no CSV file with a header at {path}")
+    lines = files_of_lines(spark, [h for h in heads if h.size > split_bytes(spark) and not h.is_compressed])
+    groups: dict[tuple[str, bool], list[str]] = {}
+    for h in heads:
+        groups.setdefault((h.line, h.file in lines), []).append(h.file)
+    df = None
+    for (line, ends_with_line), files in groups.items():
+        columns = next(csv.reader([line]))
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+        # A file whose header differs after all is an error, not a swap.
+        one = reader.schema(schema).option("enforceSchema", False).option("multiLine", not ends_with_line).csv(files)
+        part = declared_columns(one, contract)
+        df = part if df is None else df.unionByName(part, allowMissingColumns=True)
     return df.repartition(spread) if spread else df
 
 
-def files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """The CSV files at ``path``, grouped by the names in their first line.
+# Endings of files that Spark decompresses.
+COMPRESSED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate", ".xz")
+
+
+@dataclass(frozen=True)
+class FileHead:
+    file: str
+    size: int
+    line: str
+
+    @property
+    def is_compressed(self) -> bool:
+        return self.file.lower().endswith(COMPRESSED)
+
+
+def split_bytes(spark: SparkSession) -> int:
+    """Bytes of a file that one task reads at most, where files can be split."""
+    return spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+
 
-    Spark lists the files; of each only its first line is read.
+def file_heads(spark: SparkSession, path: str) -> list[FileHead]:
+    """Size and first line of every file that has one, sorted by name.
+
+    A task per file reads its first lines and no more. What comes to the driver is a
+    line for each of the files, which it has to list in any case.
     """
-    files = sorted(spark.read.option("header", True).csv(path).inputFiles())
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for file in files:
-        line = first_line(spark, file)
-        if line is not None:
-            groups.setdefault(tuple(next(csv.reader([line]))), []).append(file)
-    if not groups:
-        raise FileNotFoundError(f"no CSV file with a header at {path}")
-    return groups
+    session = spark.newSession()
+    # Above any file's size, so that no file is split and none shares a task.
+    for key in ("maxPartitionBytes", "openCostInBytes"):
+        session.conf.set(f"spark.sql.files.{key}", str(1 << 50))
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
 
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
 
-def first_line(spark: SparkSession, file: str) -> str | None:
-    """The first line of a text file, compressed or not; None if it is empty."""
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(file)
-    settings = spark._jsc.hadoopConfiguration()
-    stream = target.getFileSystem(settings).open(target)
-    try:
-        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(settings).getCodec(target)
-        plain = codec.createInputStream(stream) if codec is not None else stream
-        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine()
-    finally:
-        stream.close()
+    lines = session.read.text(path).select("_metadata.file_path", "_metadata.file_size", "value")
+    heads = lines.mapInArrow(first, "file string, size long, line string").collect()
+    return sorted((FileHead(unquote(h["file"]), h["size"], h["line"]) for h in heads), key=lambda h: h.file)
+
+
+def files_of_lines(spark: SparkSession, heads: Sequence[FileHead]) -> set[str]:
+    """The files in which no record goes on after its line; they are read in pieces by many tasks.
+
+    A record over several lines begins with a line that has an odd number of quotes.
+    """
+    files = [h.file for h in heads]
+    if not files:
+        return set()
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    broken = spark.read.text(files).filter(quotes % 2 == 1).select("_metadata.file_path").distinct()
+    return set(files) - {unquote(r["file_path"]) for r in broken.collect()}
 
 
 def declared_columns(df: DataFrame, contract: Contract) -> DataFrame:

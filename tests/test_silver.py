@@ -13,6 +13,31 @@ ORDERS = "order_id string, user_id string, eval_set string, order_number string,
     "order_hour_of_day string, days_since_prior_order string"
 
 
+def test_silver_columns_and_rules_are_the_contracts(spark):
+    """Another contract gives another table; no second copy of its rules is in the jobs."""
+    body = {
+        "name": "x",
+        "fields": [
+            {"name": "id", "type": "long"},
+            {"name": "twice", "type": "integer"},
+            {"name": "day", "type": "date"},
+            {"name": "text", "type": "string"},
+        ],
+        "transformations": [{"field": "text", "rule": "upper(trim(text))"}, {"field": "twice", "rule": "id * 2"}],
+    }
+    contract = Contract.from_dict(body)
+    raw = spark.createDataFrame([("7", " a", "2024-01-02", 1), ("x", None, "soon", 2)], "ID string, text string, day string, more int")
+    typed = contract.typed(raw)
+    assert typed.dtypes == [("id", "bigint"), ("day", "date"), ("text", "string")]
+    whole = contract.with_added(typed)
+    assert whole.dtypes == [("id", "bigint"), ("twice", "int"), ("day", "date"), ("text", "string")]
+    assert [tuple(map(str, r)) for r in whole.orderBy("id").collect()] == [
+        ("None", "None", "None", "None"), ("7", "14", "2024-01-02", "A"),
+    ]
+    orders = Contract.named("silver/orders")
+    assert silver.clean_orders(spark.createDataFrame([], ORDERS)).columns == [f.name for f in orders.fields]
+
+
 def test_clean_orders(spark):
     bronze = spark.createDataFrame(
         [
@@ -78,6 +103,35 @@ def test_files_with_differing_headers_are_read_by_name(spark, tmp_path):
     assert rows(got) == [("1", "5", "2", "0"), ("3", "6", "4", "1"), ("8", "7", "1", "0")]
 
 
+def test_a_large_plain_file_is_read_by_several_tasks(spark, tmp_path, settings):
+    contract = Contract.named("bronze/order_products")
+    settings(spark__sql__files__maxPartitionBytes="20000", spark__sql__files__openCostInBytes="0")
+    lines = [f'{i},{i % 7},"{i % 3}",0' for i in range(20_000)]
+    head = "order_id,product_id,add_to_cart_order,reordered\n"
+    for name, more in {"plain": "", "spans lines": '"9\n",1,1,1\n'}.items():
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "a b.csv").write_text(head + more + "\n".join(lines) + "\n")
+        (folder / "small.csv").write_text("product_id,order_id,add_to_cart_order,reordered\n5,-1,1,\"\"\n")
+        got = t.read_csv(spark, str(folder), contract)
+        assert got.count() == 20_001 + (more != "")
+        assert got.filter("order_id = '-1'").collect()[0]["product_id"] == "5"
+        assert rows(got.filter("order_id = '7'")) == [("7", "0", "1", "0")]
+        assert (got.rdd.getNumPartitions() > 5) == (name == "plain")
+
+
+def test_first_lines_are_read_in_tasks_and_not_the_files(spark, tmp_path):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for i in range(7):
+        (tmp_path / f"{i}.csv").write_text(f"a,b{i % 2}\n" + "1,2\n" * 50_000)
+    with gzip.open(tmp_path / "z.csv.gz", "wt") as f:
+        f.write("b0,a\n" + "1,2\n" * 50_000)
+    heads = t.file_heads(spark, str(tmp_path))
+    assert [h.line for h in heads] == ["a,b0", "a,b1"] * 3 + ["a,b0", "b0,a"]
+    assert [h.is_compressed for h in heads] == [False] * 7 + [True]
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
 def test_csv_by_name_by_position_and_with_extra_columns(spark, tmp_path):
     contract = Contract.named("bronze/orders")
     folder = tmp_path / "named"
