@@ -256,6 +256,35 @@ RATES = f"""(SELECT r.feature, r.name, r.fold,
       ON r.fold IS NOT DISTINCT FROM o.fold)"""
 
 SELECTS = {
+    "dq_rules_on_dirty_orders": f"""
+        SELECT unnest(['no user', 'dow', 'hour', 'order_number', 'days', 'days, NULL passes', 'eval_set',
+                       'eval_set length']) AS rule,
+               unnest([count(*) FILTER (user_id IS NULL),
+                       count(*) FILTER (order_dow NOT BETWEEN 0 AND 6),
+                       count(*) FILTER (order_hour_of_day NOT BETWEEN 0 AND 23),
+                       count(*) FILTER (order_number < 1),
+                       count(*) FILTER (days_since_prior_order IS NULL OR days_since_prior_order NOT BETWEEN 0 AND 30),
+                       count(*) FILTER (days_since_prior_order < 0),
+                       count(*) FILTER (eval_set NOT IN ('prior', 'train', 'test')),
+                       count(*) FILTER (length(eval_set) > 4)]) AS violations
+        FROM {DIRTY_ORDERS}""",
+    "column_sets": """
+        SELECT 'orders' AS table_name, (SELECT count(*) FROM silver_orders) AS n, true AS exactly, true AS at_least
+        UNION ALL SELECT 'orders with one more', count(*), false, true FROM silver_orders
+        UNION ALL SELECT 'orders without one', count(*), false, false FROM silver_orders
+        UNION ALL SELECT 'order_products', count(*), true, true FROM silver_lines
+        UNION ALL SELECT 'products', count(*), true, true FROM silver_products""",
+    "rows_read_and_written": """
+        SELECT 'orders' AS table_name, 0 AS source, (SELECT count(*) FROM bronze_orders) AS rows_read,
+               (SELECT count(*) FROM silver_orders) AS rows_written
+        UNION ALL SELECT 'order_products', 0, (SELECT count(*) FROM bronze_lines), (SELECT count(*) FROM silver_lines)
+        UNION ALL SELECT 'products', source, n, (SELECT count(*) FROM silver_products)
+        FROM (SELECT 0 AS source, count(*) AS n FROM bronze_products
+              UNION ALL SELECT 1, count(*) FROM bronze_aisles
+              UNION ALL SELECT 2, count(*) FROM bronze_departments)""",
+    "landed_load_times": """
+        SELECT 'orders' AS table_name, '2024-01-15 10:30:00' AS load_time, count(*) AS n FROM bronze_orders
+        UNION ALL SELECT 'order_products', '2024-01-15 10:30:00', count(*) FROM bronze_lines""",
     "name_rates_by_fold": f"""
         SELECT feature, name, CAST(fold AS INTEGER) AS fold, round(CAST(rate AS DOUBLE), 9) AS rate FROM {RATES}""",
     "training_pairs_with_rates": f"""

@@ -269,14 +269,14 @@ def lines_without_keys_set_aside(spark, folder):
     return both.groupBy("reason").agg(F.count("*").alias("n"))
 
 
-def contract_violations_dirty_orders(spark, folder):
+def dirty_orders(lake: Lake) -> DataFrame:
     """Orders made to break every rule: some rows each."""
     number = F.col("order_id")
 
     def broken(every, column, value):
         return F.when(number % every == 0, value).otherwise(F.col(column))
 
-    dirty = Lake(spark, folder).orders().withColumns(
+    return lake.orders().withColumns(
         {
             "eval_set": broken(19, "eval_set", "odd"),
             "order_number": broken(17, "order_number", 0),
@@ -288,9 +288,76 @@ def contract_violations_dirty_orders(spark, folder):
             "user_id": broken(37, "user_id", None),
         }
     )
+
+
+def contract_violations_dirty_orders(spark, folder):
+    dirty = dirty_orders(Lake(spark, folder))
     return Contract.named("silver/orders").rule_counts(dirty.drop("user_id_bucket"))
 
 
+def dq_rules_on_dirty_orders(spark, folder):
+    """Every quality rule of a row, on rows that break it."""
+    dirty = dirty_orders(Lake(spark, folder))
+    return q.count_broken(
+        dirty,
+        {
+            "no user": q.not_null("user_id"),
+            "dow": q.not_between("order_dow", 0, 6),
+            "hour": q.not_between("order_hour_of_day", 0, 23),
+            "order_number": q.below("order_number", 1),
+            "days": q.not_between("days_since_prior_order", 0, 30),
+            "days, NULL passes": q.below("days_since_prior_order", 0, True),
+            "eval_set": q.not_in("eval_set", ["prior", "train", "test"]),
+            "eval_set length": q.longer_than("eval_set", 4),
+        },
+    )
+
+
+def column_sets(spark, folder):
+    """Which tables have exactly, and at least, the columns of their contract."""
+    lake = Lake(spark, folder)
+    names = {n: [f.name for f in Contract.named(f"silver/{n}").fields] for n in ("orders", "order_products", "products")}
+    found = {
+        "orders": (lake.orders(), "orders"),
+        "orders with one more": (lake.orders().withColumn("more", F.lit(1)), "orders"),
+        "orders without one": (lake.orders().drop("user_id"), "orders"),
+        "order_products": (lake.lines(), "order_products"),
+        "products": (lake.products(), "products"),
+    }
+    rows = [(n, df.count(), q.has_exactly(df, names[c]), q.has_all(df, names[c])) for n, (df, c) in found.items()]
+    return _rows(spark, rows, "table_name string, n long, exactly boolean, at_least boolean")
+
+
+def rows_read_and_written(spark, folder):
+    """What the Silver jobs observe: rows read of each source, and rows written."""
+    lake = Lake(spark, folder)
+    g, root, rows = lake.given, lake.scratch.root, []
+    jobs = {
+        "orders": ([g.bronze_orders()], silver.clean_orders),
+        "order_products": ([g.bronze_order_products("prior")], silver.clean_order_products),
+        "products": ([g.bronze_products(), g.bronze_aisles(), g.bronze_departments()], silver.build_products),
+    }
+    for name, (sources, clean) in jobs.items():
+        read, written = medallion.clean_and_count(
+            name, sources, clean, f"{root}/silver/{name}", Contract.named(f"silver/{name}")
+        )
+        rows += [(name, place, n, written) for place, n in enumerate(read)]
+    return _rows(spark, rows, "table_name string, source int, rows_read long, rows_written long")
+
+
+def landed_load_times(spark, folder):
+    """The load time in the landed files of each table."""
+    lake = Lake(spark, folder)
+    public = f"{lake.land_orders()}/bronze/historical/public"
+    found = None
+    for name in ("orders", "order_products"):
+        landed = spark.read.option("header", True).csv(f"{public}/{name}")
+        times = landed.groupBy(F.to_timestamp("load_ts").cast("string").alias("load_time")).agg(F.count("*").alias("n"))
+        times = times.select(F.lit(name).alias("table_name"), "load_time", "n")
+        found = times if found is None else found.unionAll(times)
+    return found
+
+
 def contract_violations_dirty_lines(spark, folder):
     """Order lines at place 0 in the cart, and without a mark of reordering."""
     dirty = Lake(spark, folder).lines().withColumns(
@@ -664,6 +731,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         contract_violations_orders,
         lines_without_keys_set_aside,
         contract_violations_dirty_orders,
+        dq_rules_on_dirty_orders,
+        column_sets,
+        rows_read_and_written,
+        landed_load_times,
         contract_violations_dirty_lines,
         contract_violations_lines,
         contract_violations_products,

@@ -50,7 +50,22 @@ def clean_and_write(
     contract: Contract,
     rejected: str | None = None,
 ) -> int:
-    """Clean, check and write one table; log rows read, return rows written (A4, K2).
+    """Clean, check and write one table; log rows read, return rows written (A4, K2)."""
+    read, written = clean_and_count(name, sources, clean, path, contract, rejected)
+    found = ", ".join("unknown" if n is None else str(n) for n in read)
+    log.info("%s: %s rows read, %d rows written", name, found, written)
+    return written
+
+
+def clean_and_count(
+    name: str,
+    sources: Sequence[DataFrame],
+    clean: Callable[..., DataFrame],
+    path: str,
+    contract: Contract,
+    rejected: str | None = None,
+) -> tuple[list[int | None], int]:
+    """``clean_and_write`` with the rows read of each source (A4), and the rows written (K2).
 
     With ``rejected``, rows of the first source without readable keys go to that folder.
 
@@ -66,17 +81,15 @@ def clean_and_write(
         written = t.write_checked(clean(*counted), path, contract)
     finally:
         scratch.remove()
-    read = ", ".join(_observed_rows(o) for o in seen)
-    log.info("%s: %s rows read, %d rows written", name, read, written)
-    return written
+    return [_observed_rows(o) for o in seen], written
 
 
-def _observed_rows(seen: Observation) -> str:
-    """Rows observed; unknown where Spark skipped the source, its result being empty."""
+def _observed_rows(seen: Observation) -> int | None:
+    """Rows observed; None where Spark skipped the source, its result being empty."""
     try:
-        return str(seen.get["rows"])
+        return seen.get["rows"]
     except Py4JJavaError:
-        return "unknown"
+        return None
 
 
 def build_silver(
