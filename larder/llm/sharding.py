@@ -2,7 +2,9 @@
 
 Equal texts form a group, which is never split. Groups are ordered by their
 smallest id; the smallest capacity for which a greedy cut needs no more than the
-given number of shards is found by binary search, and the groups are cut there.
+given number of shards is found by binary search. No shard is larger; within that bound the
+cuts fall next to even shares, as a greedy cut would fill the first shards and leave
+little to the last.
 
 The groups' sizes never come to the driver. It sees sums of up to 65,536 blocks of
 consecutive groups. These give a lower and an upper bound of the capacity, and with
@@ -96,13 +98,13 @@ class Outline:
         self.whole = [known[s] for s in self.stops]
         self.whole[0] = True
 
-    def cuts(self, capacity: int, shards: int, hopeful: bool) -> list[int] | None:
-        """Greedy ends of the shards, or None if they do not suffice.
+    def cuts(self, capacity: int, shards: int, hopeful: bool, start: int = 0) -> list[int] | None:
+        """Greedy ends of the shards from ``start`` on, or None if they do not suffice.
 
         Not hopeful: cuts fall only on known stops. Hopeful: also anywhere inside a
         span of several groups.
         """
-        ends, at, total = [], 0, self.stops[-1]
+        ends, at, total = [], start, self.stops[-1]
         while at < total:
             if len(ends) == shards:
                 return None
@@ -127,6 +129,52 @@ class Outline:
         return low
 
 
+    def large_groups(self, shards: int) -> list[tuple[int, int]]:
+        """(start, stop) of the groups that are larger than an even share of what they leave to the others."""
+        spans = [(a, b) for a, b, whole in zip(self.stops, self.stops[1:], self.whole[1:]) if whole]
+        spans.sort(key=lambda s: s[0] - s[1])
+        large, left = [], self.stops[-1]
+        for start, stop in spans[: shards - 1]:
+            if (stop - start) * (shards - len(large)) <= left:
+                break
+            large.append((start, stop))
+            left -= stop - start
+        return sorted(large)
+
+    def even_cuts(self, capacity: int, shards: int) -> list[int]:
+        """Ends of shards of like size, none above ``capacity``, which a greedy cut can keep.
+
+        Each cut falls on the known stop nearest to an even share of what is left, as
+        long as the rest can still be cut. A large group is a shard of its own where
+        that leaves shards for the others, and does not count for their shares.
+        """
+        ends, at, total = [], 0, self.stops[-1]
+        large = self.large_groups(shards)
+        while at < total:
+            left = shards - len(ends)
+            ahead = [(a, b) for a, b in large if a >= at]
+            small = total - at - sum(b - a for a, b in ahead)
+            share = max(1, small / max(1, left - len(ahead)))
+            # Up to the next large group, or past it: a whole number of shards of like size.
+            edge = total if not ahead else ahead[0][0] if ahead[0][0] > at else ahead[0][1]
+            if ahead and ahead[0][0] == at:
+                want = edge
+            else:
+                want = at + (edge - at) / max(1, round((edge - at) / share))
+            furthest = bisect_right(self.stops, at + capacity) - 1
+            k = min(bisect_right(self.stops, want), furthest)
+            near = sorted({max(k - 1, 0), k, furthest}, key=lambda i: abs(self.stops[i] - want))
+            for i in near:
+                end = self.stops[i]
+                if at < end <= at + capacity and self.cuts(capacity, left - 1, False, end) is not None:
+                    break
+            else:
+                end = self.stops[furthest]
+            ends.append(end)
+            at = end
+        return ends
+
+
 def minimax_cuts(stops: DataFrame, shards: int = SHARDS, blocks: int = BLOCKS) -> list[int]:
     """The ends of the shards on the line of all bytes."""
     total = stops.agg(F.max("stop")).first()[0] or 0
@@ -148,7 +196,7 @@ def minimax_cuts(stops: DataFrame, shards: int = SHARDS, blocks: int = BLOCKS) -
         outline.add([(r["first"].stop, r["last"], r["first"].bytes) for r in parts.collect()])
         low, high = outline.least(shards, True), outline.least(shards, False)
         if low == high:
-            return outline.cuts(high, shards, False)
+            return outline.even_cuts(high, shards)
         spans = _open_spans(outline, low, high, shards)
 
 
