@@ -155,9 +155,11 @@ def exact_duplicates(history: DataFrame, batch: DataFrame, scratch: Scratch) ->
         digests(history).withColumn("old", F.lit(True)).union(digests(batch).withColumn("old", F.lit(False))), "digests"
     )
     earlier = scratch.stage(counted(rows.filter("old")), "earlier")
-    parts = 1 + earlier.count() // PART_KEYS
+    added = scratch.stage(counted(rows.filter("NOT old")), "added")
+    # By whichever is larger: nonmembers meet in the same parts as the index.
+    parts = 1 + max(earlier.count(), added.count()) // PART_KEYS
     index = scratch.stage(build_index(earlier, parts), "index")
-    groups = resolve(index, counted(rows.filter("NOT old")), parts)
+    groups = resolve(index, added, parts)
     return rows.join(groups, "digest").select(
         "doc_id",
         F.col("winner").alias("keep_id"),
