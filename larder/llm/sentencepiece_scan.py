@@ -451,7 +451,9 @@ def encoded_giants(
     return entered.join(out, ["row", "chunk"]).mapInArrow(traced, schema)
 
 
-def encode(docs: DataFrame, model: str, scratch: Scratch, giant: int = GIANT, chunk: int = CHUNK) -> DataFrame:
+def encode(
+    docs: DataFrame, model: str, scratch: Scratch, giant: int = GIANT, chunk: int = CHUNK, kind: type[Vocabulary] = Vocabulary
+) -> DataFrame:
     """doc_id, chunk, ids: a row for each text, or for each chunk of a giant one."""
 
     def run(batches):
@@ -464,15 +466,15 @@ def encode(docs: DataFrame, model: str, scratch: Scratch, giant: int = GIANT, ch
 
     short = docs.filter(F.coalesce(F.length("text"), F.lit(0)) <= giant).select(F.col("doc_id").cast("long"), "text")
     short = short.mapInArrow(run, "doc_id long, chunk long, ids array<int>")
-    return short.union(encoded_giants(docs, model, scratch, giant, chunk).select("doc_id", "chunk", "ids"))
+    return short.union(encoded_giants(docs, model, scratch, giant, chunk, kind).select("doc_id", "chunk", "ids"))
 
 
-def decode(rows: DataFrame, model: str, ids: str = "ids") -> DataFrame:
+def decode(rows: DataFrame, model: str, ids: str = "ids", kind: type[Vocabulary] = Vocabulary) -> DataFrame:
     """``rows`` with ``text`` for whole id lists. Chunks of a text must be joined first."""
 
     @F.arrow_udf("string")
     def run(column: pa.Array) -> pa.Array:
-        words = Vocabulary(model)
+        words = kind(model)
         return pa.array([words.decode(i or []) for i in column.to_pylist()], pa.string())
 
     return rows.withColumn("text", run(F.col(ids)))
