@@ -14,6 +14,8 @@ from larder.sources.storage import Scratch
 
 # Rows of a key that are compared in one task: two blocks of this size.
 BLOCK_ROWS = 2_000
+# Rounds that suffice for any group: each at least halves its height.
+ROUNDS = 60
 # Partners that a row tries in the first round, per key and block.
 BEST = 3
 
@@ -28,7 +30,7 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """
     edges = edges.select("a", "b").filter("a <> b")
     state = None
-    for step in range(60):
+    for step in range(ROUNDS):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         larger = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -41,6 +43,8 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         if tuple(found) == state:
             break
         state = tuple(found)
+    else:
+        raise RuntimeError(f"{name}: groups are not settled after {ROUNDS} rounds")
     roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.union(edges.select("b", "b").distinct())
 

@@ -16,16 +16,18 @@ def id_remainder(divisor: int) -> Column:
 
 
 def bounded(rows: DataFrame, key: Column, most: int, total: int) -> DataFrame:
-    """At most ``most`` of ``total`` rows, chosen by a hash of ``key``.
+    """At most ``most`` of ``total`` rows, those with the smallest hashes of ``key``.
 
-    Few more than ``most`` rows leave their tasks, however many tasks there are.
+    Few more than ``most`` rows leave their tasks, however many tasks there are, and
+    which ones stay does not depend on the order in which tasks end.
     """
     cells = 1 << 30
     if total > most:
         # Four standard deviations more than are wanted, so that as good as always enough are there.
         share = (most + 4 * most**0.5 + 4) / total
         rows = rows.filter(F.pmod(F.xxhash64(key, F.lit(7)), F.lit(cells)) < int(share * cells) + 1)
-    return rows.limit(most)
+    order = [F.pmod(F.xxhash64(key, F.lit(7)), F.lit(cells)), key]
+    return rows.orderBy(*order).limit(most)
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, usable: Column, rows: int = FIT_ROWS) -> DataFrame:

@@ -130,6 +130,21 @@ def test_ids_of_a_merged_model_are_those_of_the_library(spark):
         assert {r.doc_id: (r.n_ids, r.ids_crc32, r.decoded_equal) for r in got.collect()} == wanted
 
 
+def test_encode_and_decode_as_columns(spark):
+    from sentencepiece import SentencePieceProcessor
+
+    library, merged = SentencePieceProcessor(model_file=PIECES), sentencepiece_scan.MergedVocabulary
+    texts = ["the information of the basket", "", None, "Zug nach Köln " * 40]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sentencepiece_scan.encode(table, PIECES, Scratch(spark), giant=100, chunk=64, kind=merged)
+    pieces = sorted(rows.collect())
+    found = {k: [i for d, _, ids in pieces if d == k for i in ids] for k in range(4)}
+    assert found == {k: library.encode(t or "") for k, t in enumerate(texts)}
+    whole = spark.createDataFrame(list(found.items()), "doc_id long, ids array<int>")
+    back = sentencepiece_scan.decode(whole, PIECES, kind=merged)
+    assert {r.doc_id: r.text for r in back.collect()} == {k: t or "" for k, t in enumerate(texts)}
+
+
 # ---- 4 and 7: classifiers ----
 
 
@@ -423,6 +438,27 @@ def test_cuts_from_coarse_blocks_are_exact(spark, seed):
         assert len(ends) <= shards and set(ends) <= {t for _, t in stops}
 
 
+@pytest.mark.parametrize("place", [0, 350, 700])
+def test_shards_are_even_and_a_large_group_stands_alone(spark, place):
+    dice = random.Random(place)
+    sizes = [50 + dice.randrange(100) for _ in range(700)]
+    for large in (0, sum(sizes) // 2):
+        mixed = [*sizes[:place], *([large] if large else []), *sizes[place:]]
+        table = spark.createDataFrame(list(zip(mixed, accumulate(mixed))), "bytes long, stop long").cache()
+        ends = sharding.minimax_cuts(table, 24)
+        loads = [b - a for a, b in zip([0, *ends[:-1]], ends)]
+        assert len(ends) == 24 and max(loads) == least_capacity(mixed, 24)
+        others = [x for x in loads if x < large] if large else loads
+        assert len(others) == 24 - bool(large) and min(others) >= 0.85 * sum(others) / len(others)
+
+
+def test_given_documents_make_even_shards(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    loads = sharding.sharded(docs, Scratch(spark)).groupBy("shard").agg(F.sum("size").alias("n")).collect()
+    loads = [r["n"] for r in loads]
+    assert len(loads) == 24 and min(loads) >= 0.9 * sum(loads) / 24
+
+
 def test_shards_of_nothing(spark, nothing):
     assert sharding.sharded(nothing, Scratch(spark)).count() == 0
 
