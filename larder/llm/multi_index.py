@@ -13,8 +13,8 @@ more than the wanted neighbours, which is all that a result can hold of them.
 
 Defined results: vectors that are NULL, of zero length, of another dimension than
 most, or with a NULL or non-finite component take no part; with fewer candidates
-than asked for, all are returned; ties go to the smaller id; a repeated id is a
-candidate once, and never one of its own.
+than asked for, all are returned; ties (cosines that agree to 12 decimals) go to the
+smaller id; a repeated id is a candidate once, and never one of its own.
 """
 
 from __future__ import annotations
@@ -36,8 +36,11 @@ FIT_ROWS = 20_000
 MEASURED_QUERIES = 64
 # Vectors to a cell, on average, and the most centroids for a half.
 CELL_ROWS = 32
-MOST_CENTROIDS = 4_096
+MOST_CENTROIDS = 1_024
 ROUNDS = 12
+# Rough scores are off by less than this; exact ones that agree to so many decimals are ties.
+ROUGH = 1e-9
+TIE_DECIMALS = 12
 # The share of true neighbours that the walk has to meet for the measured queries.
 AIM = 0.97
 # Rows of a cell that are compared in one task, and queries likewise.
@@ -93,7 +96,8 @@ class MultiIndex:
         self.halves = halves
         self.cut = halves[0].shape[1]
         self.count = len(halves[0])
-        self.sizes: dict[int, int] = {}
+        # Of every cell, at most ``MOST_CENTROIDS`` squared: four megabytes.
+        self.sizes = np.zeros(self.count**2, np.int32)
 
     def distances(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return squared_distances(x[:, : self.cut], self.halves[0]), squared_distances(x[:, self.cut :], self.halves[1])
@@ -109,7 +113,7 @@ class MultiIndex:
         while heap and seen < enough:
             _, i, j = heapq.heappop(heap)
             cell = int(by_first[i]) * self.count + int(by_second[j])
-            size = self.sizes.get(cell, 0)
+            size = int(self.sizes[cell])
             if size:
                 seen += size
                 yield cell, seen
@@ -126,8 +130,14 @@ def matrix(column) -> np.ndarray:
     return column.flatten().to_numpy().reshape(len(column), -1)
 
 
+def near_one(x: np.ndarray) -> np.ndarray:
+    """Rows scaled by powers of two, which changes no cosine: squares neither overflow nor vanish."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(-1, keepdims=True))[1])
+
+
 def cosines(query: np.ndarray, others: np.ndarray) -> np.ndarray:
     """Cosine of the original vectors in double precision, the same for a pair wherever it is computed."""
+    query, others = near_one(query), near_one(others)
     length = np.sqrt((query * query).sum()) * np.sqrt((others * others).sum(1))
     return (others * query).sum(1) / length
 
@@ -147,19 +157,23 @@ def build(entries: DataFrame, rows: int, scratch: Scratch) -> tuple[MultiIndex,
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells)], [*batch.schema.names, "cell"])
 
     placed = scratch.stage(entries.mapInArrow(place, "v array<double>, ids array<long>, cell long"), "placed")
-    # As many numbers as there are cells, a bounded share of the sample squared.
-    index.sizes = {r["cell"]: r["count"] for r in placed.groupBy("cell").count().collect()}
+    filled = placed.groupBy("cell").count().toArrow()
+    index.sizes[filled.column("cell").to_numpy()] = np.minimum(filled.column("count").to_numpy(), 2**31 - 1)
     return index, placed
 
 
-def top(scores: np.ndarray, least_ids: np.ndarray, keep: int) -> np.ndarray:
-    if len(scores) > 4 * keep:
-        # Ties at the edge stay in, so that ids can decide them.
-        edge = np.partition(scores, len(scores) - keep)[len(scores) - keep]
-        some = np.flatnonzero(scores >= edge - 1e-12)
-    else:
-        some = np.arange(len(scores))
-    return some[np.lexsort([least_ids[some], -scores[some]])][: keep]
+def top(query: np.ndarray, others: np.ndarray, rough: np.ndarray, least_ids: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and exact cosines of the ``keep`` nearest, nearest first.
+
+    All that the rough scores cannot tell apart at the edge are scored exactly. Cosines
+    that agree to ``TIE_DECIMALS`` are ties, as of vectors that differ in length only.
+    """
+    some = np.arange(len(rough))
+    if len(rough) > keep:
+        some = np.flatnonzero(rough >= np.partition(rough, len(rough) - keep)[len(rough) - keep] - ROUGH)
+    exact = cosines(query, others[some])
+    first = np.lexsort([least_ids[some], -np.round(exact, TIE_DECIMALS)])[:keep]
+    return some[first], exact[first]
 
 
 def enough_to_see(index: MultiIndex, placed: DataFrame, queries: DataFrame, keep: int, aim: float) -> int:
@@ -190,7 +204,7 @@ def enough_to_see(index: MultiIndex, placed: DataFrame, queries: DataFrame, keep
     first, second = index.distances(asked_units)
     needed = []
     for r in ranked.collect():
-        met = dict(index.walk(first[r.q], second[r.q], sum(index.sizes.values()) + 1))
+        met = dict(index.walk(first[r.q], second[r.q], int(index.sizes.sum(dtype=np.int64)) + 1))
         needed += [met[b.cell] for b in r.best]
     return int(np.quantile(needed, aim, method="higher"))
 
@@ -236,10 +250,10 @@ def neighbours(vectors: DataFrame, every: int, scratch: Scratch, keep: int = NEI
             for row, k in zip(rough, asking):
                 visited = np.isin(known, cells[k])[place]
                 some = np.flatnonzero(visited)
-                for i in some[top(row[some], least[some], keep + 1)]:
+                for i, score in zip(*top(x[k], x[entry[some]], row[some], least[some], keep + 1)):
                     out_q.append(q[k])
-                    out_id.append(ids[entry[i]])
-                    out_score.append(cosines(x[k], x[entry[i]][None, :])[0])
+                    out_id.append(ids[entry[some[i]]])
+                    out_score.append(score)
         return pa.table(
             {
                 "q": pa.array(np.array(out_q, np.int64)),
@@ -269,14 +283,18 @@ def neighbours(vectors: DataFrame, every: int, scratch: Scratch, keep: int = NEI
     )
     met = asking.unionByName(holding).groupBy("group", "slot", "set")
     found = met.applyInArrow(compare, "q long, ids array<long>, score double")
-    best = found.groupBy("q").agg(F.collect_list(F.struct((-F.col("score")).alias("far"), "ids")).alias("best"))
+    far = (-F.round("score", TIE_DECIMALS)).alias("far")
+    best = found.groupBy("q").agg(F.collect_list(F.struct(far, "score", "ids")).alias("best"))
     ordered = F.flatten(
-        F.transform("best", lambda b: F.transform(b["ids"], lambda i: F.struct(b["far"].alias("far"), i.alias("vec_id"))))
+        F.transform(
+            "best",
+            lambda b: F.transform(b["ids"], lambda i: F.struct(b["far"].alias("far"), i.alias("vec_id"), b["score"].alias("score"))),
+        )
     )
     best = best.select("q", F.slice(F.array_sort(ordered), 1, keep + 1).alias("best"))
     answers = asked.join(queries, "v").join(best, "q")
     others = F.filter("best", lambda b: b["vec_id"] != F.col("query_id"))
     answers = answers.select(F.col("vec_id").alias("query_id"), "best").select("query_id", F.slice(others, 1, keep).alias("best"))
     return answers.select("query_id", F.posexplode("best").alias("rank", "b")).select(
-        "query_id", (F.col("rank") + 1).cast("int").alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.far")).alias("score")
+        "query_id", (F.col("rank") + 1).cast("int").alias("rank"), F.col("b.vec_id").alias("vec_id"), F.col("b.score").alias("score")
     )

@@ -64,6 +64,21 @@ def test_neighbours_reach_brute_force(spark, vectors):
     assert [r.vec_id for r in found[650]] == [0, 600, 601, 602, 603]
 
 
+@pytest.mark.parametrize("size", [1.0, 1e200, 1e-200])
+def test_vectors_of_one_direction_are_ties_whatever_their_length(spark, size):
+    """Rounding differs with the length; the smallest ids win all the same. Other columns may clash."""
+    dice = np.random.default_rng(5)
+    x = dice.normal(size=(300, 8))
+    same = sorted(dice.choice(np.arange(1, 300), 12, replace=False).tolist())
+    for k in same:
+        x[k] = x[0] * dice.uniform(0.1, 9)
+    rows = [(k, (size * v).tolist(), "score", -1.0) for k, v in enumerate(x)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank string, v double").repartition(3)
+    got = [r for r in multi_index.neighbours(table, 50, Scratch(spark)).collect() if r.query_id == 0]
+    assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"])] == same[:5]
+    assert all(abs(r.score - 1) < 1e-12 for r in got)
+
+
 def test_few_or_no_vectors(spark):
     schema = "vec_id long, embedding array<float>"
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [0.0, 1.0])], schema)
@@ -76,7 +91,7 @@ def test_few_or_no_vectors(spark):
 def test_walk_visits_cells_in_order_of_distance():
     dice = np.random.default_rng(3)
     index = multi_index.MultiIndex((dice.normal(size=(6, 2)), dice.normal(size=(6, 2))))
-    index.sizes = {c: 1 for c in range(36)}
+    index.sizes[:] = 1
     first, second = (d[0] for d in index.distances(dice.normal(size=(1, 4))))
     seen = [cell for cell, _ in index.walk(first, second, 36)]
     sums = (first[:, None] + second[None, :]).ravel()
@@ -147,4 +162,4 @@ def test_pipeline_stages_take_effect(spark):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
