@@ -13,6 +13,8 @@ go by document, start and checksum.
 
 from __future__ import annotations
 
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -81,11 +83,23 @@ class WordEncoder:
         return [np.frombuffer(b"".join(map(self.known.__getitem__, words)) + end, "<u4") for words in cut]
 
 
+def worker_encoder(path: str) -> WordEncoder:
+    """The encoder of this Python worker: what one task has learned serves the tasks after it.
+
+    Tasks unpickle functions anew, so it is kept under a module name of its own. Its
+    words stay bounded by ``KNOWN_WORDS``; a new worker begins with none.
+    """
+    kept = sys.modules.setdefault("_larder_word_encoders", types.ModuleType("_larder_word_encoders")).__dict__
+    if path not in kept:
+        kept[path] = WordEncoder(path)
+    return kept[path]
+
+
 def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
     """doc_id and ids of each document, the end token included."""
 
     def run(batches):
-        encoder = WordEncoder(tokenizer)
+        encoder = worker_encoder(tokenizer)
         for batch in batches:
             for part in slices(batch, "text"):
                 ids = encoder.encode([t or "" for t in part.column("text").to_pylist()])
@@ -107,7 +121,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = SEQUENCE) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]):
-        encoder = WordEncoder(tokenizer)
+        encoder = worker_encoder(tokenizer)
         names_of = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "copy"]
         copy = 0
         for batch in batches:
