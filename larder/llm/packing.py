@@ -13,6 +13,7 @@ go by document, start and checksum.
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 import zlib
@@ -38,13 +39,28 @@ MARK = "|"
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+# Letters of one or two bytes whose small forms are one letter too, and ASCII marks after them, but the apostrophe.
+PLAIN_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+# Words by which it is found out whether a tokenizer takes plain words as ``_plain`` does.
+PROBES = ("Grocery", "the", "GARÇON", "Über", "naïveté", "ñandú", "ÿ", "x", "Straße", "coöperation")
+
+
+def byte_letters() -> dict[int, int]:
+    """Byte-level vocabularies write printable bytes as themselves and the others as letters from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: 256 + k for k, b in enumerate(others)}
+
+
 class WordEncoder:
     """Token ids of whole texts, each distinct stretch between blanks encoded once.
 
     The tokenizer never joins across white space, so cutting at some of it changes
-    nothing. New stretches are encoded many at a time, with a mark between them
-    that has one token of its own; those that hold the mark go one by one. Ids are
-    kept as bytes, so a text is put together by one join.
+    nothing. Where it makes letters small and takes runs of letters and of marks for
+    themselves, as probes tell, a plain word goes to its vocabulary directly, once for
+    all its spellings and the marks after it. Other new stretches are encoded many at
+    a time, with a mark between them that has one token of its own; those that hold the
+    mark go one by one. Ids are kept as bytes, so a text is put together by one join.
     """
 
     def __init__(self, path: str):
@@ -52,13 +68,41 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
         self.mark = self._ids([MARK])[0]
+        self.letters = byte_letters()
+        whole = [p + marks for p in PROBES for marks in ("", ".", "!?", "$$$", "_|-")]
+        self.takes_plain = all(
+            self._plain(PLAIN_WORD.fullmatch(w)) == ids.tobytes() for w, ids in zip(whole, self._ids(whole))
+        )
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4") for e in found]
 
+    def _plain(self, word: re.Match) -> bytes:
+        """Ids of a plain word: those of its small letters, and of the marks after them."""
+        letters, marks = word[1].lower(), word[2]
+        found = self.parts.get(letters)
+        if found is None:
+            tokens = self.tokenizer.model.tokenize(letters.encode().decode("latin-1").translate(self.letters))
+            found = self.parts[letters] = np.array([t.id for t in tokens], "<u4").tobytes()
+        if marks:
+            if marks not in self.parts:
+                self.parts[marks] = self._ids([marks])[0].tobytes()
+            found += self.parts[marks]
+        return found
+
     def _learn(self, words: list[str]) -> None:
+        if self.takes_plain:
+            rest = []
+            for w in words:
+                plain = PLAIN_WORD.fullmatch(w)
+                if plain:
+                    self.known[w] = self._plain(plain)
+                else:
+                    rest.append(w)
+            words = rest
         alone = [w for w in words if MARK in w or len(self.mark) != 1]
         together = [w for w in words if MARK not in w] if len(self.mark) == 1 else []
         for w, ids in zip(alone, self._ids(alone)):
@@ -77,7 +121,7 @@ class WordEncoder:
         every = set().union(*cut)
         new = every - self.known.keys()
         if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known, new = {}, every
+            self.known, self.parts, new = {}, {}, every
         self._learn(list(new))
         end = END_TOKEN.to_bytes(4, "little")
         return [np.frombuffer(b"".join(map(self.known.__getitem__, words)) + end, "<u4") for words in cut]

@@ -490,6 +490,24 @@ def test_packing_holds_every_id_once(spark, docs, nothing):
     assert packing.packed(nothing, WORD_BPE, Scratch(spark)).count() == 0
 
 
+def test_plain_words_have_the_tokenizers_ids():
+    from tokenizers import Tokenizer
+
+    tokenizer, encoder = Tokenizer.from_file(WORD_BPE), packing.WordEncoder(WORD_BPE)
+    assert encoder.takes_plain
+    dice = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyzABCXYZÀÖØÞßàöøÿñçéèüÜ"
+    marks = ["", "", ".", ",", "...", "!?", ";", "'s", "$$$", "|", "_^`", '"#%&()*+/', "'", "\u0301", "-", "1", "İ", "ﬁ", "ſ", "×", "’"]
+    texts = [
+        " ".join("".join(dice.choices(letters, k=dice.randrange(9))) + dice.choice(marks) for _ in range(60)) for _ in range(200)
+    ]
+    wanted = [[*tokenizer.encode(t, add_special_tokens=False).ids, packing.END_TOKEN] for t in texts]
+    assert [list(i) for i in encoder.encode(texts)] == wanted
+    assert [list(i) for i in encoder.encode([t.upper() + "\n" + t for t in texts])] == [
+        [*tokenizer.encode(t.upper() + "\n" + t, add_special_tokens=False).ids, packing.END_TOKEN] for t in texts
+    ]
+
+
 def test_first_fit_equals_a_plain_search():
     dice = random.Random(8)
     for _ in range(30):
