@@ -29,6 +29,10 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, name: str) -> None:
+        """Delete a stage after its last reader."""
+        delete(self.spark, self.path(name))
+
     def remove(self) -> None:
         delete(self.spark, self.root)
 
