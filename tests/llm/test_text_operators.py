@@ -537,7 +537,7 @@ def plain_lines(rows):
     for doc_id, text, *_ in rows:
         for n, line in enumerate((text or "").split("\n")):
             normal = line_dedup.normal_line(line)
-            if len(normal.split()) >= line_dedup.LEAST_WORDS:
+            if normal:
                 places[normal].append((-1 if doc_id is None else doc_id, n))
     lines = sorted(places)
     root = {line: line for line in lines}
@@ -547,15 +547,11 @@ def plain_lines(rows):
             x = root[x]
         return x
 
-    sketch = {}
-    for line in lines:
-        *_, s0, s1 = line_dedup.line_sketches(*string_parts(pa.array([line])))
-        sketch[line] = np.array([s0[0], s1[0]]).view(np.uint64)
     for i, a in enumerate(lines):
         for b in lines[:i]:
-            apart = int(np.bitwise_count(sketch[a] ^ sketch[b]).sum())
-            longest = max(len(a), len(b))
-            if apart <= line_dedup.MOST_BITS_APART and levenshtein(a, b) <= 0.2 * longest + 1e-9:
+            # The faster distance is compared with the plain one in a test of its own.
+            most = 0.2 * max(len(a), len(b)) + 1e-9
+            if abs(len(a) - len(b)) <= most and line_dedup.edit_distance(a, b) <= most:
                 root[find(a)] = find(b)
     groups = defaultdict(list)
     for line in lines:
@@ -586,6 +582,51 @@ def test_lines_equal_all_pairs(spark, docs, nothing):
     assert line_dedup.deduplicated(nothing, Scratch(spark)).count() == 0
 
 
+def test_pieces_of_short_lines_meet():
+    """Every pair within a fifth of edits, the longer of at most 30 characters, shares a piece."""
+    dice = random.Random(8)
+    met = 0
+    for _ in range(3000):
+        a = [dice.choice("abcdé ") for _ in range(dice.randrange(3, 31))]
+        b = list(a)
+        for _ in range(dice.randrange(1, 8)):
+            at = dice.randrange(len(b) + 1)
+            b[at : at + dice.randrange(2)] = dice.choice(["", "x", "b "])
+        a, b = (line_dedup.normal_line("".join(x)) for x in (a, b))
+        longest = max(len(a), len(b))
+        if a and b and longest <= line_dedup.PIECES_TO and levenshtein(a, b) <= 0.2 * longest + 1e-9 and a != b:
+            met += 1
+            assert line_dedup.pieces(a) & line_dedup.pieces(b), (a, b)
+    assert met > 500
+
+
+def test_blocks_find_similar_lines():
+    """Of similar pairs of any length, words changed or letters, at least 0.9 share a block and pass the sketch."""
+    dice = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = ["".join(dice.choices(letters, k=dice.randrange(2, 11))) for _ in range(2000)]
+    words += ["".join(chr(0x4E00 + dice.randrange(900)) for _ in range(dice.randrange(8, 30))) for _ in range(200)]
+    found = Counter()
+    for size in (5, 6, 8, 12, 24, 50, 300):
+        for _ in range(60):
+            a = dice.choices(words, k=size)
+            b = list(a)
+            for k in dice.sample(range(size), max(1, size * dice.randrange(1, 16) // 100)):
+                b[k] = dice.choice(words) if dice.random() < 0.7 else b[k] + dice.choice(letters)
+            a, b = " ".join(a), " ".join(b)
+            if a == b or not line_dedup.similar(a, b):
+                continue
+            _, _, _, _, sim0, sim1, chars, blocks, short = line_dedup.line_sketches(*string_parts(pa.array([a, b])))
+            assert chars.tolist() == [len(a), len(b)]
+            rows = [s.astype(">i8").tobytes() for s in np.column_stack([sim0, sim1, chars])]
+            left, right = (np.frombuffer(r, np.uint8)[None] for r in rows)
+            keys = [set(k) for k in blocks.to_pylist()]
+            exact = [line_dedup.pieces(t) if t else set() for t in short.to_pylist()]
+            shared = keys[0] & keys[1] or exact[0] & exact[1]
+            found[size, bool(shared) and line_dedup.alike(left, right)[0] > -np.inf] += 1
+    assert all(found[size, True] >= 0.9 * (found[size, True] + found[size, False]) > 20 for size in (5, 6, 8, 12, 24, 50, 300)), found
+
+
 def test_lines_on_odd_rows(spark, docs):
     got = line_dedup.deduplicated(docs, Scratch(spark), "n_removed").collect()
     assert len(got) == len(documents())
