@@ -228,10 +228,21 @@ def fit_logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def words_after(text: str = "text") -> Column:
-    """Distinct pairs of a word and the word before it."""
+    """Distinct pairs of a word and the word before it.
+
+    Pairs are told apart as strings, which Spark hashes; it compares each struct with
+    all others. Words hold no blank. The list of words is bound, so it is made once.
+    """
+
+    def pairs(words: Column) -> Column:
+        before = F.slice(F.concat(F.array(F.lit("")), words), 1, F.size(words))
+        return F.array_distinct(F.zip_with(words, before, lambda w, b: F.concat(w, F.lit(" "), b)))
+
     words = F.split(F.lower(text), r"[^\p{L}\p{N}]+")
-    before = F.concat(F.array(F.lit("")), words)
-    return F.array_distinct(F.slice(F.arrays_zip(words.alias("word"), before.alias("before")), 1, F.size(words)))
+    return F.transform(
+        F.transform(F.array(words), pairs)[0],
+        lambda p: F.struct(F.substring_index(p, " ", 1).alias("word"), F.substring_index(p, " ", -1).alias("before")),
+    )
 
 
 def fit_detector(docs: DataFrame, labels: DataFrame, usable: Column, rows: int = FIT_ROWS) -> Detector:

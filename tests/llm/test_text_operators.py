@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 from itertools import accumulate
@@ -663,3 +664,15 @@ def test_short_and_unspaced_lines_equal_all_pairs(spark):
     wanted = {k: "\n".join(x for n, x in enumerate(t.split("\n")) if (k, n) not in gone) for k, t in rows}
     got = line_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark))
     assert {r.doc_id: r.text for r in got.collect()} == wanted and len(groups) < len(places)
+
+
+def test_pairs_of_words_are_made_in_linear_time(spark):
+    """Every word with the one before it, once; a text of 60,000 different words does not compare each with all."""
+    texts = ["b a  b a, b.", "", "É 1x", None, "x"]
+    plain = [[("b", ""), ("a", "b"), ("b", "a"), ("", "b")], [("", "")], [("é", ""), ("1x", "é")], None, [("x", "")]]
+    found = spark.createDataFrame([(t,) for t in texts], "text string").select(toxicity.words_after().alias("w")).collect()
+    assert [r.w and [tuple(p) for p in r.w] for r in found] == plain
+    long = spark.range(1).select(F.array_join(F.sequence(F.lit(1), F.lit(60_000)), " ").alias("text"))
+    begun = time.perf_counter()
+    assert long.select(F.size(toxicity.words_after())).first()[0] == 60_000
+    assert time.perf_counter() - begun < 5
