@@ -110,18 +110,25 @@ class DriverTables:
     def _lines(self) -> DataFrame:
         """Lines with whether the user had the product in an earlier order.
 
-        A pair's first order is taken per block of order numbers, then over the
-        blocks, and meets the lines on pair and block, not on the pair alone.
+        Where all order numbers lie in one block, a pair has few lines, and one shuffle
+        of the lines brings them together. Otherwise a pair's first order is taken per
+        block of order numbers, then over the blocks, and meets the lines on pair and
+        block, not on the pair alone.
         """
         pair = ["user_id", "product_id", "_block"]
         placed = self.once("placed", self._placed)
-        first_in_block = placed.groupBy(*pair).agg(F.min("order_number").alias("n"))
-        of_pair = Window.partitionBy("user_id", "product_id")
-        first = first_in_block.select(*pair, F.min("n").over(of_pair).alias("first_order"))
+        orders = self.once("orders", self.true_orders)
+        blocks = orders.agg(F.min(block_of("order_number")), F.max(block_of("order_number"))).first()
+        if blocks[0] == blocks[1]:
+            first = F.min("order_number").over(Window.partitionBy(*pair))
+            found = placed.dropna(subset=pair).withColumn("first_order", first)
+        else:
+            first_in_block = placed.groupBy(*pair).agg(F.min("order_number").alias("n"))
+            of_pair = Window.partitionBy("user_id", "product_id")
+            first = first_in_block.select(*pair, F.min("n").over(of_pair).alias("first_order"))
+            found = placed.join(first, pair)
         again = F.col("order_number") > F.col("first_order")
-        return placed.join(first, pair).select(
-            "order_id", "product_id", "add_to_cart_order", "eval_set", again.alias("again")
-        )
+        return found.select("order_id", "product_id", "add_to_cart_order", "eval_set", again.alias("again"))
 
     def bronze_order_products(self, eval_set: str = "prior") -> DataFrame:
         """Lines of one set; ``reordered`` is text in two spellings."""
