@@ -649,12 +649,12 @@ def model_scores_topk(spark, folder):
     features = lake.scratch.stage(lake.features(), "features")
     orders = lake.stored_orders()
     labelled = lake.scratch.stage(
-        model.training_set(features, orders, lake.train_lines()), "labelled"
+        model.training_set(features, orders, lake.train_lines(), lake.scratch), "labelled"
     )
     path = lake.scratch.path("model")
     fitted = model.fit(labelled.filter(~F.col("is_validation")), lake.scratch, rounds=5, depth=4)
     model.save(fitted, path)
-    users = lake.scratch.stage(model.candidates(features, orders, "test"), "candidates")
+    users = lake.scratch.stage(model.candidates(features, orders, "test", lake.scratch), "candidates")
     lists = lake.scratch.stage(model.recommend(model.score(model.load(spark, path), users)), "lists")
     again = model.recommend(model.score(fitted, users)).select(
         "user_id", F.col("recommended_product_ids").alias("p"), F.col("scores").alias("s")
@@ -696,7 +696,8 @@ def model_quality(spark, folder):
     lake = Lake(spark, folder)
     features = lake.scratch.stage(lake.features(), "features")
     pairs = lake.scratch.stage(
-        model.training_set(features, lake.stored_orders(), lake.train_lines()).filter(~F.col("is_validation")), "labelled"
+        model.training_set(features, lake.stored_orders(), lake.train_lines(), lake.scratch).filter(~F.col("is_validation")),
+        "labelled",
     )
     fitted = model.fit(pairs, lake.scratch, rounds=8)
     scored = lake.scratch.stage(model.score(fitted, pairs), "scored")

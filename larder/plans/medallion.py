@@ -188,13 +188,13 @@ def build_predictions(
         )
         orders = silver_table(spark, root, "orders")
         train_lines = silver_table(spark, root, "order_products_train")
-        labelled = scratch.stage(model.training_set(features, orders, train_lines), "labelled")
+        labelled = scratch.stage(model.training_set(features, orders, train_lines, scratch), "labelled")
         fitted = model.fit(labelled.filter("NOT is_validation"), scratch, rounds)
         model.save(fitted, f"{root}/{t.GOLD_MODEL}")
         validation = scratch.stage(
             model.score(fitted, labelled.filter("is_validation")), "validation"
         )
-        scored = model.score(fitted, model.candidates(features, orders, "test"))
+        scored = model.score(fitted, model.candidates(features, orders, "test", scratch))
         users = t.write_checked(
             model.recommend(scored, k),
             f"{root}/{t.GOLD_PREDICTIONS}",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from uuid import uuid4
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -43,21 +44,30 @@ def train_purchases(orders: DataFrame, train_lines: DataFrame) -> DataFrame:
     return bought.select("user_id", "product_id").distinct()
 
 
-def candidates(features: DataFrame, orders: DataFrame, eval_set: str) -> DataFrame:
-    """Known pairs of the users whose last order is in ``eval_set``."""
-    users = of_set(orders, eval_set).select("user_id")
-    return features.join(users, "user_id", "left_semi")
+def candidates(features: DataFrame, orders: DataFrame, eval_set: str, scratch: Scratch | None = None) -> DataFrame:
+    """Known pairs of the users whose last order is in ``eval_set``.
+
+    The users go to the pairs as bits, 64 neighbouring ids to a row. With ``scratch``
+    these rows are stored first: Spark then knows how few they are, and need not
+    shuffle the much larger pairs to find their users.
+    """
+    bit = F.expr("shiftleft(1L, cast(user_id & 63 as int))")
+    users = of_set(orders, eval_set).groupBy(F.shiftright("user_id", 6).alias("_ids")).agg(F.bit_or(bit).alias("_bits"))
+    if scratch:
+        users = scratch.stage(users, f"users/{eval_set}-{uuid4().hex}")
+    met = features.join(users, F.shiftright(features["user_id"], 6) == users["_ids"])
+    return met.filter(F.col("_bits").bitwiseAND(bit) != 0).select(*features.columns)
 
 
 def training_set(
-    features: DataFrame, orders: DataFrame, train_lines: DataFrame
+    features: DataFrame, orders: DataFrame, train_lines: DataFrame, scratch: Scratch | None = None
 ) -> DataFrame:
     """Candidates of train users with label and validation flag.
 
-    Validation takes whole users, so no user is on both sides.
+    Validation takes whole users, so no user is on both sides. ``scratch`` as for ``candidates``.
     """
     bought = train_purchases(orders, train_lines).withColumn("label", F.lit(1))
-    labelled = candidates(features, orders, "train").join(
+    labelled = candidates(features, orders, "train", scratch).join(
         bought, ["user_id", "product_id"], "left"
     )
     return labelled.withColumn("label", F.coalesce("label", F.lit(0))).withColumn(

@@ -6,7 +6,8 @@ from checks.queries import Lake
 from larder.operators.contract import Contract
 from larder.plans import medallion, model
 from larder.sources import tables as t
-from tests.conftest import rows
+from larder.sources.storage import Scratch
+from tests.conftest import plan_of, rows
 
 GIVEN = Path("/root/testdata/sf0.001")
 
@@ -107,3 +108,19 @@ def test_a_failed_save_keeps_the_old_model(spark, tmp_path, monkeypatch):
     assert scores[0] == scores[1] != scores[2]
     model.save(second, path)
     assert model.score(model.load(spark, path), pairs).select("score").collect() == scores[2]
+
+
+def test_candidates_do_not_shuffle_the_pairs(spark, tmp_path, settings):
+    """The ids of users are stored as bits, so small that the pairs stay where they are."""
+    settings(spark__sql__autoBroadcastJoinThreshold="20k")
+    ids = [-2**31, -65, -1, None, *range(0, 60_000, 3), 2**31 - 1]
+    orders = spark.createDataFrame([(i, "test") for i in ids] + [(1, "prior"), (0, "test")], "user_id int, eval_set string")
+    orders.write.parquet(str(tmp_path / "orders"))
+    pairs = spark.range(-70, 60_000).selectExpr("cast(id as int) as user_id", "1 as product_id")
+    edges = spark.createDataFrame([(-2**31, 2), (2**31 - 1, 2), (2**31 - 2, 2), (None, 2), (3, 2), (3, 2)], "user_id int, product_id int")
+    pairs.union(edges).write.parquet(str(tmp_path / "pairs"))
+    stored = [spark.read.parquet(str(tmp_path / n)) for n in ("pairs", "orders")]
+    found = model.candidates(*stored, "test", Scratch(spark))
+    assert "SortMergeJoin" not in plan_of(found) and "hashpartitioning" not in plan_of(found)
+    plain = [(i, 1) for i in (-65, -1, *range(0, 60_000, 3))] + [(-2**31, 2), (2**31 - 1, 2), (3, 2), (3, 2)]
+    assert rows(found) == rows(model.candidates(*stored, "test")) == sorted(plain, key=repr)
