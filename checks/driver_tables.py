@@ -17,6 +17,8 @@ from larder.sources.storage import Scratch
 
 # Ids per block when orders of one user and day are numbered.
 ID_BLOCK_BITS = 20
+# Most orders of a user that are numbered in one task.
+USER_ORDERS = 1 << 16
 # Neighbouring parts form one grocery product, so that users buy products again.
 PARTS_PER_PRODUCT = 20
 
@@ -43,9 +45,10 @@ class DriverTables:
     def true_orders(self) -> DataFrame:
         """One clean row per order, numbered within its user by date and id.
 
-        A user's orders are numbered in blocks of one day and a range of ids, so
-        that a user with very many orders is spread over tasks: inside a block
-        by a window over the block, between blocks by a window over block counts.
+        Where no user has more than ``USER_ORDERS``, a window over the user numbers
+        them. Otherwise a user's orders are numbered in blocks of one day and a range
+        of ids, so that a user with very many orders is spread over tasks: inside a
+        block by a window over the block, between blocks by a window over block counts.
         """
         block = ["user_id", "day", "_block"]
         source = (
@@ -57,6 +60,9 @@ class DriverTables:
             )
             .withColumn("_block", block_of("order_id", ID_BLOCK_BITS))
         )
+        per_user = source.filter("user_id IS NOT NULL").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+        if (per_user.agg(F.max("n")).first()[0] or 0) <= USER_ORDERS:
+            return self._with_numbers(_numbered_by_user(source).dropna(subset=block))
         counts = source.groupBy(*block).agg(F.count(F.lit(1)).alias("n"))
         by_day = Window.partitionBy("user_id").orderBy("day", "_block")
         offsets = block_offsets(
@@ -66,25 +72,26 @@ class DriverTables:
             ["n"],
         )
         nth = F.row_number().over(Window.partitionBy(*block).orderBy("order_id"))
-        number = (F.col("n_before") + F.col("nth")).cast("int")
+        numbered = source.withColumn("nth", nth).join(offsets, block)
         gap = F.when(F.col("nth") > 1, F.lit(0)).otherwise(F.datediff("day", "prior_day"))
+        return self._with_numbers(numbered.withColumn("number", F.col("n_before") + F.col("nth")).withColumn("gap", gap))
+
+    def _with_numbers(self, numbered: DataFrame) -> DataFrame:
+        """The columns of true orders, from ``number``, ``n_total`` and ``gap``."""
+        number = F.col("number").cast("int")
         eval_set = (
             F.when(number < F.col("n_total"), "prior")
             .when(F.col("user_id") % 3 == 0, "test")
             .otherwise("train")
         )
-        return (
-            source.withColumn("nth", nth)
-            .join(offsets, block)
-            .select(
-                "order_id",
-                "user_id",
-                eval_set.alias("eval_set"),
-                number.alias("order_number"),
-                (F.dayofweek("day") - 1).alias("order_dow"),
-                (F.col("order_id") % 24).alias("order_hour_of_day"),
-                gap.cast("double").alias("days_since_prior_order"),
-            )
+        return numbered.select(
+            "order_id",
+            "user_id",
+            eval_set.alias("eval_set"),
+            number.alias("order_number"),
+            (F.dayofweek("day") - 1).alias("order_dow"),
+            (F.col("order_id") % 24).alias("order_hour_of_day"),
+            F.col("gap").cast("double").alias("days_since_prior_order"),
         )
 
     def bronze_orders(self) -> DataFrame:
@@ -116,13 +123,13 @@ class DriverTables:
         block, not on the pair alone.
         """
         pair = ["user_id", "product_id", "_block"]
-        placed = self.once("placed", self._placed)
         orders = self.once("orders", self.true_orders)
         blocks = orders.agg(F.min(block_of("order_number")), F.max(block_of("order_number"))).first()
         if blocks[0] == blocks[1]:
             first = F.min("order_number").over(Window.partitionBy(*pair))
-            found = placed.dropna(subset=pair).withColumn("first_order", first)
+            found = self._placed().dropna(subset=pair).withColumn("first_order", first)
         else:
+            placed = self.once("placed", self._placed)
             first_in_block = placed.groupBy(*pair).agg(F.min("order_number").alias("n"))
             of_pair = Window.partitionBy("user_id", "product_id")
             first = first_in_block.select(*pair, F.min("n").over(of_pair).alias("first_order"))
@@ -231,6 +238,17 @@ class DriverTables:
         )
 
 
+def _numbered_by_user(source: DataFrame) -> DataFrame:
+    """Adds ``number``, ``n_total`` and ``gap``; rows without a day or id come last, as in the order of blocks."""
+    user = Window.partitionBy("user_id")
+    in_order = user.orderBy(F.col("day").asc_nulls_last(), F.col("order_id").asc_nulls_last())
+    return (
+        source.withColumn("number", F.row_number().over(in_order))
+        .withColumn("n_total", F.count(F.lit(1)).over(user))
+        .withColumn("gap", F.datediff("day", F.lag("day").over(user.orderBy("day", "order_id"))))
+    )
+
+
 COPIES = "array<struct<days:int,user:int>>"
 
 

@@ -39,4 +39,22 @@ def test_lines_know_earlier_orders_of_their_pair(spark, tmp_path, monkeypatch, b
     ]
     assert rows(found, "order_id", "product_id", "add_to_cart_order", "again") == sorted(plain, key=repr)
     if bits == 16:
-        assert plan_of(found).count("Exchange") == 1 and "Join" not in plan_of(found)
+        assert plan_of(found).count("hashpartitioning") == 1 and "SortMergeJoin" not in plan_of(found)
+
+
+def test_orders_are_numbered_alike_by_user_and_by_blocks(spark, tmp_path, monkeypatch):
+    """Also with missing users, days and ids, and rows that come twice; by user, orders are shuffled once."""
+    days = [datetime(2024, 1, 1) + timedelta(days=n) for n in range(6)]
+    orders = [
+        (None if n % 11 == 3 else n << 18, None if n % 7 == 5 else n % 4, None if n % 9 == 4 else days[n * 5 % 6])
+        for n in range(90)
+    ] + [(9 << 18, 1, days[5])] * 2
+    data = spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate timestamp")
+    data.write.parquet(str(tmp_path / "orders.parquet"))
+    given = DriverTables(spark, str(tmp_path), Scratch(spark))
+    by_user = given.true_orders()
+    assert "Join" not in plan_of(by_user) and plan_of(by_user).count("Exchange") == 1
+    monkeypatch.setattr(driver_tables, "USER_ORDERS", 5)
+    by_blocks = given.true_orders()
+    assert "Join" in plan_of(by_blocks)
+    assert by_user.schema == by_blocks.schema and rows(by_user) == rows(by_blocks) != []
