@@ -6,8 +6,10 @@ of all copies of an order ever seen, the smallest event stays, in the order of
 before, also those under another date.
 
 Beside Silver stands a store of the event kept per order. It is cut into blocks of
-65,536 consecutive order numbers, and a batch reads and rewrites only the blocks it has
-numbers of, so its work follows the batch and not the stream's age. Both are versioned
+1,048,576 consecutive order numbers, and a batch reads and rewrites only the blocks it has
+numbers of, so its work follows the batch and not the stream's age. A block is a file of
+some ten MB: with smaller ones, a batch of scattered numbers opens, writes and deletes
+very many files. A store goes on with the blocks it was begun with. Both are versioned
 tables that note the batch they hold, so a batch that is run again changes nothing.
 """
 
@@ -28,7 +30,9 @@ from larder.sources.storage import Scratch
 
 # What decides between copies, and is kept of an order.
 EVENT = ("event_ts", "event_time", "user_id", "product_ids", "source")
-BLOCK_BITS = 16
+BLOCK_BITS = 20
+# Of stores that do not note theirs.
+FIRST_BLOCK_BITS = 16
 # Runs of one level and date that are merged into one run of the next level.
 FAN = 8
 # Versions of Silver whose files stay, for readers that began some batches ago.
@@ -87,8 +91,13 @@ def explode_products(events: DataFrame) -> DataFrame:
 # ---- which event of an order stays ----------------------------------------------
 
 
-def block_of(order_id: str = "order_id") -> Column:
-    return F.shiftright(order_id, BLOCK_BITS)
+def block_of(bits: int, order_id: str = "order_id") -> Column:
+    return F.shiftright(order_id, bits)
+
+
+def bits_of(store: versions.Version) -> int:
+    """By how many bits the blocks of a store are cut."""
+    return store.notes.get("bits", FIRST_BLOCK_BITS if store.number else BLOCK_BITS)
 
 
 def in_order(prefix: str = "") -> Column:
@@ -143,15 +152,16 @@ class BatchSink:
 
     def __call__(self, events: DataFrame, number: int) -> None:
         spark = events.sparkSession
-        if versions.current(spark, self.state).notes.get("batch", -1) >= number:
+        store = versions.current(spark, self.state)
+        if store.notes.get("batch", -1) >= number:
             return
         scratch = Scratch(spark)
         try:
             # Parsed once for all outputs.
             good, bad = split_events(scratch.stage(events, "events"))
             bad.write.mode("overwrite").json(f"{self.rejected}/batch={number}")
-            fresh = scratch.stage(first_events(good).withColumn("block", block_of()), "fresh")
-            # At most 65,536 numbers: ids have 32 bits.
+            fresh = scratch.stage(first_events(good).withColumn("block", block_of(bits_of(store))), "fresh")
+            # At most 4,096 numbers: ids have 32 bits.
             blocks = [r["block"] for r in fresh.select("block").distinct().collect()]
             kept = self.kept(spark, blocks)
             changed = scratch.stage(changes(fresh, kept), "changed")
@@ -189,18 +199,18 @@ class BatchSink:
             versions.publish(spark, self.folder, before.following(parts, batch=number), READERS_BEHIND)
 
     def into_store(self, changed: DataFrame, kept: DataFrame, number: int) -> None:
-        """Blocks with changes are written anew, 65,536 events each at most."""
+        """Blocks with changes are written anew, 1,048,576 events each at most."""
         spark = changed.sparkSession
         before = versions.current(spark, self.state)
-        events = changed.select("order_id", *EVENT)
+        events, bits = changed.select("order_id", *EVENT), bits_of(before)
         same = kept.join(events.select("order_id"), "order_id", "left_anti")
-        blocks = changed.select(block_of().alias("block")).distinct()
-        rows = same.withColumn("block", block_of()).join(blocks, "block", "left_semi")
-        rows = rows.unionByName(events.withColumn("block", block_of()))
+        blocks = changed.select(block_of(bits).alias("block")).distinct()
+        rows = same.withColumn("block", block_of(bits)).join(blocks, "block", "left_semi")
+        rows = rows.unionByName(events.withColumn("block", block_of(bits)))
         with versions.run_of(spark, self.state) as run:
             rows.hint("rebalance", "block").write.partitionBy("block").parquet(versions.run_folder(self.state, run))
             parts = {p: (run,) for p in versions.partitions_of(spark, self.state, run, 1)}
-            versions.publish(spark, self.state, before.following({**before.parts, **parts}, batch=number))
+            versions.publish(spark, self.state, before.following({**before.parts, **parts}, batch=number, bits=bits))
 
 
 def write_run(rows: DataFrame, folder: str, run: str) -> None:

@@ -279,3 +279,22 @@ def test_line_breaks_in_landed_texts(spark, tmp_path):
     source = spark.createDataFrame([(1, 'two\nlines "quoted"'), (2, "a\r\nb"), (3, None), (4, "x")], "product_id int, product_name string")
     written = landing.land_full_load({"notes": source}, str(tmp_path), now())
     assert rows(landing.reconcile_load(spark, written, str(tmp_path))) == [("notes", 4, 4, 0)]
+
+
+def test_scattered_orders_make_few_files_and_old_stores_keep_their_blocks(spark, tmp_path, monkeypatch):
+    events = batch(spark, [copy(number << 16, 1, 15, [1]) for number in range(20)])
+    sink = order_events.BatchSink(*(str(tmp_path / n) for n in ("out", "bad", "state")))
+    sink(events, 0)
+    assert len(versions.current(spark, sink.state).parts) == 2
+    old = order_events.BatchSink(*(str(tmp_path / f"old-{n}") for n in ("out", "bad", "state")))
+    with monkeypatch.context() as patch:
+        patch.setattr(order_events, "BLOCK_BITS", 16)
+        old(events, 0)
+    begun = versions.current(spark, old.state)
+    for state in (begun, versions.Version(begun.number, begun.parts, {"batch": 0})):
+        assert order_events.bits_of(state) == 16 and len(state.parts) == 20
+    old(batch(spark, [copy(3 << 16, 0, 14, [2])]), 1)
+    sink(batch(spark, [copy(3 << 16, 0, 14, [2])]), 1)
+    assert len(versions.current(spark, old.state).parts) == 20
+    assert silver(spark, old.folder) == silver(spark, sink.folder)
+    assert [r[1:4] for r in silver(spark, sink.folder) if r[0] == 3 << 16] == [(0, 1, 2)]
