@@ -7,9 +7,8 @@ before, also those under another date.
 
 Beside Silver stands a store of the event kept per order. It is cut into blocks of
 1,048,576 consecutive order numbers, and a batch reads and rewrites only the blocks it has
-numbers of, so its work follows the batch and not the stream's age. A block is a file of
-some ten MB: with smaller ones, a batch of scattered numbers opens, writes and deletes
-very many files. A store goes on with the blocks it was begun with. Both are versioned
+numbers of, so its work follows the batch and not the stream's age. With smaller
+blocks, a batch of scattered numbers opens, writes and deletes very many files. A store goes on with the blocks it was begun with. Both are versioned
 tables that note the batch they hold, so a batch that is run again changes nothing.
 """
 
