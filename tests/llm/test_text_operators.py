@@ -628,6 +628,43 @@ def test_blocks_find_similar_lines():
     assert all(found[size, True] >= 0.9 * (found[size, True] + found[size, False]) > 20 for size in (5, 6, 8, 12, 24, 50, 300)), found
 
 
+def test_unlike_lines_seldom_meet():
+    """Lines of a language of few syllables, 31 to 80 characters, have runs of five bytes in common but few blocks."""
+    dice = random.Random(12)
+    syllables = ["the ", "tion", "and ", "er", "in", "on", "re", "ha", "st", "ea", "ing ", "to "]
+    lines = sorted({line_dedup.normal_line("".join(dice.choices(syllables, k=dice.randrange(14, 24)))) for _ in range(1500)})
+    lines = [x for x in lines if 30 < len(x) <= 80]
+    *_, blocks, _ = line_dedup.line_sketches(*string_parts(pa.array(lines)))
+    under = defaultdict(list)
+    for k, keys in enumerate(blocks.to_pylist()):
+        for key in set(keys):
+            under[key].append(k)
+    met = {(a, b) for g in under.values() for a in g for b in g if a < b}
+    assert len(lines) > 1000 and len(met) < 2 * len(lines), (len(lines), len(met))
+
+
+def test_bounds_settle_most_pairs_of_lines(monkeypatch):
+    """Similarity equals the plain distance, which is computed for few pairs of long lines."""
+    dice, asked = random.Random(13), []
+    plain = line_dedup.edit_distance
+    monkeypatch.setattr(line_dedup, "edit_distance", lambda a, b: asked.append(a) or plain(a, b))
+    letters = "abcdefghijklmnopqrstuvwxyzé"
+    words = ["".join(dice.choices(letters, k=dice.randrange(2, 11))) for _ in range(500)]
+    found = Counter()
+    for k in range(300):
+        a = dice.choices(words, k=dice.randrange(2, 60))
+        b = list(a) if k % 2 else dice.sample(words, len(a))
+        for at in dice.sample(range(len(b)), dice.randrange(1 + len(b) // 6 + k % 3 // 2)):
+            b[at : at + 1] = dice.choices(words, k=dice.randrange(3))
+        a, b = " ".join(a), " ".join(b)
+        longest = max(len(a), len(b))
+        near = longest - min(len(a), len(b)) <= (1 - line_dedup.SIMILARITY) * longest and plain(a, b) <= 0.2 * longest + 1e-9
+        assert line_dedup.similar(a, b) == near, (a, b)
+        assert line_dedup.edits_on_a_walk(a, b, longest) >= plain(a, b)
+        found[near] += 1
+    assert min(found.values()) > 50 and len(asked) < 60, (found, len(asked))
+
+
 def test_lines_on_odd_rows(spark, docs):
     got = line_dedup.deduplicated(docs, Scratch(spark), "n_removed").collect()
     assert len(got) == len(documents())
