@@ -14,6 +14,7 @@ go by document, start and checksum.
 from __future__ import annotations
 
 import re
+import struct
 import sys
 import types
 import zlib
@@ -67,6 +68,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
         self.mark = self._ids([MARK])[0]
@@ -85,8 +87,10 @@ class WordEncoder:
         letters, marks = word[1].lower(), word[2]
         found = self.parts.get(letters)
         if found is None:
-            tokens = self.tokenizer.model.tokenize(letters.encode().decode("latin-1").translate(self.letters))
-            found = self.parts[letters] = np.array([t.id for t in tokens], "<u4").tobytes()
+            # ASCII letters are written as themselves.
+            spelled = letters if letters.isascii() else letters.encode().decode("latin-1").translate(self.letters)
+            ids = [t.id for t in self.tokenize(spelled)]
+            found = self.parts[letters] = struct.pack(f"<{len(ids)}I", *ids)
         if marks:
             if marks not in self.parts:
                 self.parts[marks] = self._ids([marks])[0].tobytes()
@@ -96,10 +100,11 @@ class WordEncoder:
     def _learn(self, words: list[str]) -> None:
         if self.takes_plain:
             rest = []
+            known, match, ids_of = self.known, PLAIN_WORD.fullmatch, self._plain
             for w in words:
-                plain = PLAIN_WORD.fullmatch(w)
+                plain = match(w)
                 if plain:
-                    self.known[w] = self._plain(plain)
+                    known[w] = ids_of(plain)
                 else:
                     rest.append(w)
             words = rest

@@ -522,6 +522,19 @@ def test_first_fit_equals_a_plain_search():
         assert list(bins) == wanted
 
 
+def test_ascii_words_are_learned_without_respelling():
+    """Small letters of ASCII are written as themselves, so the table of letters serves other words only."""
+    from tokenizers import Tokenizer
+
+    tokenizer, encoder = Tokenizer.from_file(WORD_BPE), packing.WordEncoder(WORD_BPE)
+    assert encoder.takes_plain
+    plain, other = "Thstinnt thndhain, Onhalyti, ZQXJ!", "Öffnungé naïveté."
+    wanted = [[*tokenizer.encode(t, add_special_tokens=False).ids, packing.END_TOKEN] for t in (plain, other)]
+    assert encoder.encode([other])[0].tolist() == wanted[1]
+    encoder.letters = None
+    assert encoder.encode([plain])[0].tolist() == wanted[0]
+
+
 # ---- 10: lines ----
 
 
