@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.components import linked_components
+from larder.llm.components import Spans, flagged, flags_of, linked_components, rows_alike
 from larder.llm.text import (
     lower_ascii,
     mixed,
@@ -45,6 +45,8 @@ BANDS = 32
 BAND_BITS = 7
 # Pairs are dropped unconfirmed only this many standard deviations below the threshold.
 SIGMAS = 5.0
+# Words of parities that are compared at once.
+PARITY_WORDS = 1 << 20
 # Hash cells by which elements are ordered.
 CELLS = 1 << 20
 
@@ -108,19 +110,29 @@ def corrected(same: np.ndarray, used: np.ndarray, n: np.ndarray, m: np.ndarray)
     return np.clip((same - chance) / np.maximum(used - chance, 1e-9), 0.0, 1.0)
 
 
+def register_bits(registers: np.ndarray) -> bytes:
+    """One bit of each register's value: equal values have equal bits, others in half of the cases."""
+    places = np.arange(REGISTERS, dtype=np.uint64) << np.uint64(16)
+    return np.packbits((mixed(registers.astype(np.uint64) + places) & np.uint64(1)).astype(bool)).tobytes()
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, hash of the text, n_shingles, digest of the set, sketch (registers and size) and band keys."""
+    """doc_id, hash of the text, n_shingles, digest of the set, sketch (registers and size), coarse (their bits and size),
+    parity (size and parities) and band keys."""
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
                 raw, at = string_parts(part.column("text"))
-                sizes, digests, kept, keys = [], [], [], []
+                sizes, digests, kept, coarse, parity, keys = [], [], [], [], [], []
                 for hashes in word_sets(raw, at):
                     registers = registers_of(hashes)
                     sizes.append(len(hashes))
                     digests.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
-                    kept.append(registers.tobytes() + len(hashes).to_bytes(8, "little"))
+                    size = len(hashes).to_bytes(8, "little")
+                    kept.append(registers.tobytes() + size)
+                    coarse.append(register_bits(registers) + size)
+                    parity.append(size + parities(hashes))
                     keys.append(band_keys(registers_of(hashes, BAND_BITS)))
                 counts = np.cumsum([0] + [len(k) for k in keys])
                 flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
@@ -131,16 +143,34 @@ def sketches(docs: DataFrame) -> DataFrame:
                         pa.array(sizes, pa.int64()),
                         pa.array(digests, pa.binary()),
                         pa.array(kept, pa.binary()),
+                        pa.array(coarse, pa.binary()),
+                        pa.array(parity, pa.binary()),
                         pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.array(flat)),
                     ],
-                    ["doc_id", "text_key", "n_shingles", "digest", "sketch", "keys"],
+                    ["doc_id", "text_key", "n_shingles", "digest", "sketch", "coarse", "parity", "keys"],
                 )
 
-    columns = "doc_id long, text_key long, n_shingles long, digest binary, sketch binary, keys array<long>"
+    columns = "doc_id long, text_key long, n_shingles long, digest binary, sketch binary, coarse binary, parity binary, keys array<long>"
     keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text")
     return keyed.mapInArrow(run, columns)
 
 
+def few_bits_apart(threshold: float):
+    """Nearness of coarse sketches; minus infinity for sizes too far apart, and for more bits than a pair at the threshold has apart."""
+    share = (1 - threshold) / 2
+    most = REGISTERS * share + SIGMAS * np.sqrt(REGISTERS * share * (1 - share)) + 2
+    width = REGISTERS // 8
+
+    def score(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        left, right = (np.ascontiguousarray(x[:, :width]).view(np.uint64) for x in (a, b))
+        n, m = (np.ascontiguousarray(x[:, width:]).view(np.int64)[:, 0] for x in (a, b))
+        apart = np.bitwise_count(left ^ right).sum(1)
+        far = (np.minimum(n, m) < threshold * np.maximum(n, m) - 1e-9) | (apart > most)
+        return np.where(far, -np.inf, -apart.astype(float))
+
+    return score
+
+
 def likely(threshold: float):
     """Estimated similarity of sketches; minus infinity where it is far below the threshold."""
 
@@ -169,8 +199,7 @@ def margin(threshold: float, used):
 
 
 def rarest_elements(docs: DataFrame, sets: DataFrame, percent: int, scratch: Scratch):
-    """For the given sets, (key, id) rows of those elements one of which any linked sets must share,
-    and (id, sketch, detail) with all elements, each as 32 bits of its hash.
+    """For the given sets, (key, id) rows of those elements one of which any linked sets must share.
 
     In whatever order elements are put, of n elements the first n - ceil(t n) + 1
     must meet those of a set that is similar to degree t. The order here is by how
@@ -193,7 +222,7 @@ def rarest_elements(docs: DataFrame, sets: DataFrame, percent: int, scratch: Scr
 
     def narrow(ids: DataFrame) -> DataFrame:
         wanted = sets.join(ids, "id", "left_semi").select("id", "digest", F.col("least").alias("doc_id"))
-        texts = scratch.stage(texts_of(docs, wanted), "open-texts")
+        texts = scratch.stage(texts_of(docs, scratch.stage(wanted, "open-wanted")), "open-texts")
         seen = texts.mapInArrow(cells, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
         often = np.zeros(CELLS, np.int32)
         often[seen.column("cell").to_numpy()] = np.minimum(seen.column("n").to_numpy(), 2**31 - 1)
@@ -209,31 +238,47 @@ def rarest_elements(docs: DataFrame, sets: DataFrame, percent: int, scratch: Scr
                     keys = np.concatenate(chosen).view(np.int64) if chosen else np.zeros(0, np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(keys), part.column("id").take(pa.array(row))], ["key", "id"])
 
-        def details(batches):
-            for batch in batches:
-                for part in slices(batch, "text"):
-                    short = [np.unique((h >> np.uint64(20)).astype(np.uint32)).tobytes() for h in found_in(part)]
-                    yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(short, pa.binary())], ["id", "detail"])
-
-        keys = texts.mapInArrow(first_elements, "key long, id long")
-        return keys, scratch.stage(
-            texts.mapInArrow(details, "id long, detail binary").join(sets.select("id", "sketch"), "id"), "open-sets"
-        )
+        return texts.mapInArrow(first_elements, "key long, id long")
 
     return narrow
 
 
-def enough_shared(percent: int):
-    """Which sets share enough 32-bit elements. Elements that fall together only add to what is shared."""
+def parities(hashes: np.ndarray) -> bytes:
+    """Bits, at least two for an element and a power of two, each the parity of the number of elements that fall there."""
+    bits = 64
+    while bits < 2 * len(hashes):
+        bits *= 2
+    counts = np.bincount((hashes >> np.uint64(16) & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits(counts & 1 == 1, bitorder="little").tobytes()
 
-    def settle(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
-        mine = own.view(np.uint32)
-        sizes = np.array([len(o) for o in others]) // 4
-        pool = np.concatenate(others).view(np.uint32)
-        place = np.minimum(np.searchsorted(mine, pool), len(mine) - 1)
-        shared = np.add.reduceat(mine[place] == pool, np.cumsum(sizes) - sizes, dtype=np.int64)
-        # Two elements that fall together make a set one smaller: a slack of one each.
-        return 100 * (shared + 1) >= percent * (len(mine) + sizes - shared - 1)
+
+def folded(rows: Spans, width: int) -> np.ndarray:
+    """Parities as if taken in ``width`` words at first."""
+    out = np.empty((len(rows.first), width), np.uint64)
+    for size in np.unique(rows.size).tolist():
+        some = np.flatnonzero(rows.size == size)
+        words = rows.words[rows.first[some][:, None] + np.arange(size)]
+        out[some] = np.bitwise_xor.reduce(words.reshape(len(some), size // width, width), axis=1)
+    return out
+
+
+def few_unlike(percent: int):
+    """Which sets may be alike. Bits in which their parities differ are at most the elements that only one of them has."""
+
+    def apart_of(a: Spans, b: Spans) -> np.ndarray:
+        width = np.minimum(a.size, b.size)
+        apart = np.zeros(len(width), np.int64)
+        for w in np.unique(width).tolist():
+            wide = np.flatnonzero(width == w)
+            step = max(1, PARITY_WORDS // w)
+            for some in (wide[k : k + step] for k in range(0, len(wide), step)):
+                apart[some] = np.bitwise_count(folded(a.of(some), w) ^ folded(b.of(some), w)).sum(1)
+        return apart
+
+    def settle(a: Spans, b: Spans) -> np.ndarray:
+        # The first word is the size. Of n + m elements, alike sets have at most a share (1 - t) / (1 + t) in one only.
+        total = (a.words[a.first] + b.words[b.first]).astype(np.int64)
+        return apart_of(a.after(1), b.after(1)) * (100 + percent) <= (100 - percent) * total
 
     return settle
 
@@ -243,30 +288,44 @@ def near_groups(docs: DataFrame, scratch: Scratch, percent: int = 80) -> DataFra
 
     Documents are linked when 100 * |A ∩ B| >= percent * |A ∪ B|. Equal sets are
     folded before anything is compared. A pair at the threshold shares none of the
-    32 bands with probability 1e-10 at 85 percent and 5e-8 at 80; the estimates
-    drop it with probability 3e-7.
+    32 bands with probability 1e-10 at 85 percent and 5e-8 at 80; bits of registers,
+    and estimates from them, each drop it with probability 3e-7.
     """
     threshold = percent / 100
     sketched = scratch.stage(sketches(docs), "sketches")
     sets = sketched.filter("n_shingles > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("least"), *[F.first(c).alias(c) for c in ("sketch", "keys")]
+        F.min("doc_id").alias("least"), *[F.first(c).alias(c) for c in ("sketch", "coarse", "parity", "keys")]
     )
     sets = scratch.stage(sets.withColumn("id", F.monotonically_increasing_id()), "sets")
 
+    estimate = likely(threshold)
+
     def verify(pairs: DataFrame, name: str) -> DataFrame:
+        for side in "ab":
+            pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("sketch").alias(f"{side}_sketch")), side)
+        pairs = pairs.select("a", "b", "a_sketch", "b_sketch").mapInArrow(rows_alike(estimate), "a long, b long")
+        pairs = scratch.stage(pairs, f"{name}-likely")
         nodes = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
         wanted = sets.join(nodes, "id", "left_semi").select("id", "digest", F.col("least").alias("doc_id"))
+        wanted = scratch.stage(wanted, f"{name}-wanted")
         texts = scratch.stage(texts_of(docs, wanted), f"{name}-texts")
         for side in "ab":
             pairs = pairs.join(texts.select(F.col("id").alias(side), F.col("text").alias(f"{side}_text")), side)
-        return scratch.stage(confirmed(pairs, percent), f"{name}-edges")
+        edges = scratch.stage(confirmed(pairs, percent), f"{name}-edges")
+        for done in ("likely", "wanted", "texts"):
+            scratch.drop(f"{name}-{done}")
+        return edges
 
     narrow = rarest_elements(docs, sets, percent, scratch)
-    groups = linked_components(sets.select("id", "keys", "sketch"), likely(threshold), verify, scratch, "near", narrow, enough_shared(percent))
+    keys = sets.select(F.explode(F.array_distinct("keys")).alias("key"), "id")
+    coarse = sets.select("id", F.col("coarse").alias("sketch"), F.col("parity").alias("detail"))
+    groups = linked_components(keys, coarse, few_bits_apart(threshold), verify, scratch, "near", narrow, few_unlike(percent))
     rooted = sets.select("id", "digest", "least").join(groups.withColumnRenamed("node", "id"), "id", "left").select(
         "digest", "least", F.coalesce("root", "id").alias("root")
     )
     rooted = scratch.stage(rooted, "rooted")
+    for done in ("sets", "open-wanted", "open-texts"):
+        scratch.drop(done)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(least, "root").select("digest", "component_id", "root")
     # Documents without a set have no row in ``named``.
@@ -277,7 +336,15 @@ def near_groups(docs: DataFrame, scratch: Scratch, percent: int = 80) -> DataFra
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, text): one text of each wanted set. A doc_id may stand on differing rows, so sets are compared again."""
+    """(id, text): one text of each wanted set. A doc_id may stand on differing rows, so sets are compared again.
+
+    Bits of the wanted ids, a fixed number, go to the tasks that read the texts, so that few other texts leave them.
+    """
+    shared = flags_of(wanted.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id")))
+
+    def maybe(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(flagged(shared.value, batch.column("doc_id").fill_null(0).to_numpy())))
 
     def run(batches):
         for batch in batches:
@@ -290,7 +357,7 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 ]
                 yield part.select(["id", "text"]).filter(pa.array(keep, pa.bool_()))
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(maybe, "doc_id long, text string")
     met = rows.join(wanted, rows.doc_id.eqNullSafe(wanted.doc_id)).select("id", "digest", "text")
     return met.mapInArrow(run, "id long, text string").dropDuplicates(["id"])
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from larder.llm import (
     boosted_trees,
+    components,
     exact_dedup,
     hyperminhash,
     line_dedup,
@@ -341,6 +342,42 @@ def test_estimates_are_near_the_truth():
         assert abs(np.mean(near) - shared / 1000) < 0.03
 
 
+def test_parities_tell_nearly_similar_sets_apart():
+    """Sets at the threshold always pass, in whatever sizes; most that are a little further apart do not, so no rows come of their pairs."""
+    dice = np.random.default_rng(6)
+    settle = hyperminhash.few_unlike(85)
+
+    def spans(sets):
+        found = [len(x).to_bytes(8, "little") + hyperminhash.parities(np.sort(x)) for x in sets]
+        return components.Spans(*string_parts(pa.array(found, pa.binary())))
+
+    for common, own, passes in ((900, 79, True), (85, 15, True), (510, 90, True), (3, 0, True), (800, 130, False), (100, 20, False)):
+        left, right = [], []
+        for _ in range(200):
+            pool = dice.integers(0, 2**64 - 1, common + 2 * own, dtype=np.uint64)
+            cut = common + (own // 5 if passes else own)
+            left.append(pool[:cut]), right.append(np.concatenate([pool[:common], pool[cut : common + (own if passes else 2 * own)]]))
+        found = settle(spans(left), spans(right))
+        assert found.all() if passes else found.mean() < 0.1, (common, own, found.mean())
+
+
+def test_groups_of_keys_over_batches():
+    """Pairs of all groups, also of those that go on in the next batch, without the rows of one component."""
+    dice = random.Random(3)
+    rows = sorted((dice.choice([1, 1, 1, 2, 3, 4, 5, *range(6, 40)]), 0, 0, k, k // 3, bytes([dice.randrange(3)]) * 8) for k in range(150))
+    names = ["key", "i", "j", "id", "root", "sketch"]
+    table = pa.table({n: [r[k] for r in rows] for k, n in enumerate(names)}).append_column("detail", pa.nulls(150, pa.binary()))
+    for name in ("asks", "asked"):
+        table = table.append_column(name, pa.array([True] * 150))
+    plain = {(a[3], b[3]) for a in rows for b in rows if a[0] == b[0] and a[3] < b[3] and a[4] != b[4] and a[5] == b[5]}
+    score = lambda a, b: np.where((a == b).all(1), 0.0, -np.inf)
+    for size in (1, 7, 1000):
+        out = components._block_pairs(score, None, None)(table.to_batches(max_chunksize=size))
+        assert {(r["a"], r["b"]) for batch in out for r in batch.to_pylist()} == plain
+    best = [r for batch in components._block_pairs(score, None, 1)(table.to_batches()) for r in batch.to_pylist()]
+    assert {(r["a"], r["b"]) for r in best} < plain and len(best) <= 150
+
+
 def test_one_of_each_keeps_columns(spark, docs):
     kept = hyperminhash.one_of_each(docs, Scratch(spark))
     assert kept.columns == docs.columns
@@ -678,6 +715,26 @@ def test_bounds_settle_most_pairs_of_lines(monkeypatch):
     assert min(found.values()) > 50 and len(asked) < 60, (found, len(asked))
 
 
+def test_edits_of_many_pairs_equal_the_plain_ones():
+    """Pairs compared side by side, of any length and number of 64-bit words, are settled as one by one."""
+    dice = random.Random(14)
+    parts = ["the ", "tion", "and ", "er", "in", "st", "ea", "é", "日", "to "]
+    one, other = [], []
+    for k in range(900):
+        a = "".join(dice.choices(parts, k=dice.randrange(1, 130 if k % 3 else 20)))
+        b = list(a)
+        for at in dice.sample(range(len(b)), int(len(b) * dice.random() * (0.3 if k % 2 else 1))):
+            b[at : at + 1] = dice.choices("abcde ", k=dice.randrange(3))
+        one.append(a), other.append("".join(b) or "x")
+    found = line_dedup.similar_pairs(one, other)
+    assert found.tolist() == [line_dedup.similar(a, b) for a, b in zip(one, other)] and 200 < found.sum() < 700
+    pairs = [sorted(p, key=len) for p in zip(one, other)]
+    most = np.array([dice.randrange(90) for _ in pairs])
+    found = line_dedup.within(*(list(x) for x in zip(*pairs)), most)
+    assert found.tolist() == [line_dedup.edit_distance(*p) <= k for p, k in zip(pairs, most)]
+    assert line_dedup.similar_pairs([], []).tolist() == []
+
+
 def test_lines_on_odd_rows(spark, docs):
     got = line_dedup.deduplicated(docs, Scratch(spark), "n_removed").collect()
     assert len(got) == len(documents())
