@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import math
+import sys
+from collections.abc import Sequence
 from dataclasses import dataclass
 from uuid import uuid4
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from larder.operators.ranking import ranked_lists, top_k
+from larder.operators.running import block_offsets
 from larder.plans.gold import of_set
 from larder.sources import versions
 from larder.sources.storage import Scratch
@@ -33,8 +37,11 @@ DEFAULT_TOP = 10
 SEED = 7
 # A name counts as much as this many pairs with the overall rate, beside its own.
 SMOOTHING = 20.0
-# Documented bound: trees are fitted on at most about so many labelled pairs.
-FIT_ROWS = 5_000_000
+# Parts into which the trees cut each feature, and distinct values that are placed in one task.
+BINS = 32
+RANGE_VALUES = 65_536
+# Spark's trees take their split points from a sample unless the square of ``maxBins``, a 32-bit number, covers all rows.
+MOST_BINS = 46_340
 
 
 def train_purchases(orders: DataFrame, train_lines: DataFrame) -> DataFrame:
@@ -165,26 +172,74 @@ def with_rates(rows: DataFrame, rates: DataFrame, in_training: bool = False) ->
     return rows.drop("_fold")
 
 
-def fit(training: DataFrame, scratch: Scratch, rounds: int = 20, depth: int = 5, most: int = FIT_ROWS) -> ReorderModel:
-    """M3, M4: gradient-boosted trees, on a sample by hash where there are more than ``most`` pairs."""
+def cut_points(
+    rows: DataFrame, features: Sequence[str], scratch: Scratch, bins: int = BINS, range_values: int = RANGE_VALUES
+) -> dict[str, list[float]]:
+    """Where each feature is cut into at most ``bins`` parts of about equal size, by all rows.
+
+    Cuts lie between neighbouring distinct values, and between all of them if these are
+    no more than ``bins``. Rows are counted per value, and values are placed in ranges
+    of about ``range_values``, so no task holds all values of a feature. Only the ends
+    of the parts reach the driver. NULL and NaN are left out.
+    """
+    each = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features])
+    counts = rows.select(F.inline(each)).filter("value IS NOT NULL AND NOT isnan(value)").groupBy("feature", "value")
+    name = f"values-{uuid4().hex}"
+    stored = scratch.stage(counts.agg(F.count("*").alias("n")), name)
+    ranges = max(1, -(-stored.count() // range_values))
+    dealt = stored.repartitionByRange(ranges, "feature", "value").withColumn("_block", F.spark_partition_id())
+    ranged = scratch.stage(dealt, f"{name}-ranges").withColumn("one", F.lit(1).cast("long"))
+    blocks = ranged.groupBy("feature", "_block").agg(F.sum("n").alias("n"), F.sum("one").alias("one"))
+    offsets = block_offsets(blocks, ["feature"], ["_block"], ["n", "one"])
+    inside = Window.partitionBy("feature", "_block").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    below = [F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"{c}_below") for c in ("n", "one")]
+    placed = ranged.select("feature", "_block", "value", *below).join(offsets, ["feature", "_block"])
+    place = F.when(F.col("one_total") <= bins, F.col("one_before") + F.col("one_below")).otherwise(
+        F.floor((F.col("n_before") + F.col("n_below")) * F.lit(float(bins)) / F.col("n_total"))
+    )
+    parts = placed.groupBy("feature", place.alias("part")).agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    ends: dict[str, list[tuple[float, float]]] = {f: [] for f in features}
+    for row in parts.orderBy("feature", "part").collect():
+        ends[row["feature"]].append((row["low"], row["high"]))
+    for done in (name, f"{name}-ranges"):
+        scratch.drop(done)
+    cuts = {}
+    for feature, parts_of in ends.items():
+        cuts[feature] = []
+        for (_, high), (low, _) in zip(parts_of, parts_of[1:]):
+            middle = high / 2 + low / 2
+            cuts[feature].append(min(middle if high < middle <= low else low, sys.float_info.max))
+    return cuts
+
+
+def fit(training: DataFrame, scratch: Scratch, rounds: int = 20, depth: int = 5) -> ReorderModel:
+    """M3, M4: gradient-boosted trees, on all pairs. Rates, split points and trees come from every row."""
     rates = scratch.stage(name_rates(training), "name_rates")
-    share = min(1.0, most / max(1, training.count()))
-    cell = F.pmod(F.xxhash64("user_id", "product_id"), F.lit(1_000_000))
-    sample = training.filter(cell < round(share * 1_000_000))
+    columns = [*NUMERIC_FEATURES, *[f"{c}_rate" for c in NAME_FEATURES]]
+    rated = with_rates(training, rates, in_training=True)
+    cuts = cut_points(rated, columns, scratch)
+    # A feature of one value has no cut; Spark asks for one.
+    ends = [[-math.inf, *(cuts[c] or [0.0]), math.inf] for c in columns]
+    bins = Bucketizer(
+        splitsArray=ends, inputCols=columns, outputCols=[f"{c}_bin" for c in columns], handleInvalid="error"
+    )
     assembler = VectorAssembler(
-        inputCols=[*NUMERIC_FEATURES, *[f"{c}_rate" for c in NAME_FEATURES]],
+        inputCols=[f"{c}_bin" for c in columns],
         outputCol="features",
         handleInvalid="error",
     )
+    # Features have few values now, so the limit on bins costs nothing, and Spark finds the bins in all rows.
+    whole = math.isqrt(training.count()) + 1
     trees = GBTClassifier(
         labelCol="label",
         featuresCol="features",
         maxIter=rounds,
         maxDepth=depth,
+        maxBins=min(max(BINS, whole), MOST_BINS),
         checkpointInterval=5,
         seed=SEED,
     )
-    return ReorderModel(Pipeline(stages=[assembler, trees]).fit(with_rates(sample, rates, in_training=True)), rates)
+    return ReorderModel(Pipeline(stages=[bins, assembler, trees]).fit(rated), rates)
 
 
 def save(model: ReorderModel, path: str) -> None:

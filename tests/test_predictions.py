@@ -124,3 +124,31 @@ def test_candidates_do_not_shuffle_the_pairs(spark, tmp_path, settings):
     assert "SortMergeJoin" not in plan_of(found) and "hashpartitioning" not in plan_of(found)
     plain = [(i, 1) for i in (-65, -1, *range(0, 60_000, 3))] + [(-2**31, 2), (2**31 - 1, 2), (3, 2), (3, 2)]
     assert rows(found) == rows(model.candidates(*stored, "test")) == sorted(plain, key=repr)
+
+
+def test_trees_learn_from_all_pairs(spark, monkeypatch):
+    """No hash picks the pairs, and a value that one pair in 40,000 has is among the split points."""
+    pairs = spark.range(40_000, numPartitions=4).selectExpr(
+        "cast(id % 100 as int) AS user_id", "cast(id as int) AS product_id", "'a' AS aisle_name", "'d' AS department_name",
+        "cast(id % 6000 = 77 AND id < 36000 as int) AS label",
+        *[f"cast(id = {6000 * k + 77} as double) AS {c}" for k, c in enumerate(model.NUMERIC_FEATURES)],
+    )
+    learned = []
+    fit = model.Pipeline.fit
+    monkeypatch.setattr(model.Pipeline, "fit", lambda self, rows: learned.append(rows) or fit(self, rows))
+    fitted = model.fit(pairs, Scratch(spark), rounds=8)
+    assert learned[0].count() == 40_000 and "xxhash64" not in plan_of(learned[0])
+    scored = {r["product_id"]: r["score"] for r in model.score(fitted, pairs.filter("product_id % 6000 < 100")).collect()}
+    rare = [scored.pop(6000 * k + 77) for k in range(6)]
+    assert min(rare) > max(scored.values()) + 0.05
+
+
+def test_cut_points_are_those_of_all_rows(spark):
+    rows_of = [(float(k % 7), 1 / (1 + k), 3.0, float(k < 9000)) for k in range(10_000)] + [(None, float("nan"), 3.0, 5.0)]
+    frame = spark.createDataFrame(rows_of, "few double, many double, one double, heavy double")
+    got = model.cut_points(frame, frame.columns, Scratch(spark), bins=8, range_values=600)
+    assert got == model.cut_points(frame, frame.columns, Scratch(spark), bins=8)
+    assert got["few"] == [0.5, 1.5, 2.5, 3.5, 4.5, 5.5] and got["one"] == [] and got["heavy"] == [0.5, 3.0]
+    values = sorted(r[1] for r in rows_of[:-1])
+    assert got["many"] == [values[k - 1] / 2 + values[k] / 2 for k in range(1250, 10_000, 1250)]
+    assert model.cut_points(frame.limit(0), ["few"], Scratch(spark)) == {"few": []}
