@@ -735,6 +735,46 @@ def test_edits_of_many_pairs_equal_the_plain_ones():
     assert line_dedup.similar_pairs([], []).tolist() == []
 
 
+def test_the_bound_of_chunks_loses_no_pair():
+    """Lines of one stock of syllables are told apart without their distance, and none within its limit is."""
+    dice = random.Random(15)
+    parts = ["the ", "tion", "and ", "er", "in", "st", "ea", "é", "日", "to ", "ou", "re "]
+    one, other = [], []
+    for k in range(1200):
+        a = "".join(dice.choices(parts, k=dice.randrange(1, 200)))
+        b = list(a)
+        for at in dice.sample(range(len(b)), int(len(b) * dice.random() * 0.3)):
+            b[at : at + 1] = dice.choices("abcde ", k=dice.randrange(3))
+        if k % 4 == 0:  # a stretch from one end to the other
+            n = dice.randrange(len(b) // 8 + 1)
+            b = b[n:] + b[:n]
+        one.append(a), other.append("".join(b) if k % 3 else "".join(dice.choices(parts, k=len(a) // 3 + 1)))
+    rows = np.arange(len(one))
+    most = np.array([line_dedup.edits_within(max(len(a), len(b))) for a, b in zip(one, other)])
+    apart = line_dedup.apart([*one, *other], rows, rows + len(one), most)
+    far = np.array([line_dedup.edit_distance(a, b) for a, b in zip(one, other)]) > most
+    assert not (apart & ~far).any() and apart.sum() > 0.6 * far.sum() > 200, (apart.sum(), far.sum())
+
+
+def test_line_pairs_that_do_not_hold_are_no_rows(spark, monkeypatch):
+    """Lines that share their longest words meet under many keys; only similar ones become rows, also beside lines too long to be carried."""
+    dice = random.Random(16)
+    long = ["abcdefghijklmno", "qrstuvwxyzabcd", "efghijklmnopqr"]
+    lines = [" ".join([*dice.sample(long, 3), *("".join(dice.choices("etaoinshrdlu", k=4)) for _ in range(6))]) for _ in range(80)]
+    lines += [lines[7][:-1] + "q", lines[8][1:], "wide " * 1000 + "end", "wide " * 990 + "and an end"]
+    docs = spark.createDataFrame([(k, text) for k, text in enumerate(lines)], "doc_id long, text string")
+    stored, stage = {}, Scratch.stage
+    monkeypatch.setattr(Scratch, "stage", lambda self, df, name: stored.setdefault(name, stage(self, df, name)))
+    monkeypatch.setattr(Scratch, "drop", lambda self, name: None)
+    removed = line_dedup.removed_lines(docs, Scratch(spark))
+    similar = sum(line_dedup.similar(a, b) for k, a in enumerate(lines) for b in lines[:k])
+    opened = stored["fuzzy-open"].groupBy("key").count().agg(F.sum(F.expr("count * (count - 1) / 2"))).first()[0]
+    assert opened > 1000 and similar >= 3
+    assert all(stored[f"fuzzy-pairs{k}"].count() <= similar + 1 for k in (1, 2))
+    gone = {r["doc_id"] for r in removed.select("doc_id").collect()}
+    assert {80, 81, 83} <= gone and len(gone) <= similar
+
+
 def test_lines_on_odd_rows(spark, docs):
     got = line_dedup.deduplicated(docs, Scratch(spark), "n_removed").collect()
     assert len(got) == len(documents())
