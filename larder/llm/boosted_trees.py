@@ -28,6 +28,8 @@ BINS = 64
 RATE = 0.15
 SHRINK = 1.0
 LEAST_WEIGHT = 2.0
+# Text whose statistics are taken at once: an executor's workers hold several numbers of 64 bits for each of its bytes.
+PART_BYTES = 1 << 19
 
 # Kinds of bytes that are counted.
 KINDS = {
@@ -197,7 +199,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, usable: Column, rows: int =
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", PART_BYTES):
                 x = statistics(*string_parts(part.column("text")))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("label"), pa.array(x.tolist(), pa.list_(pa.float64()))], ["label", "x"]
@@ -217,7 +219,7 @@ def quality_score(trees: Trees, text: str = "text") -> Column:
     @F.arrow_udf(DoubleType())
     def score(column: pa.Array) -> pa.Array:
         batch = pa.RecordBatch.from_arrays([column], ["text"])
-        parts = [trees.scores(statistics(*string_parts(p.column("text")))) for p in slices(batch, "text")]
+        parts = [trees.scores(statistics(*string_parts(p.column("text")))) for p in slices(batch, "text", PART_BYTES)]
         return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     return score(F.col(text))

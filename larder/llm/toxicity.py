@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from larder.llm.samples import FIT_ROWS, id_remainder, labelled
+from larder.llm.text import slices
 
 # Terms: at most so many, in toxic texts after at least so many different words (also as
 # a share of the toxic texts), and so many times likelier there.
@@ -269,7 +270,7 @@ def fit_detector(docs: DataFrame, labels: DataFrame, usable: Column, rows: int =
 
     def run(batches):
         for batch in batches:
-            x = [detector.features(t) for t in batch.column("text").to_pylist()]
+            x = [detector.features(t) for part in slices(batch, "text") for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(x, pa.list_(pa.float64()))], ["label", "x"])
 
     seen = sample.mapInArrow(run, "label int, x array<double>").toArrow()
@@ -285,7 +286,7 @@ def _near_words(finder: Detector):
     def run(batches):
         for batch in batches:
             near = set()
-            for text in batch.column("text").to_pylist():
+            for text in (t for part in slices(batch, "text") for t in part.column("text").to_pylist()):
                 for token in finder.look_up(set(text.lower().split())):
                     near |= {f for f in spellings(token) if (hit := finder.lexicon.nearest(f)) and hit[1]}
             yield pa.RecordBatch.from_arrays([pa.array(sorted(near), pa.string())], ["word"])
@@ -298,8 +299,9 @@ def toxicity_score(detector: Detector, text: str = "text") -> Column:
 
     @F.arrow_udf(DoubleType())
     def score(column: pa.Array) -> pa.Array:
-        x = np.array([detector.features(t or "") for t in column.to_pylist()]).reshape(-1, 5)
-        return pa.array(detector.score(x))
+        parts = slices(pa.RecordBatch.from_arrays([column], ["text"]), "text")
+        x = [detector.features(t or "") for part in parts for t in part.column("text").to_pylist()]
+        return pa.array(detector.score(np.array(x).reshape(-1, 5)))
 
     return score(F.col(text))
 
